@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where null matches null (group keys may be null)."""
     if not keys:
-        return left.crossJoin(right) if how == "inner" else left.join(right, F.lit(True), how)
+        # one-row side (totals): an equi-join on a constant, broadcast by size
+        one = "_const_key"
+        return left.withColumn(one, F.lit(1)).join(right.withColumn(one, F.lit(1)), one, how).drop(one)
     ren = {k: f"_r_{k}" for k in keys}
     r = right.withColumnsRenamed(ren)
     cond = None

@@ -86,6 +86,23 @@ def prior_group_stats(df: DataFrame, keys: list[str], target: str = "delay_targe
                             "prior_s": F.coalesce(F.col("prior_s"), F.lit(0.0))})
 
 
+def latest_prior_minute(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Flights with ``latest``: the last departure minute of the same group
+    strictly before their own (null if none) -- two-level lag (inside a day,
+    then over per-day maxima), used to audit the strictly-prior contract."""
+    df = with_departure_minute(df)
+    tl = df.select(*[S.col(k) for k in keys], S.col(T)).distinct()
+    day = F.floor(F.col(T) / F.lit(MINUTES_PER_DAY))
+    tl = tl.withColumn("_day", day)
+    inner = F.lag(T).over(Window.partitionBy(*keys, "_day").orderBy(T))
+    tl = tl.withColumn("_prev_in_day", inner)
+    days = tl.groupBy(*keys, "_day").agg(F.max(T).alias("_day_max"))
+    days = days.withColumn("_prev_day_max", F.lag("_day_max").over(Window.partitionBy(*keys).orderBy("_day")))
+    tl = P.null_safe_join(tl, days.drop("_day_max"), keys + ["_day"])
+    tl = tl.select(*keys, T, F.coalesce("_prev_in_day", "_prev_day_max").alias("latest"))
+    return attach(df, tl, keys, {})
+
+
 def global_prior_rate(df: DataFrame, target: str = "delay_target") -> DataFrame:
     """(minute, global_prior_rate): delayed share of all flights before the
     minute; null when there is none. Two-level prefix, no single-task window
@@ -187,12 +204,15 @@ def _history(df: DataFrame, dims, target: str, key: list[str] | None, method: st
 
 def history_p3(df: DataFrame, target: str = "delay_target", min_history: int = 3,
                fallback: str = "global_prior", key: list[str] | None = None, wrap_hour: bool = True,
-               with_aliases: bool = True, method: str = "prefix") -> DataFrame:
+               with_aliases: bool = True, method: str = "prefix", dims: list[str] | None = None) -> DataFrame:
     """H6 (+H7 aliases): per dimension flight count, delay count and rate.
     Fewer than ``min_history`` prior flights -> strictly prior global rate,
-    0.0 when there is no prior flight at all."""
+    0.0 when there is no prior flight at all. ``dims`` restricts the
+    dimensions (e.g. ["prior_origin"]); aliases need all of them."""
     df = _prepare(df, wrap_hour)
-    out, names = _history(df, P3_DIMENSIONS, target, key, method)
+    chosen = [d for d in P3_DIMENSIONS if dims is None or d[0] in dims]
+    with_aliases = with_aliases and dims is None
+    out, names = _history(df, chosen, target, key, method)
     g = F.col("global_prior_rate")
     cols = {}
     for name, (n_col, s_col) in names.items():
@@ -257,6 +277,6 @@ def coverage(history: DataFrame, min_history: int = 3) -> DataFrame:
         F.count_if((F.col("n") > 0) & (F.col("n") < min_history)).cast("long").alias("insufficient_history_count"),
         F.count_if(F.col("n") >= min_history).cast("long").alias("sufficient_history_count"))
     for k in ("no_history", "insufficient_history", "sufficient_history"):
-        out = out.withColumn(f"{k}_pct", F.bround(F.col(f"{k}_count") * 100.0 /
+        out = out.withColumn(f"{k}_pct", S.round_half_even(F.col(f"{k}_count") * 100.0 /
                                                   F.greatest(F.col("total_records"), F.lit(1)), 2))
     return out

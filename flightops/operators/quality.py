@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import scalar as S
+
 from .. import config
 from ..functions.scalar import col, strip, to_date, to_double
 
@@ -130,8 +132,9 @@ def quality_summary(df: DataFrame, delay_threshold: float = 15.0) -> DataFrame:
         weighted(any_missing).alias("missing_required_records"),
     )
     return (out.withColumn("ontime_flights", F.col("total_valid_records") - F.col("delayed_flights"))
-            .withColumn("delay_rate_percent", F.bround(
-                F.col("delayed_flights") * 100.0 / F.greatest(F.col("total_valid_records"), F.lit(1)), 2)))
+            .withColumn("delay_rate_percent", S.round_half_even(
+                F.col("delayed_flights").cast("double") * 100.0
+                / F.greatest(F.col("total_valid_records"), F.lit(1)), 2)))
 
 
 def cohort_counts(df: DataFrame) -> DataFrame:
