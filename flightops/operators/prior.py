@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
+from ..session import stage_table
 from . import prefix as P
 
 MINUTES_PER_DAY = 1440
@@ -157,48 +158,80 @@ for _alias_pfx, _src in [("carrier_prior", "prior_airline"), ("airline_prior", "
         P3_ALIASES.append((f"{_alias_pfx}_{_m}", f"{_src}_{_m}"))
 
 
+SHORT_NAMES = {"airline": "carrier", "origin_airport": "origin", "dest_airport": "dest",
+               "scheduled_dep_time": "crs_dep_time", "flight_date": "fl_date"}
+
+
+def resolve(df: DataFrame) -> dict[str, str]:
+    """Canonical name -> column present (canonical first, else the short header)."""
+    return {c: (c if c in df.columns else s if s in df.columns else c) for c, s in SHORT_NAMES.items()}
+
+
+def _dims(dims, names: dict[str, str]):
+    return [(n, [names.get(k, k) for k in ks]) for n, ks in dims]
+
+
 def _prepare(df: DataFrame, wrap_hour: bool) -> DataFrame:
-    df = with_departure_minute(df)
+    names = resolve(df)
+    df = with_departure_minute(df, names["flight_date"], names["scheduled_dep_time"])
     add = {}
     if "route" not in df.columns:
-        add["route"] = F.concat_ws("_", S.col("origin_airport").cast("string"),
-                                   S.col("dest_airport").cast("string"))
+        add["route"] = F.concat_ws("_", S.col(names["origin_airport"]).cast("string"),
+                                   S.col(names["dest_airport"]).cast("string"))
+    dep = names["scheduled_dep_time"]
     if "departure_hour" in df.columns:
         add["_dep_hour"] = S.col("departure_hour")
+    elif dep not in df.columns:
+        add["_dep_hour"] = F.lit(12)
     elif wrap_hour:
-        add["_dep_hour"] = S.hhmm_parts(S.col("scheduled_dep_time"))[0]
+        add["_dep_hour"] = S.hhmm_parts(S.col(dep))[0]
     else:
-        add["_dep_hour"] = S.raw_hour(S.col("scheduled_dep_time"))
+        add["_dep_hour"] = S.raw_hour(S.col(dep))
     return df.withColumns(add)
 
 
 def _history(df: DataFrame, dims, target: str, key: list[str] | None, method: str,
-             days: int | None = None) -> tuple[DataFrame, dict[str, tuple[str, str]]]:
+             days: int | None = None, stage: bool = True) -> tuple[DataFrame, dict[str, tuple[str, str]]]:
     """Attach (prior_n, prior_s) for every dimension plus the global prior rate.
 
-    With a unique ``key`` the per-dimension joins run on a narrow projection
-    and the result is joined to the wide table once; without one, each
-    dimension is joined onto the wide rows directly."""
+    With a unique ``key``: the narrow projection (key, group columns, minute,
+    target) is staged once as a written table; every dimension's timeline is
+    computed from it and left-joined onto it, and the finished narrow result
+    is joined to the wide table once. Without a key, each dimension is
+    joined onto the wide rows directly."""
     group_cols = sorted({c for _, ks in dims for c in ks})
-    narrow = df.select(*(key or []), *group_cols, T, target) if key else df
+    names: dict[str, tuple[str, str]] = {f"{name}": (f"_{name}_n", f"_{name}_s") for name, _ in dims}
+    if method == "window":
+        out = df
+        for name, ks in dims:
+            n_col, s_col = names[name]
+            out = prior_stats_window(out, ks, target, days).withColumnsRenamed({"prior_n": n_col, "prior_s": s_col})
+        g = global_prior_rate(df, target)
+        return out.join(g, on=T, how="left"), names
+    if key:
+        narrow = df.select(*[S.col(k) for k in key], *[S.col(c) for c in group_cols], S.col(T), S.col(target))
+        if stage:
+            narrow = stage_table(narrow, "history_input")
+    else:
+        narrow = df
     out = narrow
-    names: dict[str, tuple[str, str]] = {}
     for name, ks in dims:
-        n_col, s_col = f"_{name}_n", f"_{name}_s"
-        names[name] = (n_col, s_col)
-        if method == "window":
-            out = prior_stats_window(out, ks, target, days).withColumnsRenamed(
-                {"prior_n": n_col, "prior_s": s_col})
-        else:
-            tl = prior_timeline(df, ks, target) if days is None else rolling_timeline(df, ks, days, target)
-            out = attach(out, tl, ks, {"prior_n": n_col, "prior_s": s_col})
-            out = out.withColumns({n_col: F.coalesce(F.col(n_col), F.lit(0)).cast("long"),
-                                   s_col: F.coalesce(F.col(s_col), F.lit(0.0))})
-    g = global_prior_rate(df, target)
-    out = out.join(g, on=T, how="left")
+        n_col, s_col = names[name]
+        tl = prior_timeline(narrow, ks, target) if days is None else rolling_timeline(narrow, ks, days, target)
+        tl = tl.select(*[S.col(k) for k in ks], S.col(T), F.col("prior_n").alias(n_col), F.col("prior_s").alias(s_col))
+        out = P.null_safe_join(out, tl, ks + [T], how="left")
+    out = out.join(global_prior_rate(narrow, target), on=T, how="left")
+    fixed = []
+    for name, _ in dims:
+        n_col, s_col = names[name]
+        fixed += [F.coalesce(F.col(n_col), F.lit(0)).cast("long").alias(n_col),
+                  F.coalesce(F.col(s_col), F.lit(0.0)).alias(s_col)]
     if key:
-        out = out.drop(*group_cols, T, target)
+        out = out.select(*[S.col(k) for k in key], *fixed, "global_prior_rate")
         out = df.join(out, on=key, how="inner")
+    else:
+        keep = [c for c in out.columns if c not in {n for pair in names.values() for n in pair}]
+        out = out.select(*[S.col(c) for c in keep if c != "global_prior_rate"], *fixed, "global_prior_rate")
     return out, names
 
 
@@ -210,7 +243,7 @@ def history_p3(df: DataFrame, target: str = "delay_target", min_history: int = 3
     0.0 when there is no prior flight at all. ``dims`` restricts the
     dimensions (e.g. ["prior_origin"]); aliases need all of them."""
     df = _prepare(df, wrap_hour)
-    chosen = [d for d in P3_DIMENSIONS if dims is None or d[0] in dims]
+    chosen = _dims([d for d in P3_DIMENSIONS if dims is None or d[0] in dims], resolve(df))
     with_aliases = with_aliases and dims is None
     out, names = _history(df, chosen, target, key, method)
     g = F.col("global_prior_rate")
@@ -233,7 +266,7 @@ def history_2a(df: DataFrame, target: str = "delay_target", min_history: int = 3
     """H5: origin / destination / airline / route rate (fallback keeps null
     when there is no prior flight at all) and count."""
     df = _prepare(df, True)
-    out, names = _history(df, A2_DIMENSIONS, target, key, method, days)
+    out, names = _history(df, _dims(A2_DIMENSIONS, resolve(df)), target, key, method, days)
     g = F.col("global_prior_rate")
     cols = {}
     for name, (n_col, s_col) in names.items():
@@ -249,7 +282,7 @@ def prior_volumes(df: DataFrame, target: str = "delay_target", key: list[str] |
     """Prior route frequency, origin/destination volumes and the raw
     (no fallback, 0.0 when empty) origin/destination delay rates."""
     df = _prepare(df, True)
-    dims = [("route", ["route"]), ("origin", ["origin_airport"]), ("dest", ["dest_airport"])]
+    dims = _dims([("route", ["route"]), ("origin", ["origin_airport"]), ("dest", ["dest_airport"])], resolve(df))
     out, names = _history(df, dims, target, key, method)
 
     def raw_rate(n_col, s_col):

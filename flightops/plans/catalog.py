@@ -668,3 +668,386 @@ def q_calibration(spark, sf):
     "scored"))
 def q_roc_points(spark, sf):
     return metrics.curve_points(scored(spark, sf), groups=["split"])
+
+
+# ---------------------------------------------------------------------------
+# feature tables
+# ---------------------------------------------------------------------------
+
+def p3_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The P3 feature table, written once per session (EDA reads it)."""
+    return PL.materialize(spark, "p3_features", lambda: features.feature_table_p3(PL.pre_departure(spark, sf), KEY), sf)
+
+
+@register("feature_table_p3", sql("SELECT * FROM p3", "p3"))
+def q_feature_table_p3(spark, sf):
+    return features.feature_table_p3(PL.pre_departure(spark, sf), KEY)
+
+
+_CYC = ["departure_hour_sin", "departure_hour_cos", "day_of_week_sin", "day_of_week_cos", "month_sin", "month_cos"]
+_A2_HIST = [f"{n}_{m}" for n, _ in oracle.A2_DIMS for m in ("delay_rate", "flight_count")]
+
+
+@register("feature_table_2a", sql(
+    f"""SELECT t.flight_id, t.flight_date, t.airline, t.origin_airport, t.dest_airport,
+  CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day,
+  CAST(isodow(d) - 1 AS INTEGER) AS day_of_week, CAST(weekofyear(d) AS INTEGER) AS week_of_year,
+  CAST(dayofyear(d) AS INTEGER) AS day_of_year, CAST(isodow(d) >= 6 AS INTEGER) AS is_weekend,
+  t.scheduled_dep_time, t.dep_hour AS departure_hour, t.dep_min AS departure_minute,
+  t.dep_hour * 60 + t.dep_min AS departure_minutes_since_midnight, {_tod_sql('t.dep_hour')} AS time_of_day,
+  t.scheduled_arr_time, t.arr_hour AS arrival_hour, t.arr_min AS arrival_minute,
+  t.arr_hour * 60 + t.arr_min AS arrival_minutes_since_midnight,
+  {r6('sin(2 * pi() * t.dep_hour / 24.0)')} AS departure_hour_sin, {r6('cos(2 * pi() * t.dep_hour / 24.0)')} AS departure_hour_cos,
+  {r6('sin(2 * pi() * (isodow(d) - 1) / 7.0)')} AS day_of_week_sin, {r6('cos(2 * pi() * (isodow(d) - 1) / 7.0)')} AS day_of_week_cos,
+  {r6('sin(2 * pi() * (month(d) - 1) / 12.0)')} AS month_sin, {r6('cos(2 * pi() * (month(d) - 1) / 12.0)')} AS month_cos,
+  t.route, CAST(t.origin_airport = t.dest_airport AS INTEGER) AS same_airport_flag,
+  t.distance, {_HAUL2A.replace('distance', 't.distance')} AS haul_category,
+  {', '.join('h.' + c for c in _A2_HIST)}, t.delay_target
+  FROM (SELECT *, CAST(flight_date AS DATE) AS d FROM timed) t JOIN ({_a2_sql()}) h USING (flight_id)""",
+    "timed", "gprior"))
+def q_feature_table_2a(spark, sf):
+    t = features.feature_table_2a(PL.pre_departure(spark, sf), KEY)
+    return t.withColumns({c: _r6(F.col(c)) for c in _CYC})
+
+
+# ---------------------------------------------------------------------------
+# profiling (A1-A32) on the P3 feature table
+# ---------------------------------------------------------------------------
+
+from ..operators import profile as PR  # noqa: E402
+
+_NUMERIC_TYPES = ("TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "FLOAT", "DOUBLE", "DECIMAL")
+
+
+@register("eda_overview", sql(
+    """SELECT r.total_records, r.duplicate_rows, c.total_features, c.numeric_columns, c.categorical_columns FROM
+  (SELECT CAST(count(*) AS BIGINT) AS total_records, CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM p3) d)
+     AS BIGINT) AS duplicate_rows FROM p3) r,
+  (SELECT count(*) AS total_features,
+     count_if(split_part(v, '(', 1) IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'HUGEINT', 'FLOAT', 'DOUBLE', 'DECIMAL'))
+       AS numeric_columns, count_if(v = 'VARCHAR') AS categorical_columns
+   FROM (UNPIVOT (SELECT typeof(COLUMNS(*)) FROM p3 LIMIT 1) ON COLUMNS(*) INTO NAME k VALUE v) u) c""", "p3"))
+def q_eda_overview(spark, sf):
+    return PR.overview(p3_features(spark, sf))
+
+
+def _p3_columns() -> list[str]:
+    import re as _re
+    body = oracle.CTES["p3"][0]
+    return _re.findall(r"AS (\w+)(?=,|\s*$|\n)", body)
+
+
+@register("eda_quality", None)
+def q_eda_quality(spark, sf):
+    return PR.column_audit(p3_features(spark, sf))
+
+
+@register("eda_negative", sql(
+    "SELECT column_name, CAST(negative_count AS BIGINT) AS negative_count FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count_if({c} < 0) AS negative_count FROM p3"
+        for c in ["distance", "route_distance", "prior_origin_flight_volume", "prior_dest_flight_volume"]) + ") x",
+    "p3"))
+def q_eda_negative(spark, sf):
+    return PR.negative_counts(p3_features(spark, sf))
+
+
+@register("eda_target", sql(
+    f"""SELECT CAST(count(*) AS BIGINT) AS total_observations, CAST(count_if(delay_target = 1) AS BIGINT) AS delayed_count,
+  CAST(count_if(delay_target = 0) AS BIGINT) AS on_time_count,
+  {r4('count_if(delay_target = 1) / count(*)')} AS delay_rate, {r4('count_if(delay_target = 0) / count(*)')} AS on_time_rate,
+  CASE WHEN count_if(delay_target = 1) > 0 THEN {r2('CAST(count_if(delay_target = 0) AS DOUBLE) / count_if(delay_target = 1)')}
+       ELSE 'inf'::DOUBLE END AS imbalance_ratio FROM p3""", "p3"))
+def q_eda_target(spark, sf):
+    return PR.target_balance(p3_features(spark, sf))
+
+
+def _rates_by(key_sql: str, name: str, src: str = "p3") -> str:
+    return (f"SELECT {key_sql} AS {name}, CAST(count(*) AS BIGINT) AS flight_count, "
+            f"CAST(sum(delay_target) AS BIGINT) AS delay_count, {r4('avg(CAST(delay_target AS DOUBLE))')} AS delay_rate "
+            f"FROM {src} GROUP BY 1")
+
+
+def _reindexed(key_sql: str, name: str, order: list[str]) -> str:
+    vals = ", ".join(f"('{v}', {i})" for i, v in enumerate(order))
+    return (f"SELECT o.{name}, o.position, coalesce(g.flight_count, 0) AS flight_count, "
+            f"coalesce(g.delay_count, 0) AS delay_count, coalesce(g.delay_rate, 0) AS delay_rate "
+            f"FROM (VALUES {vals}) o({name}, position) LEFT JOIN ({_rates_by(key_sql, name)}) g USING ({name})")
+
+
+@register("eda_dow", sql(_reindexed("dayname(CAST(flight_date AS DATE))", "day_of_week",
+                                    ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]), "p3"))
+def q_eda_dow(spark, sf):
+    return PR.by_day_of_week(p3_features(spark, sf))
+
+
+@register("eda_weekend", sql(_rates_by("CAST(isodow(CAST(flight_date AS DATE)) >= 6 AS INTEGER)", "is_weekend"), "p3"))
+def q_eda_weekend(spark, sf):
+    return PR.by_weekend(p3_features(spark, sf))
+
+
+@register("eda_tod", sql(_reindexed("dep_time_of_day", "dep_time_of_day", ["morning", "afternoon", "evening", "night"]),
+                         "p3"))
+def q_eda_tod(spark, sf):
+    return PR.by_time_of_day(p3_features(spark, sf))
+
+
+@register("eda_time_bucket", sql(_reindexed("dep_time_bucket", "dep_time_bucket",
+                                            ["00-04", "04-08", "08-12", "12-16", "16-20", "20-24"]), "p3"))
+def q_eda_time_bucket(spark, sf):
+    return PR.by_time_bucket(p3_features(spark, sf))
+
+
+@register("eda_by_date", sql(_rates_by("flight_date", "flight_date"), "p3"))
+def q_eda_by_date(spark, sf):
+    return PR.by_date(p3_features(spark, sf))
+
+
+@register("eda_date_range", sql(
+    "SELECT CAST(min(CAST(flight_date AS DATE)) AS VARCHAR) AS date_range_start, "
+    "CAST(max(CAST(flight_date AS DATE)) AS VARCHAR) AS date_range_end, "
+    "CAST(count(DISTINCT flight_date) AS BIGINT) AS total_calendar_days FROM p3", "p3"))
+def q_eda_date_range(spark, sf):
+    return PR.date_range(p3_features(spark, sf))
+
+
+@register("eda_airlines", sql(
+    f"""SELECT airline, flight_count, delay_count, delay_rate,
+  {r2('CAST(flight_count AS DOUBLE) / tf * 100')} AS volume_share_pct, {r2('CAST(delay_count AS DOUBLE) / td * 100')} AS delay_share_pct
+  FROM ({_rates_by('airline', 'airline')}) g, (SELECT count(*) AS tf, sum(delay_target) AS td FROM p3) t""", "p3"))
+def q_eda_airlines(spark, sf):
+    return PR.airlines(p3_features(spark, sf))
+
+
+@register("eda_origin", sql(_rates_by("origin_airport", "origin_airport"), "p3"))
+def q_eda_origin(spark, sf):
+    return PR.group_rates(p3_features(spark, sf), "origin_airport")
+
+
+@register("eda_dest", sql(_rates_by("dest_airport", "dest_airport"), "p3"))
+def q_eda_dest(spark, sf):
+    return PR.group_rates(p3_features(spark, sf), "dest_airport")
+
+
+@register("eda_routes", sql(f"SELECT * FROM ({_rates_by('route', 'route')}) g WHERE flight_count >= 5", "p3"))
+def q_eda_routes(spark, sf):
+    return PR.routes(p3_features(spark, sf))
+
+
+@register("eda_route_sparsity", sql(
+    f"""SELECT CAST(count(*) AS BIGINT) AS total_unique_routes, CAST(count_if(n >= 5) AS BIGINT) AS frequent_routes_count,
+  CAST(count_if(n < 5) AS BIGINT) AS sparse_routes_count, {r2('count_if(n < 5) * 100.0 / count(*)')} AS sparse_routes_pct
+  FROM (SELECT route, count(*) AS n FROM p3 GROUP BY route) g""", "p3"))
+def q_eda_route_sparsity(spark, sf):
+    return PR.route_sparsity(p3_features(spark, sf))
+
+
+_RATE_COLS = ["prior_airline_delay_rate", "prior_origin_delay_rate", "prior_dest_delay_rate", "prior_route_delay_rate",
+              "prior_airline_dep_hour_delay_rate", "prior_origin_dep_hour_delay_rate"]
+
+
+def _long_sql(cols: list[str], src: str = "p3", extra: str = "") -> str:
+    return " UNION ALL ".join(f"SELECT {extra}'{c}' AS column_name, CAST({c} AS DOUBLE) AS v FROM {src} "
+                              f"WHERE {c} IS NOT NULL" for c in cols)
+
+
+@register("eda_history_describe", sql(
+    f"""SELECT column_name, CAST(count(v) AS BIGINT) AS count, {r4('avg(v)')} AS mean, {r4('stddev_samp(v)')} AS std,
+  {r4('min(v)')} AS min, {r4('quantile_cont(v, 0.25)')} AS q25, {r4('quantile_cont(v, 0.5)')} AS q50,
+  {r4('quantile_cont(v, 0.75)')} AS q75, {r4('max(v)')} AS max FROM ({_long_sql(_RATE_COLS)}) l GROUP BY column_name""",
+    "p3"))
+def q_eda_history_describe(spark, sf):
+    return PR.describe(p3_features(spark, sf), _RATE_COLS)
+
+
+_NUM_PROFILE = ["distance", "scheduled_dep_time", "scheduled_arr_time", "arr_hour_sin", "arr_hour_cos", "dep_minute_sin",
+                "dep_minute_cos", "prior_route_frequency", "prior_origin_flight_volume", "prior_dest_flight_volume",
+                "prior_airline_flight_count", "prior_origin_flight_count", "prior_dest_flight_count"]
+
+
+@register("eda_numeric_profile", sql(
+    f"""SELECT column_name, CAST(count(v) AS BIGINT) AS count, {r4('avg(v)')} AS mean, {r4('stddev_samp(v)')} AS std,
+  {r4('quantile_cont(v, 0.5)')} AS median, {r4('min(v)')} AS min, {r4('max(v)')} AS max,
+  {r4('quantile_cont(v, 0.25)')} AS q25, {r4('quantile_cont(v, 0.75)')} AS q75,
+  {r4('quantile_cont(v, 0.75) - quantile_cont(v, 0.25)')} AS iqr, {r4('skewness(v)')} AS skewness
+  FROM ({_long_sql(_NUM_PROFILE)}) l GROUP BY column_name""", "p3"))
+def q_eda_numeric_profile(spark, sf):
+    return PR.numeric_profile(p3_features(spark, sf), _NUM_PROFILE)
+
+
+_CORR_P3 = ["distance", "route_distance", "prior_route_frequency", "prior_origin_flight_volume",
+            "prior_dest_flight_volume", "prior_airline_delay_rate", "prior_origin_delay_rate", "prior_dest_delay_rate",
+            "prior_route_delay_rate", "prior_airline_dep_hour_delay_rate", "prior_origin_dep_hour_delay_rate",
+            "arr_hour_sin", "dep_minute_sin", "delay_target"]
+
+
+@register("eda_target_corr", sql(
+    "SELECT feature, correlation FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {r4(f'corr(CAST({c} AS DOUBLE), CAST(delay_target AS DOUBLE))')} AS correlation, "
+        f"stddev_samp({c}) AS sd FROM p3" for c in _CORR_P3 if c != "delay_target") + ") x WHERE sd > 0", "p3"))
+def q_eda_target_corr(spark, sf):
+    return PR.target_correlations(p3_features(spark, sf), _CORR_P3)
+
+
+def _pairs_sql(cols: list[str]) -> str:
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    return " UNION ALL ".join(
+        f"SELECT '{a}' AS feature_1, '{b}' AS feature_2, {r4(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))')} "
+        f"AS correlation FROM p3" for a, b in pairs)
+
+
+@register("corr_matrix", sql(_pairs_sql(_CORR_P3), "p3"))
+def q_corr_matrix(spark, sf):
+    return PR.correlation_pairs(p3_features(spark, sf), _CORR_P3)
+
+
+@register("eda_collinear_pairs", sql(
+    "SELECT * FROM (" + _pairs_sql([c for c in _CORR_P3 if c != "delay_target"]) + ") x WHERE abs(correlation) >= 0.85",
+    "p3"))
+def q_eda_collinear(spark, sf):
+    return PR.collinear_pairs(p3_features(spark, sf), [c for c in _CORR_P3 if c != "delay_target"])
+
+
+_OUTLIER_COLS = ["distance", "prior_route_frequency", "prior_origin_flight_volume", "prior_dest_flight_volume",
+                 "prior_airline_flight_count", "prior_origin_flight_count", "prior_dest_flight_count"]
+
+
+@register("eda_outliers", sql(
+    f"""SELECT l.column_name, {r2('b.lo')} AS lower_bound, {r2('b.hi')} AS upper_bound,
+  CAST(count_if(v < lo OR v > hi) AS BIGINT) AS outlier_count,
+  {r2('count_if(v < lo OR v > hi) * 100.0 / count(*)')} AS outlier_pct,
+  {r2('min(CASE WHEN v < lo OR v > hi THEN v END)')} AS min_outlier,
+  {r2('max(CASE WHEN v < lo OR v > hi THEN v END)')} AS max_outlier
+  FROM ({_long_sql(_OUTLIER_COLS)}) l JOIN (SELECT column_name,
+      quantile_cont(v, 0.25) - 1.5 * (quantile_cont(v, 0.75) - quantile_cont(v, 0.25)) AS lo,
+      quantile_cont(v, 0.75) + 1.5 * (quantile_cont(v, 0.75) - quantile_cont(v, 0.25)) AS hi
+    FROM ({_long_sql(_OUTLIER_COLS)}) q GROUP BY column_name) b USING (column_name)
+  GROUP BY l.column_name, b.lo, b.hi""", "p3"))
+def q_eda_outliers(spark, sf):
+    return PR.outliers(p3_features(spark, sf), _OUTLIER_COLS)
+
+
+def _r1(x: str) -> str:
+    return f"(CAST(round_even(CAST({x} AS DOUBLE) * 10.0, 0) AS DOUBLE) / 10.0 + 0.0)"
+
+
+@register("eda_delay_percentiles", sql(
+    f"""SELECT column_name, {_r1('min(v)')} AS min, {_r1('max(v)')} AS max, {_r1('avg(v)')} AS mean,
+  {_r1('quantile_cont(v, 0.5)')} AS median, {_r1('quantile_cont(v, 0.9)')} AS p90, {_r1('quantile_cont(v, 0.95)')} AS p95,
+  {_r1('quantile_cont(v, 0.99)')} AS p99 FROM ({_long_sql(['arrival_delay', 'departure_delay'], 'clean')}) l
+  GROUP BY column_name""", "clean"))
+def q_eda_delay_percentiles(spark, sf):
+    return PR.delay_percentiles(PL.cleaned_flights(spark, sf))
+
+
+_HOUR_SQL = hhmm("scheduled_dep_time")[0]
+
+
+@register("eda_hour", sql(_rates_by(_HOUR_SQL, "departure_hour"), "p3"))
+def q_eda_hour(spark, sf):
+    return PR.group_rates(p3_features(spark, sf), S.hhmm_parts(F.col("scheduled_dep_time"))[0], name="departure_hour")
+
+
+@register("eda_haul", sql(_reindexed("distance_category", "distance_category",
+                                     ["short_haul", "medium_haul", "long_haul"]), "p3"))
+def q_eda_haul(spark, sf):
+    return PR.reindex(PR.group_rates(p3_features(spark, sf), "distance_category"), "distance_category",
+                      ["short_haul", "medium_haul", "long_haul"])
+
+
+@register("top_airports", sql(
+    f"SELECT * FROM ({_rates_by('origin_airport', 'origin_airport')}) g WHERE flight_count >= 10 "
+    "ORDER BY delay_rate DESC, origin_airport LIMIT 10", "p3"))
+def q_top_airports(spark, sf):
+    return PR.top_groups(p3_features(spark, sf), "origin_airport", 10, 10)
+
+
+@register("top_routes", sql(
+    f"SELECT * FROM ({_rates_by('route', 'route')}) g WHERE flight_count >= 5 "
+    "ORDER BY delay_rate DESC, route LIMIT 12", "p3"))
+def q_top_routes(spark, sf):
+    return PR.top_groups(p3_features(spark, sf), "route", 5, 12)
+
+
+_BOX_COLS = ["distance", "scheduled_dep_time", "prior_route_frequency"]
+
+
+@register("dist_by_target", sql(
+    f"""SELECT target, column_name, CAST(count(v) AS BIGINT) AS n, {r4('min(v)')} AS min,
+  {r4('quantile_cont(v, 0.25)')} AS q25, {r4('quantile_cont(v, 0.5)')} AS median, {r4('quantile_cont(v, 0.75)')} AS q75,
+  {r4('max(v)')} AS max FROM ({_long_sql(_BOX_COLS, extra='delay_target AS target, ')}) l
+  GROUP BY target, column_name""", "p3"))
+def q_dist_by_target(spark, sf):
+    return PR.distribution_by_target(p3_features(spark, sf), _BOX_COLS)
+
+
+@register("rate_histogram", sql(
+    f"SELECT column_name, CAST(least(floor(v * 20), 19) AS INTEGER) AS bin, CAST(count(*) AS BIGINT) AS n "
+    f"FROM ({_long_sql(_RATE_COLS)}) l GROUP BY 1, 2", "p3"))
+def q_rate_histogram(spark, sf):
+    return PR.rate_histogram(p3_features(spark, sf), _RATE_COLS)
+
+
+@register("kpi_overview", sql(
+    f"""SELECT CAST(count(*) AS BIGINT) AS flights,
+  {r4('''count_if(NOT (_is_duplicate OR _bad_date OR _bad_airport OR _bad_distance OR _bad_delay) AND NOT _is_cancelled
+     AND NOT _is_diverted AND arrival_delay >= 15) / greatest(count_if(NOT (_is_duplicate OR _bad_date OR _bad_airport
+     OR _bad_distance OR _bad_delay) AND NOT _is_cancelled AND NOT _is_diverted), 1)''')} AS delay_rate,
+  {r2('''avg(CASE WHEN NOT (_is_duplicate OR _bad_date OR _bad_airport OR _bad_distance OR _bad_delay)
+     AND NOT _is_cancelled AND NOT _is_diverted THEN arrival_delay END)''')} AS avg_arrival_delay,
+  {r4('count_if(_is_cancelled) / count(*)')} AS cancellation_rate FROM flags""", "flags"))
+def q_kpi_overview(spark, sf):
+    return PR.kpi_overview(quality.annotate(PL.canonical_flights(spark, sf)))
+
+
+@register("hotspot_matrix", sql(
+    f"SELECT origin_airport, dep_hour AS departure_hour, CAST(count(*) AS BIGINT) AS flights, "
+    f"{r4('avg(CAST(delay_target AS DOUBLE))')} AS delay_rate FROM timed GROUP BY 1, 2", "timed"))
+def q_hotspot_matrix(spark, sf):
+    pre = PL.pre_departure(spark, sf).withColumns(S.departure_columns())
+    return PR.hotspot_matrix(pre)
+
+
+_CAT_COLS = ["flight_date", "airline", "origin_airport", "dest_airport", "season", "dep_time_of_day", "dep_time_bucket",
+             "arr_time_of_day", "arr_time_bucket", "route", "route_distance_category", "distance_category"]
+
+
+@register("categorical_profile", sql(
+    """SELECT column_name, CAST(count(*) AS BIGINT) AS distinct_values,
+  min(value) FILTER (WHERE n = mx) AS mode, CAST(max(n) AS BIGINT) AS mode_count FROM (
+  SELECT column_name, value, n, max(n) OVER (PARTITION BY column_name) AS mx FROM (
+  SELECT column_name, value, count(*) AS n FROM (""" + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM p3 WHERE {c} IS NOT NULL"
+        for c in _CAT_COLS) + ") l GROUP BY 1, 2) c) m GROUP BY column_name", "p3"))
+def q_categorical_profile(spark, sf):
+    return PR.categorical_profile(p3_features(spark, sf), _CAT_COLS)
+
+
+_VC_COLS = ["delay_target", "prior_route_frequency", "dep_time_of_day", "distance_category"]
+
+
+@register("value_counts", sql(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, value, n, {r2('n * 100.0 / sum(n) OVER ()')} AS share_pct FROM "
+        f"(SELECT CAST({c} AS VARCHAR) AS value, CAST(count(*) AS BIGINT) AS n FROM p3 GROUP BY 1) g{i}"
+        for i, c in enumerate(_VC_COLS)), "p3"))
+def q_value_counts(spark, sf):
+    df = p3_features(spark, sf)
+    out = None
+    for c in _VC_COLS:
+        v = PR.value_counts(df, c).select(F.lit(c).alias("column_name"), "*")
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+_CYC_PAIRS = [("dep_minute_sin", "dep_minute_cos"), ("arr_hour_sin", "arr_hour_cos")]
+
+
+@register("cyclical_identity", sql(
+    "SELECT " + ", ".join(f"{r6(f'min({s_} * {s_} + {c_} * {c_})')} AS {s_}_min, "
+                          f"{r6(f'max({s_} * {s_} + {c_} * {c_})')} AS {s_}_max" for s_, c_ in _CYC_PAIRS)
+    + " FROM p3", "p3"))
+def q_cyclical_identity(spark, sf):
+    return PR.cyclical_identity(p3_features(spark, sf), _CYC_PAIRS)
+
+
+from . import ml_queries as _ml_queries  # noqa: E402,F401  (registers the model-layer queries)

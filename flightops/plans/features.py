@@ -82,17 +82,22 @@ def base_features_p3(pre: DataFrame) -> DataFrame:
 def feature_table_p3(pre: DataFrame, key: list[str], weather: DataFrame | None = None,
                      min_history: int = 3, fallback: str = "global_prior", wrap_hour: bool = True,
                      with_aliases: bool = True, method: str = "prefix", tie_key: str | None = "obs_id") -> DataFrame:
+    """P3 table. Each dimension's strictly prior (n, s) is computed once: the
+    route / origin / destination volumes are the history flight counts."""
     base = base_features_p3(pre)
-    vols = prior.prior_volumes(base, key=key, method=method)
-    # H11 rates are superseded by the P3 history columns of the same name
-    vols = vols.drop("prior_origin_delay_rate", "prior_dest_delay_rate")
-    hist = prior.history_p3(vols, min_history=min_history, fallback=fallback, key=key,
+    hist = prior.history_p3(base, min_history=min_history, fallback=fallback, key=key,
                             wrap_hour=wrap_hour, with_aliases=with_aliases, method=method)
-    out = hist.drop(prior.T)
+    vols = {"prior_route_frequency": F.col("prior_route_flight_count").cast("long"),
+            "prior_origin_flight_volume": F.col("prior_origin_flight_count").cast("long"),
+            "prior_dest_flight_volume": F.col("prior_dest_flight_count").cast("long")}
+    head = [c for c in base.columns if c != "delay_target"]
+    tail = [c for c in hist.columns if c not in base.columns and c != prior.T]
+    out = hist.select(*[S.col(c) for c in head], *[v.alias(k) for k, v in vols.items()],
+                      *[S.col(c) for c in tail], S.col("delay_target"))
     if weather is not None:
         joined = asof.asof_weather(out, weather, key=key, tie_key=tie_key).drop(prior.T)
         flags = S.weather_flag_columns(joined.columns)
         new = {k: v for k, v in flags.items() if k not in out.columns}
-        out = joined.withColumns(new).select(*out.columns, *new.keys())
-    cols = [c for c in out.columns if c != "delay_target"] + ["delay_target"]
-    return out.select(*[S.col(c) for c in cols])
+        cols = [c for c in out.columns if c != "delay_target"]
+        out = joined.withColumns(new).select(*[S.col(c) for c in cols], *new.keys(), S.col("delay_target"))
+    return out

@@ -149,3 +149,48 @@ def sql(body: str, *needs: str) -> str:
     if not order:
         return body
     return "WITH " + ",\n".join(CTES[n][0] for n in order) + "\n" + body
+
+
+def _tod(h: str) -> str:
+    return (f"CASE WHEN {h} >= 22 OR {h} < 6 THEN 'night' WHEN {h} < 12 THEN 'morning' "
+            f"WHEN {h} < 18 THEN 'afternoon' ELSE 'evening' END")
+
+
+def _bucket(h: str) -> str:
+    return ("CASE " + " ".join(f"WHEN {h} >= {4 * i} AND {h} < {4 * i + 4} THEN '{4 * i:02d}-{4 * i + 4:02d}'"
+                               for i in range(6)) + " ELSE '08-12' END")
+
+
+_DIST_INT = "coalesce(TRY_CAST(trunc(TRY_CAST(distance AS DOUBLE)) AS INTEGER), 0)"
+_HAUL = (f"CASE WHEN {_DIST_INT} < 500 THEN 'short_haul' WHEN {_DIST_INT} < 1500 THEN 'medium_haul' "
+         "ELSE 'long_haul' END")
+_ALIASES = [(a, src) for a_pfx, s_pfx in [("carrier_prior", "prior_airline"), ("airline_prior", "prior_airline"),
+                                          ("origin_prior", "prior_origin"), ("dest_prior", "prior_dest"),
+                                          ("route_prior", "prior_route"),
+                                          ("carrier_origin_hour_prior", "prior_airline_dep_hour"),
+                                          ("airline_dep_hour_prior", "prior_airline_dep_hour")]
+            for a, src in [(f"{a_pfx}_{m}", f"{s_pfx}_{m}") for m in ("flight_count", "delay_count", "delay_rate")]]
+_HIST_COLS = [f"{n}_{m}" for n, _ in P3_DIMS for m in ("flight_count", "delay_count", "delay_rate")]
+
+CTES["vols"] = (f"""vols AS (SELECT flight_id,
+  {window_prior('count(*)', ['route'])} AS prior_route_frequency,
+  {window_prior('count(*)', ['origin_airport'])} AS prior_origin_flight_volume,
+  {window_prior('count(*)', ['dest_airport'])} AS prior_dest_flight_volume FROM timed)""", ["timed"])
+CTES["p3"] = (f"""p3 AS (SELECT t.flight_id, t.flight_date, t.airline, t.origin_airport, t.dest_airport,
+  t.scheduled_dep_time, t.scheduled_arr_time, t.distance, t.cancelled, t.diverted,
+  CAST(day(CAST(t.flight_date AS DATE)) = 1 AS INTEGER) AS is_month_start,
+  CAST(CAST(t.flight_date AS DATE) = last_day(CAST(t.flight_date AS DATE)) AS INTEGER) AS is_month_end,
+  CAST(quarter(CAST(t.flight_date AS DATE)) AS INTEGER) AS quarter,
+  CASE WHEN month(CAST(t.flight_date AS DATE)) IN (12, 1, 2) THEN 'winter'
+       WHEN month(CAST(t.flight_date AS DATE)) IN (3, 4, 5) THEN 'spring'
+       WHEN month(CAST(t.flight_date AS DATE)) IN (6, 7, 8) THEN 'summer' ELSE 'fall' END AS season,
+  {_tod('t.dep_hour')} AS dep_time_of_day, {_bucket('t.dep_hour')} AS dep_time_bucket,
+  {r6('sin(2 * pi() * t.dep_min / 60.0)')} AS dep_minute_sin, {r6('cos(2 * pi() * t.dep_min / 60.0)')} AS dep_minute_cos,
+  {_tod('t.arr_hour')} AS arr_time_of_day, {_bucket('t.arr_hour')} AS arr_time_bucket,
+  {r6('sin(2 * pi() * t.arr_hour / 24.0)')} AS arr_hour_sin, {r6('cos(2 * pi() * t.arr_hour / 24.0)')} AS arr_hour_cos,
+  t.route, {_DIST_INT} AS route_distance, {_HAUL} AS route_distance_category, {_HAUL} AS distance_category,
+  v.prior_route_frequency, v.prior_origin_flight_volume, v.prior_dest_flight_volume,
+  {', '.join('h.' + c for c in _HIST_COLS)},
+  {', '.join(f'h.{src} AS {a}' for a, src in _ALIASES)},
+  t.delay_target
+  FROM timed t JOIN hist3 h USING (flight_id) JOIN vols v USING (flight_id))""", ["timed", "hist3", "vols"])

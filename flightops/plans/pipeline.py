@@ -14,7 +14,7 @@ KEY = ["flight_id"]
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
-def materialize(spark: SparkSession, name: str, df: DataFrame, sf_dir: str) -> DataFrame:
+def materialize(spark: SparkSession, name: str, df, sf_dir: str) -> DataFrame:
     """Write ``df`` once per (application, table, input) as parquet under the
     shared checkpoint folder and read it back: later plans scan it with
     column pruning and pushed filters instead of recomputing the lineage."""
@@ -22,7 +22,7 @@ def materialize(spark: SparkSession, name: str, df: DataFrame, sf_dir: str) -> D
     k = (app, name, sf_dir)
     if k not in _WRITTEN:
         path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(path)
+        (df() if callable(df) else df).write.mode("overwrite").parquet(path)
         _WRITTEN[k] = path
     return spark.read.parquet(_WRITTEN[k])
 
@@ -38,8 +38,9 @@ def cleaned_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pre_departure(spark: SparkSession, sf_dir: str, written: bool = True) -> DataFrame:
     """Pre-departure table; by default the write-once copy (phase hand-off
     by file, as in a production pipeline)."""
-    plan = clean.pre_departure(cleaned_flights(spark, sf_dir))
-    return materialize(spark, "pre_departure", plan, sf_dir) if written else plan
+    def plan():
+        return clean.pre_departure(cleaned_flights(spark, sf_dir))
+    return materialize(spark, "pre_departure", plan, sf_dir) if written else plan()
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +54,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: cuts lineage (recovery after executor loss restarts from the
+    files) and gives later self-joins a short, distinct plan."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stage/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (never localCheckpoint)."""
     checkpoint_dir(df.sparkSession)
