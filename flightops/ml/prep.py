@@ -96,8 +96,7 @@ class Preprocessor:
                                         stringOrderType="alphabetAsc"))
         if self.categorical:
             stages.append(OneHotEncoder(inputCols=[f"_idx_{c}" for c in self.categorical],
-                                        outputCols=[f"_ohe_{c}" for c in self.categorical], dropLast=True,
-                                        handleInvalid="keep"))
+                                        outputCols=[f"_ohe_{c}" for c in self.categorical], dropLast=True))
         stages.append(VectorAssembler(inputCols=[f"_num_{c}" for c in self.numeric]
                                       + [f"_ohe_{c}" for c in self.categorical], outputCol="features"))
         self.encoder = Pipeline(stages=stages).fit(self._columns(train))

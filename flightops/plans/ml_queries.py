@@ -12,7 +12,7 @@ from ..ml import explain, models, prep, select
 from ..operators import metrics, split
 from . import pipeline as PL
 from .catalog import KEY, p3_features, register
-from .oracle import r2, r4, sql
+from .oracle import CTES, r2, r4, sql
 
 _CTX: dict = {}
 
@@ -66,13 +66,12 @@ def _test_predictions(spark, sf, name) -> DataFrame:
         "flight_id", models.PROB, "predicted_class", "risk_level")
 
 
-_TRAIN_SQL = "train AS (SELECT p.* FROM p3 p JOIN splitp s USING (flight_id) WHERE s.split = 'train')"
+CTES["train"] = ("train AS (SELECT p.* FROM p3 p JOIN splitp s USING (flight_id) WHERE s.split = 'train')",
+                 ["p3", "splitp"])
 
 
 def _with_train(body: str) -> str:
-    q = sql(body, "p3", "splitp")
-    head, rest = q.split("\n", 1) if q.startswith("WITH ") else ("", q)
-    return q.replace("\nSELECT", f",\n{_TRAIN_SQL}\nSELECT", 1) if q.startswith("WITH ") else q
+    return sql(body, "train", "p3", "splitp")
 
 
 @register("impute_medians", _with_train(
@@ -249,9 +248,11 @@ def _rates_src(score_col: str) -> str:
         return f"coalesce(CAST({a} AS DOUBLE) / nullif({b}, 0), 0.0)"
     return (f"SELECT split, {r4(d('tp + tn', 'tn + fp + fn + tp'))} AS accuracy, {r4(d('tp', 'tp + fp'))} AS precision, "
             f"{r4(d('tp', 'tp + fn'))} AS recall, {r4(d('2 * tp', '2 * tp + fp + fn'))} AS f1 FROM ("
-            f"SELECT split, count_if(delay_target = 0 AND {score_col} < 0.5) AS tn, "
-            f"count_if(delay_target = 0 AND {score_col} >= 0.5) AS fp, count_if(delay_target = 1 AND {score_col} < 0.5) AS fn, "
-            f"count_if(delay_target = 1 AND {score_col} >= 0.5) AS tp FROM p3 JOIN splitp USING (flight_id) GROUP BY split) c")
+            f"SELECT s.split, count_if(p3.delay_target = 0 AND {score_col} < 0.5) AS tn, "
+            f"count_if(p3.delay_target = 0 AND {score_col} >= 0.5) AS fp, "
+            f"count_if(p3.delay_target = 1 AND {score_col} < 0.5) AS fn, "
+            f"count_if(p3.delay_target = 1 AND {score_col} >= 0.5) AS tp "
+            f"FROM p3 JOIN splitp s USING (flight_id) GROUP BY s.split) c")
 
 
 from . import catalog as _catalog  # noqa: E402
