@@ -109,3 +109,48 @@ class Settings:
 
 
 DEFAULT = Settings()
+
+# feature names whose model importance is reported (exact name or one-hot "name_level")
+HIGHLIGHT_FEATURES = [
+    "prior_airline_flight_count", "prior_airline_delay_rate", "prior_origin_delay_rate", "prior_dest_delay_rate",
+    "prior_route_delay_rate", "prior_route_frequency", "prior_airline_dep_hour_delay_rate",
+    "prior_origin_dep_hour_delay_rate", "severe_weather_flag", "rain_flag", "snow_flag", "fog_flag", "storm_flag",
+    "low_visibility_flag", "time_of_day", "dep_time_bucket", "arr_time_bucket", "season", "haul_category",
+]
+
+# functional domains of the P3 feature table
+FEATURE_DOMAINS: dict[str, list[str]] = {
+    "Date Features": ["is_month_start", "is_month_end", "quarter", "season"],
+    "Time Features": ["scheduled_dep_time", "scheduled_arr_time", "dep_time_of_day", "dep_time_bucket",
+                      "dep_minute_sin", "dep_minute_cos", "arr_time_of_day", "arr_time_bucket", "arr_hour_sin",
+                      "arr_hour_cos"],
+    "Route Features": ["distance", "route_distance", "route", "route_distance_category", "distance_category",
+                       "prior_route_frequency"],
+    "Airport Historical Features": ["prior_origin_flight_volume", "prior_dest_flight_volume",
+                                    "prior_origin_flight_count", "prior_origin_delay_count",
+                                    "prior_origin_delay_rate", "origin_prior_flight_count",
+                                    "origin_prior_delay_count", "origin_prior_delay_rate", "prior_dest_flight_count",
+                                    "prior_dest_delay_count", "prior_dest_delay_rate", "dest_prior_flight_count",
+                                    "dest_prior_delay_count", "dest_prior_delay_rate"],
+    "Airline Historical Features": ["airline", "prior_airline_flight_count", "prior_airline_delay_count",
+                                    "prior_airline_delay_rate", "carrier_prior_flight_count",
+                                    "airline_prior_flight_count", "carrier_prior_delay_count",
+                                    "airline_prior_delay_count", "carrier_prior_delay_rate",
+                                    "airline_prior_delay_rate"],
+    "Route Historical Features": ["prior_route_flight_count", "prior_route_delay_count", "prior_route_delay_rate",
+                                  "route_prior_flight_count", "route_prior_delay_count", "route_prior_delay_rate"],
+    "Time-Interaction Historical Features": ["prior_airline_dep_hour_flight_count",
+                                             "prior_airline_dep_hour_delay_count",
+                                             "prior_airline_dep_hour_delay_rate",
+                                             "carrier_origin_hour_prior_flight_count",
+                                             "airline_dep_hour_prior_flight_count",
+                                             "carrier_origin_hour_prior_delay_count",
+                                             "airline_dep_hour_prior_delay_count",
+                                             "carrier_origin_hour_prior_delay_rate",
+                                             "airline_dep_hour_prior_delay_rate",
+                                             "prior_origin_dep_hour_flight_count",
+                                             "prior_origin_dep_hour_delay_count",
+                                             "prior_origin_dep_hour_delay_rate"],
+    "Weather Features": ["severe_weather_flag", "rain_flag", "snow_flag", "fog_flag", "storm_flag",
+                         "low_visibility_flag"],
+}

@@ -212,13 +212,40 @@ def target_correlations(df: DataFrame, cols: list[str], target: str = "delay_tar
     return long.filter(F.col("sd") > 0).select("feature", _r(F.col("r")).alias("correlation"))
 
 
+def _centered_moments(df: DataFrame, cols: list[str]):
+    """Two-pass Pearson inputs: pass 1 gets counts and means (one number per
+    column to the driver), pass 2 sums centered products. Returns None when
+    a column has nulls (pairwise-complete rows then differ per pair)."""
+    first = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(col(c)).alias(f"n__{c}") for c in cols],
+                   *[F.avg(col(c).cast("double")).alias(f"m__{c}") for c in cols]).first()
+    if any(first[f"n__{c}"] != first["_n"] for c in cols):
+        return None
+    means = {c: float(first[f"m__{c}"] or 0.0) for c in cols}
+    cen = {c: col(c).cast("double") - F.lit(means[c]) for c in cols}
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    return df.agg(*[F.sum(cen[a] * cen[b]).alias(f"{a}__{b}") for a, b in pairs])
+
+
+def _pearson(m, a: str, b: str) -> Column:
+    sab, saa, sbb = F.col(f"`{a}__{b}`"), F.col(f"`{a}__{a}`"), F.col(f"`{b}__{b}`")
+    return F.when((saa > 0) & (sbb > 0), sab / F.sqrt(saa * sbb))
+
+
 def correlation_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
-    """A31 / A14 input: Pearson r for every unordered pair (one aggregate;
-    the pair list is bounded by the named column list)."""
+    """A31 / A14 input: Pearson r for every unordered pair of a named list.
+    Null-free columns use centered sums (two passes of plain sums, which
+    keep the aggregate in generated code); otherwise pairwise ``corr``."""
     cols = [c for c in cols if c in df.columns]
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    wide = df.agg(*[F.corr(col(a).cast("double"), col(b).cast("double")).alias(f"{a}__{b}") for a, b in pairs])
-    entries = [F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), F.col(f"`{a}__{b}`").alias("r"))
+    m = _centered_moments(df, cols)
+    if m is not None:
+        r = {f"{a}__{b}__r": _pearson(m, a, b) for a, b in pairs}
+        wide = m.select(*[v.alias(k) for k, v in r.items()])
+        val = {(a, b): F.col(f"`{a}__{b}__r`") for a, b in pairs}
+    else:
+        wide = df.agg(*[F.corr(col(a).cast("double"), col(b).cast("double")).alias(f"{a}__{b}") for a, b in pairs])
+        val = {(a, b): F.col(f"`{a}__{b}`") for a, b in pairs}
+    entries = [F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), val[(a, b)].alias("r"))
                for a, b in pairs]
     return (wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
             .select("feature_1", "feature_2", _r(F.col("r")).alias("correlation")))
@@ -340,3 +367,33 @@ def cyclical_identity(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
         e = col(s_) * col(s_) + col(c_) * col(c_)
         aggs += [_r(F.min(e), 6).alias(f"{s_}_min"), _r(F.max(e), 6).alias(f"{s_}_max")]
     return df.agg(*aggs)
+
+
+def column_summary(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Per column distinct non-null values, missing count and % -- one
+    unpivot to (column, value text), distinct pairs, then counts per column
+    (no multi-column count(DISTINCT) expansion)."""
+    cols = cols or df.columns
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), col(c).cast("string").alias("v"))
+                                         for c in cols])).alias("e")).select("e.*")
+    uniq = long.filter(F.col("v").isNotNull()).distinct().groupBy("column_name").agg(
+        F.count(F.lit(1)).cast("long").alias("unique_values"))
+    audit = column_audit(df.select(*[col(c) for c in cols])).select("column_name", "missing_count", "missing_pct")
+    types = df.sparkSession.createDataFrame([(f.name, f.dataType.simpleString()) for f in df.schema.fields
+                                             if f.name in cols], "column_name string, dtype string")
+    return audit.join(uniq, "column_name", "left").fillna({"unique_values": 0}).join(F.broadcast(types), "column_name")
+
+
+def feature_quality(df: DataFrame) -> DataFrame:
+    """Numeric / categorical counts, missing cells and %, distance and
+    departure-minute ranges of a feature table (one aggregate)."""
+    num, cat = numeric_columns(df), string_columns(df)
+    missing = sum((F.count_if(col(c).isNull()) for c in df.columns), F.lit(0))
+    out = df.agg(F.count(F.lit(1)).alias("_n"), missing.cast("long").alias("missing_cells"),
+                 F.min("distance").alias("min_distance"), F.max("distance").alias("max_distance"),
+                 F.min("departure_minutes_since_midnight").alias("min_departure_minute"),
+                 F.max("departure_minutes_since_midnight").alias("max_departure_minute"))
+    return out.select(F.lit(len(num)).alias("numeric_features"), F.lit(len(cat)).alias("categorical_features"),
+                      "missing_cells", _r(F.col("missing_cells") * 100.0 / (F.col("_n") * len(df.columns)), 2)
+                      .alias("missing_pct"), "min_distance", "max_distance", "min_departure_minute",
+                      "max_departure_minute")

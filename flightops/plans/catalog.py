@@ -48,12 +48,15 @@ def p3_history(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
-    """(flight_id, split, y, p) with p = strictly prior origin delay rate."""
-    pre = PL.pre_departure(spark, sf)
-    sp = split.chronological_split(pre, key="flight_id").select("flight_id", "split", "delay_target")
-    h = prior.history_p3(pre, key=KEY, dims=["prior_origin"]).select("flight_id", "prior_origin_delay_rate")
-    return sp.join(h, "flight_id").select("flight_id", "split", F.col("delay_target").alias("y"),
-                                          F.col("prior_origin_delay_rate").alias("p"))
+    """(flight_id, split, y, p) with p = strictly prior origin delay rate;
+    written once per session like a model's prediction table."""
+    def plan():
+        pre = PL.pre_departure(spark, sf)
+        sp = split.chronological_split(pre, key="flight_id").select("flight_id", "split", "delay_target")
+        h = prior.history_p3(pre, key=KEY, dims=["prior_origin"]).select("flight_id", "prior_origin_delay_rate")
+        return sp.join(h, "flight_id").select("flight_id", "split", F.col("delay_target").alias("y"),
+                                              F.col("prior_origin_delay_rate").alias("p"))
+    return PL.materialize(spark, "scored", plan, sf)
 
 
 # ---------------------------------------------------------------------------
@@ -1051,3 +1054,58 @@ def q_cyclical_identity(spark, sf):
 
 
 from . import ml_queries as _ml_queries  # noqa: E402,F401  (registers the model-layer queries)
+
+
+# ---- column audits with oracles ---------------------------------------------------------
+
+_P3C = oracle.P3_COLUMNS
+
+
+def _audit_sql() -> str:
+    parts = []
+    for c in _P3C:
+        parts.append(
+            f"SELECT '{c}' AS column_name, CAST(count(*) - count({c}) AS BIGINT) AS missing_count, "
+            f"{r2(f'(count(*) - count({c})) * 100.0 / greatest(count(*), 1)')} AS missing_pct, "
+            f"(count(DISTINCT {c}) + CASE WHEN count(*) > count({c}) THEN 1 ELSE 0 END) <= 1 AS is_constant, "
+            f"CAST(count(DISTINCT {c}) AS BIGINT) AS unique_values FROM p3")
+    return " UNION ALL ".join(parts)
+
+
+ORACLES["eda_quality"] = sql("SELECT column_name, missing_count, missing_pct, is_constant FROM ("
+                             + _audit_sql() + ") a", "p3")
+
+
+@register("p3_column_summary", sql("SELECT column_name, missing_count, missing_pct, unique_values FROM ("
+                                   + _audit_sql() + ") a", "p3"))
+def q_p3_column_summary(spark, sf):
+    return PR.column_summary(p3_features(spark, sf)).drop("dtype")
+
+
+@register("feature_quality", None)
+def q_feature_quality(spark, sf):
+    return PR.feature_quality(features.feature_table_2a(PL.pre_departure(spark, sf), KEY))
+
+
+def _feature_quality_sql() -> str:
+    # the 2A table as a derived table, then one aggregate
+    full = ORACLES["feature_table_2a"]
+    head, body = full.split("\nSELECT t.flight_id", 1)
+    cols = ["flight_id", "flight_date", "airline", "origin_airport", "dest_airport", "year", "month", "day",
+            "day_of_week", "week_of_year", "day_of_year", "is_weekend", "scheduled_dep_time", "departure_hour",
+            "departure_minute", "departure_minutes_since_midnight", "time_of_day", "scheduled_arr_time",
+            "arrival_hour", "arrival_minute", "arrival_minutes_since_midnight", *_CYC, "route", "same_airport_flag",
+            "distance", "haul_category", *_A2_HIST, "delay_target"]
+    missing = " + ".join(f"(count(*) - count({c}))" for c in cols)
+    types = ("(SELECT count_if(split_part(v, '(', 1) IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'HUGEINT', "
+             "'FLOAT', 'DOUBLE', 'DECIMAL')) AS numeric_features, count_if(v = 'VARCHAR') AS categorical_features "
+             "FROM (UNPIVOT (SELECT typeof(COLUMNS(*)) FROM f LIMIT 1) ON COLUMNS(*) INTO NAME k VALUE v) u) ty")
+    return (head + ",\nf AS (SELECT t.flight_id" + body + ")\n"
+            f"SELECT ty.numeric_features, ty.categorical_features, CAST({missing} AS BIGINT) AS missing_cells, "
+            f"{r2(f'({missing}) * 100.0 / (count(*) * {len(cols)})')} AS missing_pct, min(distance) AS min_distance, "
+            "max(distance) AS max_distance, min(departure_minutes_since_midnight) AS min_departure_minute, "
+            f"max(departure_minutes_since_midnight) AS max_departure_minute FROM f, {types} "
+            "GROUP BY ty.numeric_features, ty.categorical_features")
+
+
+ORACLES["feature_quality"] = _feature_quality_sql()

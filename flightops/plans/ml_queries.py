@@ -259,3 +259,13 @@ from . import catalog as _catalog  # noqa: E402
 
 _catalog.ORACLES["experiment_deltas"] = _catalog.ORACLES["experiment_deltas"].replace(
     "{A}", _rates_src("p3.prior_origin_delay_rate")).replace("{B}", _rates_src("p3.prior_airline_delay_rate"))
+
+
+@register("importance_highlights")
+def q_importance_highlights(spark, sf):
+    return explain.importance_highlights(models.importance(fitted(spark, sf, "random_forest")))
+
+
+@register("importance_groups")
+def q_importance_groups(spark, sf):
+    return explain.importance_groups(p3_features(spark, sf), models.importance(fitted(spark, sf, "random_forest")))

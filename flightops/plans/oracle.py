@@ -194,3 +194,11 @@ CTES["p3"] = (f"""p3 AS (SELECT t.flight_id, t.flight_date, t.airline, t.origin_
   {', '.join(f'h.{src} AS {a}' for a, src in _ALIASES)},
   t.delay_target
   FROM timed t JOIN hist3 h USING (flight_id) JOIN vols v USING (flight_id))""", ["timed", "hist3", "vols"])
+
+# column list of the P3 table (flight key first), as defined above
+P3_COLUMNS = (PRE_COLS[:-1] + ["is_month_start", "is_month_end", "quarter", "season", "dep_time_of_day",
+                               "dep_time_bucket", "dep_minute_sin", "dep_minute_cos", "arr_time_of_day",
+                               "arr_time_bucket", "arr_hour_sin", "arr_hour_cos", "route", "route_distance",
+                               "route_distance_category", "distance_category", "prior_route_frequency",
+                               "prior_origin_flight_volume", "prior_dest_flight_volume"]
+              + _HIST_COLS + [a for a, _ in _ALIASES] + ["delay_target"])
