@@ -32,7 +32,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 
 def exclusive_prefix(tl: DataFrame, keys: list[str], order, values: list[str],
-                     block: Column, prefix: str = "prior_") -> DataFrame:
+                     block: Column, prefix: str = "prior_", null_safe: bool = True) -> DataFrame:
     """Add ``prefix+v`` = sum of v over earlier rows (strictly smaller ``order``)
     of the same ``keys``; ``tl`` must hold one row per (keys, order)."""
     t = tl.withColumn("_blk", block)
@@ -45,7 +45,7 @@ def exclusive_prefix(tl: DataFrame, keys: list[str], order, values: list[str],
              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(*keys, "_blk", *[
         F.coalesce(F.sum(f"_bt_{v}").over(w_blk), F.lit(0)).alias(f"_off_{v}") for v in values])
-    j = null_safe_join(t, offsets, keys + ["_blk"])
+    j = null_safe_join(t, offsets, keys + ["_blk"]) if null_safe else t.join(offsets, keys + ["_blk"])
     return j.select(*tl.columns, *[(F.col(f"_off_{v}") + F.col(f"_in_{v}")).alias(f"{prefix}{v}")
                                    for v in values])
 
