@@ -132,3 +132,18 @@ def median_table(train: DataFrame, cols: list[str]) -> DataFrame:
     """Exact training medians as a long table (the imputation constants)."""
     wide = train.agg(*[F.percentile(col(c).cast("double"), 0.5).alias(c) for c in cols])
     return wide.unpivot([], cols, "feature", "median")
+
+
+def registry_v4(df: DataFrame, target: str = "delay_target", key: list[str] | None = None,
+                exclude: list[str] | None = None) -> tuple[list[str], list[str], list[str]]:
+    """M5: the M4 groups minus an exclusion registry (aliases by default) and
+    minus ``cancelled`` / ``diverted`` when they are constant in the data."""
+    from ..operators.prior import P3_ALIASES
+    flags = [c for c in ("cancelled", "diverted") if c in df.columns]
+    const = []
+    if flags:
+        r = df.agg(*[F.min(col(c)).alias(f"lo_{c}") for c in flags], *[F.max(col(c)).alias(f"hi_{c}") for c in flags]).first()
+        const = [c for c in flags if r[f"lo_{c}"] == r[f"hi_{c}"]]
+    excl = set(exclude if exclude is not None else [a for a, _ in P3_ALIASES]) | set(const)
+    num, cat, _ = feature_groups(df, target, exclude=list(excl), key=key)
+    return num, cat, sorted(const)

@@ -202,3 +202,12 @@ def baseline_deltas(metrics: DataFrame, model_col: str, baseline: str, metric_co
     return j.withColumns({"abs_delta": _r4(d),
                           "pct_delta": S.round_half_even(d / F.greatest(F.abs(F.col("base_value")), F.lit(1e-6)) * 100, 2)
                           + F.lit(0.0)})
+
+
+def comparison_table(evaluation: DataFrame, model_col: str = "model", split_col: str = "split",
+                     metric_cols: list[str] | None = None) -> DataFrame:
+    """One row per model, one column per (split, metric)."""
+    metric_cols = metric_cols or ["accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc", "brier_score"]
+    long = evaluation.unpivot([model_col, split_col], metric_cols, "metric", "value")
+    return (long.withColumn("k", F.concat_ws("_", F.col(split_col), F.col("metric")))
+            .groupBy(model_col).pivot("k").agg(F.first("value")))

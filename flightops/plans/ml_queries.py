@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..ml import explain, models, prep, select
-from ..operators import metrics, split
+from ..operators import metrics, prefix, split
 from . import pipeline as PL
 from .catalog import KEY, p3_features, register
 from .oracle import CTES, r2, r4, sql
@@ -269,3 +269,62 @@ def q_importance_highlights(spark, sf):
 @register("importance_groups")
 def q_importance_groups(spark, sf):
     return explain.importance_groups(p3_features(spark, sf), models.importance(fitted(spark, sf, "random_forest")))
+
+
+@register("feature_registry_v4")
+def q_feature_registry_v4(spark, sf):
+    num, cat, const = prep.registry_v4(p3_features(spark, sf), key=KEY)
+    rows = [(c, "numeric") for c in num] + [(c, "categorical") for c in cat] + [(c, "dropped_constant") for c in const]
+    return spark.createDataFrame(rows, "feature string, role string")
+
+
+@register("comparison_table")
+def q_comparison_table(spark, sf):
+    return metrics.comparison_table(metrics.evaluate(_long_eval(spark, sf, _MODELS), groups=["model", "split"]))
+
+
+_BASE_METRICS = ["accuracy", "precision", "recall", "f1", "brier_score"]
+
+
+def _rate_vs_majority(spark, sf) -> DataFrame:
+    """Deterministic scores on the test split: the strictly prior origin rate
+    and the majority-class constant learned on train."""
+    sp = split_features(spark, sf)
+    train = sp.filter(F.col("split") == "train")
+    maj = train.agg((F.count_if(F.col("delay_target") == 1) > F.count_if(F.col("delay_target") == 0))
+                    .cast("double").alias("m"))
+    test = sp.filter(F.col("split") == "test").select(F.col("delay_target").alias("y"),
+                                                      F.col("prior_origin_delay_rate").alias("p"))
+    a = test.select(F.lit("origin_rate").alias("model"), "y", "p")
+    b = prefix.null_safe_join(test, maj, []).select(F.lit("majority_baseline").alias("model"), "y",
+                                                    F.col("m").alias("p"))
+    return a.unionByName(b)
+
+
+@register("baseline_deltas", sql(
+    f"""SELECT r.metric, r.value, b.value AS base_value, {r4('r.value - b.value')} AS abs_delta,
+  {r2('(r.value - b.value) / greatest(abs(b.value), 1e-6) * 100')} AS pct_delta
+  FROM (UNPIVOT ({{R}}) ON {', '.join(_BASE_METRICS)} INTO NAME metric VALUE value) r
+  JOIN (UNPIVOT ({{B}}) ON {', '.join(_BASE_METRICS)} INTO NAME metric VALUE value) b USING (metric)""",
+    "p3", "splitp", "train"))
+def q_baseline_deltas(spark, sf):
+    m = metrics.class_metrics(_rate_vs_majority(spark, sf), groups=["model"])
+    d = metrics.baseline_deltas(m, "model", "majority_baseline", _BASE_METRICS)
+    return d.select("metric", "value", "base_value", "abs_delta", "pct_delta")
+
+
+def _test_metrics_sql(score: str) -> str:
+    def d(a, b):
+        return f"coalesce(CAST({a} AS DOUBLE) / nullif({b}, 0), 0.0)"
+    return (f"SELECT {r4(d('tp + tn', 'tn + fp + fn + tp'))} AS accuracy, {r4(d('tp', 'tp + fp'))} AS precision, "
+            f"{r4(d('tp', 'tp + fn'))} AS recall, {r4(d('2 * tp', '2 * tp + fp + fn'))} AS f1, "
+            f"{r4('brier')} AS brier_score FROM (SELECT count_if(y = 0 AND p < 0.5) AS tn, "
+            "count_if(y = 0 AND p >= 0.5) AS fp, count_if(y = 1 AND p < 0.5) AS fn, count_if(y = 1 AND p >= 0.5) AS tp, "
+            f"avg((p - y) * (p - y)) AS brier FROM (SELECT p3.delay_target AS y, {score} AS p "
+            "FROM p3 JOIN splitp s USING (flight_id) WHERE s.split = 'test') t) c")
+
+
+_catalog.ORACLES["baseline_deltas"] = _catalog.ORACLES["baseline_deltas"].replace(
+    "{R}", _test_metrics_sql("p3.prior_origin_delay_rate")).replace(
+    "{B}", _test_metrics_sql("(SELECT CAST(count_if(delay_target = 1) > count_if(delay_target = 0) AS DOUBLE) "
+                             "FROM train)"))
