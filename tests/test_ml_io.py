@@ -97,3 +97,18 @@ def test_csv_source_and_sinks(spark):
     files.write_table(cleaned, os.path.join(root, "clean_csv"), fmt="csv")
     with pytest.raises(ValueError):
         files.file_format("data.zip")
+
+
+def test_one_pass_permutation_importance_equals_explicit(spark):
+    from flightops.operators import metrics
+    train, val, _ = _splits(spark)
+    num, cat, _ = prep.registry_v6(train, key=["flight_id"])
+    lr = models.fit_logreg(train, prep.Preprocessor(num, cat, scale=True).fit(train), max_iter=30)
+    cols = ["prior_origin_delay_rate", "airline"]
+    got = {r["feature"]: r["permuted_pr_auc"] for r in
+           explain.permutation_importance(lr, val, cols, ["flight_id"], seed=5).collect()}
+    pairs = explain.permutation_pairs(val, ["flight_id"], 5)
+    for c in cols:
+        p = lr.predict(explain.permute_column(val, c, ["flight_id"], 5, pairs)).select(
+            F.col("delay_target").alias("y"), F.col(models.PROB).alias("p"))
+        assert metrics.average_precision(p).first()["pr_auc"] == got[c]
