@@ -61,14 +61,14 @@ def fit_baseline(train: DataFrame, prep: Preprocessor, target: str = "delay_targ
 
 
 def fit_logreg(train: DataFrame, prep: Preprocessor, s: Settings = DEFAULT, target: str = "delay_target",
-               c: float | None = None, max_iter: int = 1000) -> Fitted:
+               c: float | None = None, max_iter: int = 1000, tol: float = 1e-4) -> Fitted:
     w0, w1, n0, n1 = class_weights(train, target)
     total_w = w0 * n0 + w1 * n1
     c = s.lr_c if c is None else c
     x = with_weight(prep.transform(train), w0, w1, target)
     lr = LogisticRegression(featuresCol="features", labelCol=target, weightCol="_w", maxIter=max_iter,
                             regParam=1.0 / (c * total_w), elasticNetParam=0.0, standardization=False,
-                            fitIntercept=True, tol=1e-8)
+                            fitIntercept=True, tol=tol)
     return Fitted("logistic_regression", prep, lr.fit(x))
 
 

@@ -91,10 +91,11 @@ class Preprocessor:
             self.means = {c: r2[f"mean__{c}"] for c in self.numeric}
             self.stds = {c: r2[f"std__{c}"] for c in self.numeric}
         stages = []
-        for c in self.categorical:
-            stages.append(StringIndexer(inputCol=f"_cat_{c}", outputCol=f"_idx_{c}", handleInvalid="keep",
-                                        stringOrderType="alphabetAsc"))
         if self.categorical:
+            # one indexer for all categorical columns: a single counting pass
+            stages.append(StringIndexer(inputCols=[f"_cat_{c}" for c in self.categorical],
+                                        outputCols=[f"_idx_{c}" for c in self.categorical], handleInvalid="keep",
+                                        stringOrderType="alphabetAsc"))
             stages.append(OneHotEncoder(inputCols=[f"_idx_{c}" for c in self.categorical],
                                         outputCols=[f"_ohe_{c}" for c in self.categorical], dropLast=True))
         stages.append(VectorAssembler(inputCols=[f"_num_{c}" for c in self.numeric]
@@ -122,11 +123,17 @@ class Preprocessor:
     def feature_names(self) -> list[str]:
         """M8: numeric names, then ``column_level`` for every kept level."""
         names = list(self.numeric)
-        idx_models = [s for s in self.encoder.stages if hasattr(s, "labels")]
-        for c, m in zip(self.categorical, idx_models):
-            names += [f"{c}_{lvl}" for lvl in m.labels]
+        idx = [s for s in self.encoder.stages if hasattr(s, "labelsArray")]
+        if idx:
+            for c, labels in zip(self.categorical, idx[0].labelsArray):
+                names += [f"{c}_{lvl}" for lvl in labels]
         return names
 
+    def unscaled(self) -> "Preprocessor":
+        """Same medians and fitted category encoder, without standardisation
+        (the assembler reads the same column names, so the encoder is shared)."""
+        return Preprocessor(self.numeric, self.categorical, False, dict(self.medians), {}, {}, self.encoder)
+
 
 def median_table(train: DataFrame, cols: list[str]) -> DataFrame:
     """Exact training medians as a long table (the imputation constants)."""

@@ -38,9 +38,9 @@ def context(spark: SparkSession, sf: str) -> dict:
     sp = split_features(spark, sf)
     train, val, test = (sp.filter(F.col("split") == s).drop("split", "split_pos") for s in ("train", "val", "test"))
     num, cat, consts = prep.registry_v6(p3_features(spark, sf), key=KEY)
+    scaled = prep.Preprocessor(num, cat, scale=True).fit(train)
     ctx = {"train": train, "val": val, "test": test, "numeric": num, "categorical": cat, "constants": consts,
-           "prep_scaled": prep.Preprocessor(num, cat, scale=True).fit(train),
-           "prep_plain": prep.Preprocessor(num, cat, scale=False).fit(train), "models": {}}
+           "prep_scaled": scaled, "prep_plain": scaled.unscaled(), "models": {}}
     _CTX[k] = ctx
     return ctx
 
