@@ -17,14 +17,15 @@ def delay_target(delay: Column, threshold: float = 15.0) -> Column:
 
 def valid_cohort(df: DataFrame) -> DataFrame:
     """Distinct records that pass every check and were neither cancelled nor
-    diverted. ``distinct`` keeps exactly one copy of each duplicate group, as
-    the first-copy rule does, and aggregates map-side."""
+    diverted. Exactly one copy of each duplicate group is kept, as the
+    first-copy rule does (``quality.distinct_rows``: only rows with a
+    repeated row hash take part in the full-width dedup shuffle)."""
     f = quality.row_flags(df)
     ok = ~(f["_bad_date"] | f["_bad_airport"] | f["_bad_distance"] | f["_bad_delay"]
            | f["_is_cancelled"] | f["_is_diverted"])
     # the row predicates are evaluated before the dedup so they prune early;
     # they only depend on the row itself, so filtering first is equivalent
-    return df.filter(ok).distinct()
+    return quality.distinct_rows(df.filter(ok))
 
 
 def standardize(df: DataFrame, threshold: float = 15.0) -> DataFrame:

@@ -56,9 +56,40 @@ def row_flags(df: DataFrame, delay_threshold: float | None = None) -> dict[str,
             "_bad_airport": bad_airport_any, "_bad_distance": bad_dist, "_bad_delay": bad_delay_e}
 
 
+ROW_HASH = "_row_hash"
+
+
+def _hashed(df: DataFrame) -> DataFrame:
+    return df.withColumn(ROW_HASH, F.xxhash64(*[col(c) for c in df.columns]))
+
+
+def _split_by_hash(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose 64-bit row hash is unique, rows sharing a hash with
+    another row). Only the hash column is shuffled to find the shared
+    hashes (map-side combined); the semi/anti joins against that set are
+    broadcast by AQE when it is small (few duplicates), else sort-merge."""
+    h = _hashed(df)
+    shared = h.groupBy(ROW_HASH).agg(F.count(F.lit(1)).alias("_hn")).filter("_hn > 1").select(ROW_HASH)
+    unique = h.join(shared, ROW_HASH, "left_anti").drop(ROW_HASH)
+    cand = h.join(shared, ROW_HASH, "left_semi").drop(ROW_HASH)
+    return unique, cand
+
+
 def copy_counts(df: DataFrame) -> DataFrame:
-    """One row per distinct record with its number of exact copies (nulls equal)."""
-    return df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(COPIES))
+    """One row per distinct record with its number of exact copies (nulls equal).
+
+    Exact, but the full-width shuffle is limited to rows whose row hash
+    repeats (true copies and rare collisions, resolved by grouping on every
+    column); all other rows carry one copy without being shuffled."""
+    unique, cand = _split_by_hash(df)
+    grouped = cand.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(COPIES))
+    return unique.withColumn(COPIES, F.lit(1).cast("long")).unionByName(grouped.withColumn(COPIES, F.col(COPIES).cast("long")))
+
+
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """``df.distinct()`` with the full-width shuffle limited to repeated hashes."""
+    unique, cand = _split_by_hash(df)
+    return unique.unionByName(cand.distinct())
 
 
 def expand_copies(counts: DataFrame, chunk: int = EXPAND_CHUNK) -> DataFrame:
