@@ -157,10 +157,15 @@ def threshold_sweep(df: DataFrame, label: str = "y", score: str = "p",
     return rates_from_counts(long)
 
 
-def best_threshold(sweep: DataFrame, groups: list[str] | None = None, metric: str = "f1") -> DataFrame:
-    """Highest ``metric``; the first (lowest) threshold wins ties."""
+def best_threshold(sweep: DataFrame, groups: list[str] | None = None, metric: str = "f1",
+                   rounded: bool = True) -> DataFrame:
+    """Highest ``metric``; the first (lowest) threshold wins ties. With
+    ``rounded=False`` F1 is compared unrounded (recomputed from the counts)."""
     groups = groups or []
-    best = sweep.groupBy(*groups).agg(F.max_by(F.col("threshold"), F.struct(F.col(metric), -F.col("threshold")))
+    m = F.col(metric)
+    if not rounded and metric == "f1":
+        m = _safe_div(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn"))
+    best = sweep.groupBy(*groups).agg(F.max_by(F.col("threshold"), F.struct(m, -F.col("threshold")))
                                       .alias("best_threshold"),
                                       F.max(metric).alias(f"best_{metric}"))
     return best

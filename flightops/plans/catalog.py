@@ -1109,3 +1109,26 @@ def _feature_quality_sql() -> str:
 
 
 ORACLES["feature_quality"] = _feature_quality_sql()
+
+
+@register("best_threshold_fine", sql(
+    "SELECT split, first(threshold ORDER BY CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0) DESC NULLS LAST, "
+    "threshold ASC) AS best_threshold, max(f1) AS best_f1 FROM (" + _sweep_sql(_FINE) + ") w GROUP BY split",
+    "scored"))
+def q_best_threshold_fine(spark, sf):
+    """.30-.70 step .05, argmax on the unrounded F1."""
+    sw = metrics.threshold_sweep(scored(spark, sf), thresholds=_FINE, groups=["split"])
+    return metrics.best_threshold(sw, groups=["split"], rounded=False)
+
+
+@register("pr_points", sql(
+    f"""SELECT split, s AS threshold, {r4('coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 1.0)')} AS precision,
+  {r4('coalesce(CAST(tp AS DOUBLE) / nullif(P, 0), 0.0)')} AS recall FROM (
+  SELECT split, s,
+    sum(pos) OVER (PARTITION BY split ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+    sum(neg) OVER (PARTITION BY split ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
+    sum(pos) OVER (PARTITION BY split) AS P
+  FROM (SELECT split, p AS s, count_if(y = 1) AS pos, count_if(y <> 1) AS neg FROM scored GROUP BY split, p) a) b""",
+    "scored"))
+def q_pr_points(spark, sf):
+    return metrics.curve_points(scored(spark, sf), groups=["split"]).select("split", "threshold", "precision", "recall")

@@ -328,3 +328,25 @@ _catalog.ORACLES["baseline_deltas"] = _catalog.ORACLES["baseline_deltas"].replac
     "{R}", _test_metrics_sql("p3.prior_origin_delay_rate")).replace(
     "{B}", _test_metrics_sql("(SELECT CAST(count_if(delay_target = 1) > count_if(delay_target = 0) AS DOUBLE) "
                              "FROM train)"))
+
+
+@register("ml_preprocess")
+def q_ml_preprocess(spark, sf):
+    """M7: the fitted preprocessing applied to the test split (dense arrays)."""
+    from pyspark.ml.functions import vector_to_array
+    ctx = context(spark, sf)
+    x = ctx["prep_scaled"].transform(ctx["test"])
+    return x.select("flight_id", vector_to_array("features").alias("features"))
+
+
+@register("ml_rescore")
+def q_ml_rescore(spark, sf):
+    """A saved model re-scored on its own feature set's test split."""
+    import uuid
+    from ..session import checkpoint_dir
+    ctx = context(spark, sf)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/models/rf-{uuid.uuid4().hex}"
+    g = models.load(models.save(fitted(spark, sf, "random_forest"), path))
+    p = g.predict(ctx["test"]).select(F.lit("random_forest").alias("model"), F.lit("test").alias("split"),
+                                      F.col("delay_target").alias("y"), F.col(models.PROB).alias("p"))
+    return metrics.evaluate(p, groups=["model", "split"])
