@@ -1132,3 +1132,17 @@ def q_best_threshold_fine(spark, sf):
     "scored"))
 def q_pr_points(spark, sf):
     return metrics.curve_points(scored(spark, sf), groups=["split"]).select("split", "threshold", "precision", "recall")
+
+
+@register("feature_table_p3_weather")
+def q_feature_table_p3_weather(spark, sf):
+    """P3 table with the severe-weather flags of the nearest prior origin
+    observation (rows-only: the flag columns follow the substring rules)."""
+    return features.feature_table_p3(PL.pre_departure(spark, sf), KEY, weather=PL.weather(spark, sf))
+
+
+@register("feature_table_2a_weather")
+def q_feature_table_2a_weather(spark, sf):
+    """2A table with the joined nearest prior origin weather columns."""
+    t = features.feature_table_2a(PL.pre_departure(spark, sf), KEY, weather=PL.weather(spark, sf))
+    return t.withColumns({c: _r6(F.col(c)) for c in _CYC})

@@ -142,3 +142,19 @@ def test_feature_table_column_counts(spark):
     a2 = features.feature_table_2a(pre, ["flight_id"])
     assert len(a2.columns) - 1 - ("same_airport_flag" in a2.columns) == 38
     assert not math.isnan(p3.agg(F.avg("prior_origin_delay_rate")).first()[0])
+
+
+def test_feature_tables_with_weather(spark):
+    from conftest import SF_SMALL
+    from flightops.plans import pipeline as PL
+    pre = PL.pre_departure(spark, SF_SMALL)
+    w = PL.weather(spark, SF_SMALL)
+    p3 = features.feature_table_p3(pre, ["flight_id"], weather=w)
+    assert p3.count() == pre.count()
+    for c in ("is_rain", "severe_weather_flag", "origin_is_fog", "weather_origin_storm_flag"):
+        assert c in p3.columns
+    assert p3.columns[-1] == "delay_target"
+    a2 = features.feature_table_2a(pre, ["flight_id"], weather=w)
+    assert a2.count() == pre.count() and "weather_origin_missing_flag" in a2.columns
+    matched = a2.filter("weather_origin_missing_flag = 0").count()
+    assert matched == asof.match_rate(asof.asof_weather(pre, w, key=["flight_id"])).first()["matched"]
