@@ -163,10 +163,13 @@ def q_eval_matrix(spark, sf):
 
 
 def _val_table(spark, sf) -> DataFrame:
-    long = _long_eval(spark, sf, _MODELS).filter(F.col("split") == "val")
-    ev = metrics.evaluate(long, groups=["model"])
-    best = metrics.best_threshold(metrics.threshold_sweep(long, groups=["model"]), groups=["model"])
-    return ev.join(best, "model")
+    """Validation metrics + best threshold per model (a few rows, written once)."""
+    def plan():
+        long = _long_eval(spark, sf, _MODELS).filter(F.col("split") == "val")
+        ev = metrics.evaluate(long, groups=["model"])
+        best = metrics.best_threshold(metrics.threshold_sweep(long, groups=["model"]), groups=["model"])
+        return ev.join(best, "model")
+    return PL.materialize(spark, "val_metrics", plan, sf)
 
 
 @register("select_model")
