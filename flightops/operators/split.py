@@ -97,3 +97,15 @@ def split_summary(split_df: DataFrame, date_col: str = "flight_date", target: st
         F.min(col(date_col)).alias("min_date"), F.max(col(date_col)).alias("max_date"),
         S.round_half_even(F.avg(col(target).cast("double")) * 100, 2).alias("delay_rate_pct"))
         .withColumn("pct", S.round_half_even(F.col("records") * 100.0 / total, 2)))
+
+
+def split_overlaps(split_df: DataFrame, date_col: str = "flight_date") -> DataFrame:
+    """M2 warnings: for train->val and val->test, whether the earlier part's
+    last date is later than the next part's first date (one aggregate)."""
+    d, s = col(date_col), F.col("split")
+    r = split_df.agg(*[F.max(F.when(s == p, d)).alias(f"{p}_max") for p in ("train", "val")],
+                     *[F.min(F.when(s == p, d)).alias(f"{p}_min") for p in ("val", "test")])
+    return r.select(F.lit("train_val").alias("boundary"), (F.col("train_max") > F.col("val_min")).alias("overlap"),
+                    F.col("train_max").alias("left_max"), F.col("val_min").alias("right_min")).unionByName(
+        r.select(F.lit("val_test").alias("boundary"), (F.col("val_max") > F.col("test_min")).alias("overlap"),
+                 F.col("val_max").alias("left_max"), F.col("test_min").alias("right_min")))

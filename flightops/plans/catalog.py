@@ -1146,3 +1146,16 @@ def q_feature_table_2a_weather(spark, sf):
     """2A table with the joined nearest prior origin weather columns."""
     t = features.feature_table_2a(PL.pre_departure(spark, sf), KEY, weather=PL.weather(spark, sf))
     return t.withColumns({c: _r6(F.col(c)) for c in _CYC})
+
+
+@register("split_overlaps", sql(
+    """SELECT 'train_val' AS boundary, max(flight_date) FILTER (WHERE split = 'train')
+         > min(flight_date) FILTER (WHERE split = 'val') AS overlap,
+       max(flight_date) FILTER (WHERE split = 'train') AS left_max, min(flight_date) FILTER (WHERE split = 'val') AS right_min
+  FROM splitp
+  UNION ALL
+  SELECT 'val_test', max(flight_date) FILTER (WHERE split = 'val') > min(flight_date) FILTER (WHERE split = 'test'),
+       max(flight_date) FILTER (WHERE split = 'val'), min(flight_date) FILTER (WHERE split = 'test') FROM splitp""",
+    "splitp"))
+def q_split_overlaps(spark, sf):
+    return split.split_overlaps(split.chronological_split(PL.pre_departure(spark, sf), key="flight_id"))
