@@ -35,6 +35,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flightops.llm.common import map_arrow
+
 #: A worker remembers this many pre-tokens (one of more than 64 characters counts once for each 64).
 MEMO_SIZE = 400_000
 #: Texts of about this many characters are taken together, and rows of this many bytes returned together.
@@ -253,7 +255,7 @@ def _mapped(df: DataFrame, source: str, kind: str, targets: list[tuple[str, str]
                         [part.column(k).slice(a + c, d - c) for k in range(part.num_columns - 1)] + made,
                         names=part.schema.names[:-1] + names)
 
-    return given.mapInArrow(run, out)
+    return map_arrow(given, run, out)
 
 
 def _size(value: pa.Scalar) -> bytes | None:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import os
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,19 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow, with the folder that holds this package on the Python path of local workers.
+
+    On a cluster the package is installed or sent along (--py-files); there the entry does no harm.
+    """
+    given = df.sparkSession.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = given.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        given["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+    return df.mapInArrow(run, schema)
+
+
 def words(text: Column) -> Column:
     """Words `[^\\x20\\x09-\\x0D]+` of a text as an array (null: empty)."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WHITE_RUN), "")
