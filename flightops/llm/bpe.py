@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 from flightops.llm.common import map_arrow
 
 #: A worker remembers this many pre-tokens (one of more than 64 characters counts once for each 64).
-MEMO_SIZE = 400_000
+MEMO_SIZE = 200_000
 #: Texts of about this many characters are taken together, and rows of this many bytes returned together.
-IN_CHARS, OUT_BYTES = 24 << 20, 4 << 20
+IN_CHARS, OUT_BYTES = 8 << 20, 2 << 20
 
 # The letters, numbers and white space among the first 256 code points.
 _LETTERS = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
