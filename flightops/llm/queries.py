@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flightops.llm import bpe, line_dedup
+from flightops.llm import bpe, chat_format, line_dedup, simhash_dedup
 from flightops.llm.common import read
 
 
@@ -20,11 +20,22 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(read(spark, sf_dir, "documents"))
 
 
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.digest(read(spark, sf_dir, "documents"))
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.digest(spark, read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op5_line_dedup": op5_line_dedup,
+    "op7_simhash_dedup": op7_simhash_dedup,
+    "op10_chat_format": op10_chat_format,
 }
 
 ORACLES: dict[str, str] = {
     "op5_line_dedup": line_dedup.ORACLE,
+    "op10_chat_format": chat_format.ORACLE,
 }
