@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flightops.llm import bpe, chat_format, line_dedup, simhash_dedup
+from flightops.llm import bpe, chat_format, line_dedup, simhash_dedup, toxicity
 from flightops.llm.common import read
 
 
@@ -16,6 +16,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       public_tokenizers.PATTERN)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(read(spark, sf_dir, "documents"))
 
@@ -30,6 +34,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_toxicity": op2_toxicity,
     "op5_line_dedup": op5_line_dedup,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op10_chat_format": op10_chat_format,
