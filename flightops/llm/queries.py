@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flightops.llm import bpe, chat_format, line_dedup, quality_rules, simhash_dedup, toxicity
+from flightops.llm import bpe, chat_format, html_extract, line_dedup, quality_rules, simhash_dedup, toxicity
 from flightops.llm.common import read
 
 
@@ -32,6 +32,10 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.digest(read(spark, sf_dir, "documents"))
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.digest(read(spark, sf_dir, "pages"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(spark, read(spark, sf_dir, "conversations"))
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_html_extract": op8_html_extract,
     "op10_chat_format": op10_chat_format,
 }
 
