@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flightops.llm import bpe, chat_format, html_extract, line_dedup, quality_rules, simhash_dedup, toxicity
+from flightops.llm import bpe, chat_format, html_extract, line_dedup, quality_rules, simhash_dedup, toxicity, url_filter
 from flightops.llm.common import read
 
 
@@ -20,6 +20,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.digest(spark, read(spark, sf_dir, "pages"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(read(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
+    "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
     "op7_simhash_dedup": op7_simhash_dedup,
