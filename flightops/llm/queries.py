@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flightops.llm import bpe, chat_format, html_extract, line_dedup, quality_rules, simhash_dedup, toxicity, url_filter
+from flightops.llm import bpe, chat_format, decontam, html_extract, line_dedup, quality_rules, simhash_dedup, toxicity, url_filter
 from flightops.llm.common import read
 
 
@@ -32,6 +32,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(read(spark, sf_dir, "documents"))
 
 
+def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.digest(read(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
+    "op6_decontam": op6_decontam,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_html_extract": op8_html_extract,
     "op10_chat_format": op10_chat_format,
