@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flightops.llm import bpe, chat_format, decontam, html_extract, line_dedup, quality_rules, simhash_dedup, toxicity, url_filter
+from flightops.llm import bpe, chat_format, decontam, html_extract, line_dedup, quality_rules, simhash_dedup, substring_dedup, toxicity, url_filter
 from flightops.llm.common import read
 
 
@@ -44,6 +44,10 @@ def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.digest(read(spark, sf_dir, "pages"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(read(spark, sf_dir, "documents"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(spark, read(spark, sf_dir, "conversations"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontam": op6_decontam,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_html_extract": op8_html_extract,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_chat_format": op10_chat_format,
 }
 
