@@ -85,32 +85,19 @@ RISK_TIERS = ["LOW", "MEDIUM", "HIGH", "VERY HIGH"]
 V6_FIXED_CONSTANTS = ["cancelled", "diverted", "is_month_end", "quarter", "season"]
 
 
-@dataclass(frozen=True)
-class Settings:
-    """Driver-side parameters (no environment lookups)."""
-
-    arrival_delay_threshold: float = 15.0
-    min_history: int = 3
-    fallback: str = "global_prior"          # or "nan" or a number as text
-    weather_lookback_minutes: int = 120
-    train_pct: float = 0.70
-    val_pct: float = 0.15
-    seed: int = 42
-    lr_c: float = 1.0
-    rf_trees: int = 100
-    rf_depth: int = 6
-    gbt_iter: int = 100
-    gbt_depth: int = 4
-    gbt_step: float = 0.05
-    distance_short_max: float = 500.0
-    distance_medium_max: float = 1500.0
-    route_min_rows_per_level: float = 3.0
-    thresholds: tuple = field(default_factory=lambda: tuple(CANDIDATE_THRESHOLDS))
-
-
-DEFAULT = Settings()
-
-# feature names whose model importance is reported (exact name or one-hot "name_level")
+# Duplicates of other P3 columns that the v6 registry drops besides the historical aliases
+V6_EXTRA_ALIASES = ["route_distance", "route_distance_category", "prior_origin_flight_volume", "prior_dest_flight_volume"]
+
+# Columns of the profiling tables
+NUM_PROFILE = ["distance", "scheduled_dep_time", "scheduled_arr_time", "arr_hour_sin", "arr_hour_cos", "dep_minute_sin",
+               "dep_minute_cos", "prior_route_frequency", "prior_origin_flight_volume", "prior_dest_flight_volume",
+               "prior_airline_flight_count", "prior_origin_flight_count", "prior_dest_flight_count"]
+OUTLIER_COLS = ["distance", "prior_route_frequency", "prior_origin_flight_volume", "prior_dest_flight_volume",
+                "prior_airline_flight_count", "prior_origin_flight_count", "prior_dest_flight_count"]
+RATE_COLS = ["prior_airline_delay_rate", "prior_origin_delay_rate", "prior_dest_delay_rate", "prior_route_delay_rate",
+             "prior_airline_dep_hour_delay_rate", "prior_origin_dep_hour_delay_rate"]
+
+# Feature names whose model importance is reported (exact name or one-hot "name_level")
 HIGHLIGHT_FEATURES = [
     "prior_airline_flight_count", "prior_airline_delay_rate", "prior_origin_delay_rate", "prior_dest_delay_rate",
     "prior_route_delay_rate", "prior_route_frequency", "prior_airline_dep_hour_delay_rate",
@@ -118,7 +105,7 @@ HIGHLIGHT_FEATURES = [
     "low_visibility_flag", "time_of_day", "dep_time_bucket", "arr_time_bucket", "season", "haul_category",
 ]
 
-# functional domains of the P3 feature table
+# Functional domains of the P3 feature table
 FEATURE_DOMAINS: dict[str, list[str]] = {
     "Date Features": ["is_month_start", "is_month_end", "quarter", "season"],
     "Time Features": ["scheduled_dep_time", "scheduled_arr_time", "dep_time_of_day", "dep_time_bucket",
@@ -154,3 +141,29 @@ FEATURE_DOMAINS: dict[str, list[str]] = {
     "Weather Features": ["severe_weather_flag", "rain_flag", "snow_flag", "fog_flag", "storm_flag",
                          "low_visibility_flag"],
 }
+
+
+@dataclass(frozen=True)
+class Settings:
+    """Driver-side parameters (no environment lookups)."""
+
+    arrival_delay_threshold: float = 15.0
+    min_history: int = 3
+    fallback: str = "global_prior"          # or "nan" or a number as text
+    weather_lookback_minutes: int = 120
+    train_pct: float = 0.70
+    val_pct: float = 0.15
+    seed: int = 42
+    lr_c: float = 1.0
+    rf_trees: int = 100
+    rf_depth: int = 6
+    gbt_iter: int = 100
+    gbt_depth: int = 4
+    gbt_step: float = 0.05
+    distance_short_max: float = 500.0
+    distance_medium_max: float = 1500.0
+    route_min_rows_per_level: float = 3.0
+    thresholds: tuple = field(default_factory=lambda: tuple(CANDIDATE_THRESHOLDS))
+
+
+DEFAULT = Settings()

@@ -53,13 +53,22 @@ def feature_groups(df: DataFrame, target: str = "delay_target", include_route: b
     return num, cat, meta
 
 
+def refuse_outcomes(df: DataFrame) -> None:
+    """A table with a post-flight column must not be modelled."""
+    found = [c for c in df.columns if c in config.OUTCOME_COLUMNS]
+    if found:
+        raise ValueError(f"post-flight columns in the feature table: {found}")
+
+
 def registry_v6(df: DataFrame, target: str = "delay_target", key: list[str] | None = None,
                 fixed_list: bool = False) -> tuple[list[str], list[str], list[str]]:
     """M6: drop constant columns (detected from data unless ``fixed_list``),
-    alias duplicates, ``route`` and identifiers."""
+    every duplicate column (historical aliases and the four other repeats),
+    ``route`` and identifiers; outcome columns are an error."""
+    refuse_outcomes(df)
     from ..operators.prior import P3_ALIASES
     constants = config.V6_FIXED_CONSTANTS if fixed_list else PR.constant_columns(df)
-    aliases = {a for a, _ in P3_ALIASES}
+    aliases = {a for a, _ in P3_ALIASES} | set(config.V6_EXTRA_ALIASES)
     drop = set(constants) | aliases | {"route"} | set(key or [])
     num, cat, _ = feature_groups(df, target, include_route=True, exclude=list(drop), key=key)
     return num, cat, sorted(set(constants))
@@ -142,15 +151,15 @@ def median_table(train: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def registry_v4(df: DataFrame, target: str = "delay_target", key: list[str] | None = None,
-                exclude: list[str] | None = None) -> tuple[list[str], list[str], list[str]]:
-    """M5: the M4 groups minus an exclusion registry (aliases by default) and
-    minus ``cancelled`` / ``diverted`` when they are constant in the data."""
-    from ..operators.prior import P3_ALIASES
+                include_route: bool = False) -> tuple[list[str], list[str], list[str]]:
+    """M5: every column but identifiers, dates, a too sparse ``route`` and
+    ``cancelled`` / ``diverted`` where they are constant. Aliases stay;
+    outcome columns are an error."""
+    refuse_outcomes(df)
     flags = [c for c in ("cancelled", "diverted") if c in df.columns]
     const = []
     if flags:
         r = df.agg(*[F.min(col(c)).alias(f"lo_{c}") for c in flags], *[F.max(col(c)).alias(f"hi_{c}") for c in flags]).first()
         const = [c for c in flags if r[f"lo_{c}"] == r[f"hi_{c}"]]
-    excl = set(exclude if exclude is not None else [a for a, _ in P3_ALIASES]) | set(const)
-    num, cat, _ = feature_groups(df, target, exclude=list(excl), key=key)
+    num, cat, _ = feature_groups(df, target, include_route=include_route, exclude=const, key=key)
     return num, cat, sorted(const)

@@ -42,14 +42,18 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     return g.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
-def overview(df: DataFrame) -> DataFrame:
-    """A1: rows, columns, numeric / categorical counts, duplicate rows."""
-    n_num, n_str = len(numeric_columns(df)), len(string_columns(df))
+def overview(df: DataFrame, key: list[str] | None = None) -> DataFrame:
+    """A1: rows, columns, numeric / categorical counts, columns by type and
+    duplicate rows; the row key is no feature and would hide duplicates."""
+    df = df.drop(*(key or []))
+    kinds = sorted({f.dataType.simpleString() for f in df.schema.fields})
+    n_of = {k: sum(f.dataType.simpleString() == k for f in df.schema.fields) for k in kinds}
     rows = df.agg(F.count(F.lit(1)).cast("long").alias("total_records"))
     d = duplicate_rows(df)
     return (P.null_safe_join(rows, d, [])
-            .withColumns({"total_features": F.lit(len(df.columns)), "numeric_columns": F.lit(n_num),
-                          "categorical_columns": F.lit(n_str)}))
+            .withColumns({"total_features": F.lit(len(df.columns)), "numeric_columns": F.lit(len(numeric_columns(df))),
+                          "categorical_columns": F.lit(len(string_columns(df))),
+                          "dtypes": F.lit(", ".join(f"{k}: {n_of[k]}" for k in kinds))}))
 
 
 def column_audit(df: DataFrame) -> DataFrame:
@@ -200,59 +204,62 @@ def numeric_profile(df: DataFrame, cols: list[str]) -> DataFrame:
                     _r(F.col("_q75") - F.col("_q25")).alias("iqr"), _r(skew).alias("skewness"))
 
 
-def target_correlations(df: DataFrame, cols: list[str], target: str = "delay_target") -> DataFrame:
-    """Pearson r of each non-constant numeric column with the target."""
-    cols = [c for c in cols if c in df.columns and c != target]
-    y = col(target).cast("double")
-    wide = df.agg(*[F.corr(col(c).cast("double"), y).alias(c) for c in cols],
-                  *[F.stddev_samp(col(c).cast("double")).alias(f"{c}__sd") for c in cols])
-    entries = [F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("r"), F.col(f"`{c}__sd`").alias("sd"))
-               for c in cols]
-    long = wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-    return long.filter(F.col("sd") > 0).select("feature", _r(F.col("r")).alias("correlation"))
+def _moments(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(i, j, n, si, sj, sii, sjj, sij) for every pair i <= j of columns that
+    vary, over the rows where both are present. Values are shifted by their
+    column's mean (one number a column, from a first pass) so that the sums
+    keep their digits; each Arrow batch gives one matrix product, and the
+    partial sums, one row a pair and task, are added by Spark."""
+    first = df.agg(*[F.avg(col(c).cast("double")).alias(f"m__{c}") for c in cols],
+                   *[(F.min(col(c)) < F.max(col(c))).alias(f"v__{c}") for c in cols]).first()
+    use = [c for c in cols if first[f"v__{c}"]]
+    shift = [float(first[f"m__{c}"]) for c in use]
+
+    def run(parts):
+        import numpy as np
+        import pyarrow as pa
+        i, j = np.triu_indices(len(use))
+        total = np.zeros((6, len(i)))
+        for part in parts:
+            x = np.column_stack([part.column(k).to_numpy(zero_copy_only=False).astype(float) for k in range(len(use))])
+            here = ~np.isnan(x)
+            x = np.where(here, x - shift, 0.0)
+            m = here.astype(float)
+            n, s, q = m.T @ m, x.T @ m, (x * x).T @ m
+            total += np.stack([n[i, j], s[i, j], s[j, i], q[i, j], q[j, i], (x.T @ x)[i, j]])
+        if len(i):
+            yield pa.RecordBatch.from_arrays([pa.array(i.astype("int32")), pa.array(j.astype("int32")), *map(pa.array, total)],
+                                             names=["i", "j", "n", "si", "sj", "sii", "sjj", "sij"])
+
+    if not use:
+        return df.sparkSession.createDataFrame([], "feature_1 string, feature_2 string, r double")
+    made = df.select(*[col(c).cast("double") for c in use]).mapInArrow(
+        run, "i int, j int, n double, si double, sj double, sii double, sjj double, sij double")
+    sums = made.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "sii", "sjj", "sij")])
+    cov, vi, vj = (F.col(q) - F.col(a) * F.col(b) / F.col("n") for q, a, b in (("sij", "si", "sj"), ("sii", "si", "si"), ("sjj", "sj", "sj")))
+    names = F.array(*[F.lit(c) for c in use])
+    r = F.when((F.col("n") > 1) & (vi > 0) & (vj > 0), cov / F.sqrt(vi * vj))
+    return sums.select(F.get(names, "i").alias("feature_1"), F.get(names, "j").alias("feature_2"), r.alias("r"))
 
 
-def _centered_moments(df: DataFrame, cols: list[str]):
-    """Two-pass Pearson inputs: pass 1 gets counts and means (one number per
-    column to the driver), pass 2 sums centered products. Returns None when
-    a column has nulls (pairwise-complete rows then differ per pair)."""
-    first = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(col(c)).alias(f"n__{c}") for c in cols],
-                   *[F.avg(col(c).cast("double")).alias(f"m__{c}") for c in cols]).first()
-    if any(first[f"n__{c}"] != first["_n"] for c in cols):
-        return None
-    means = {c: float(first[f"m__{c}"] or 0.0) for c in cols}
-    cen = {c: col(c).cast("double") - F.lit(means[c]) for c in cols}
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    return df.agg(*[F.sum(cen[a] * cen[b]).alias(f"{a}__{b}") for a, b in pairs])
-
-
-def _pearson(m, a: str, b: str) -> Column:
-    sab, saa, sbb = F.col(f"`{a}__{b}`"), F.col(f"`{a}__{a}`"), F.col(f"`{b}__{b}`")
-    return F.when((saa > 0) & (sbb > 0), sab / F.sqrt(saa * sbb))
+def target_correlations(df: DataFrame, cols: list[str], target: str = "delay_target") -> DataFrame:
+    """Pearson r of each numeric column that varies with the target."""
+    cols = [c for c in cols if c in df.columns and c != target]
+    m = _moments(df, [*cols, target]).filter((F.col("feature_2") == target) & (F.col("feature_1") != target))
+    return m.select(F.col("feature_1").alias("feature"), _r(F.col("r")).alias("correlation"))
 
 
 def correlation_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
-    """A31 / A14 input: Pearson r for every unordered pair of a named list.
-    Null-free columns use centered sums (two passes of plain sums, which
-    keep the aggregate in generated code); otherwise pairwise ``corr``."""
-    cols = [c for c in cols if c in df.columns]
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    m = _centered_moments(df, cols)
-    if m is not None:
-        r = {f"{a}__{b}__r": _pearson(m, a, b) for a, b in pairs}
-        wide = m.select(*[v.alias(k) for k, v in r.items()])
-        val = {(a, b): F.col(f"`{a}__{b}__r`") for a, b in pairs}
-    else:
-        wide = df.agg(*[F.corr(col(a).cast("double"), col(b).cast("double")).alias(f"{a}__{b}") for a, b in pairs])
-        val = {(a, b): F.col(f"`{a}__{b}`") for a, b in pairs}
-    entries = [F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), val[(a, b)].alias("r"))
-               for a, b in pairs]
-    return (wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-            .select("feature_1", "feature_2", _r(F.col("r")).alias("correlation")))
+    """A31 / A14 input: Pearson r for every unordered pair of columns that vary."""
+    m = _moments(df, [c for c in cols if c in df.columns]).filter(F.col("feature_1") != F.col("feature_2"))
+    return m.select("feature_1", "feature_2", _r(F.col("r")).alias("correlation"))
 
 
 def collinear_pairs(df: DataFrame, cols: list[str], threshold: float = 0.85) -> DataFrame:
-    return correlation_pairs(df, cols).filter(F.abs(F.col("correlation")) >= threshold)
+    """Pairs with |r| of at least the threshold, before rounding."""
+    m = _moments(df, [c for c in cols if c in df.columns])
+    return (m.filter((F.col("feature_1") != F.col("feature_2")) & (F.abs(F.col("r")) >= threshold))
+            .select("feature_1", "feature_2", _r(F.col("r")).alias("correlation")))
 
 
 def outliers(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -288,11 +295,15 @@ def delay_percentiles(df: DataFrame, cols: list[str] | None = None) -> DataFrame
                     _r(F.col("p")[3], 1).alias("p99"))
 
 
-def top_groups(df: DataFrame, key: str, min_n: int, k: int, target: str = "delay_target") -> DataFrame:
-    """Top-k groups by delay rate among groups with >= min_n flights
-    (ties broken by key) -- a TakeOrdered, the limit is the feature."""
+def top_groups(df: DataFrame, key: str, min_n: int, k: int, target: str = "delay_target", by: str = "rate") -> DataFrame:
+    """The top k groups among those with at least min_n flights, by
+    unrounded delay rate or by volume and then rate (ties go to the smaller
+    key) -- a TakeOrdered, the limit is the feature."""
     g = group_rates(df, key, target).filter(F.col("flight_count") >= min_n)
-    return g.orderBy(F.desc("delay_rate"), F.asc(key)).limit(k)
+    order = [F.desc(F.col("delay_count") / F.col("flight_count")), F.asc(key)]
+    if by == "volume":
+        order.insert(0, F.desc("flight_count"))
+    return g.orderBy(*order).limit(k)
 
 
 def distribution_by_target(df: DataFrame, cols: list[str], target: str = "delay_target") -> DataFrame:
@@ -309,10 +320,18 @@ def distribution_by_target(df: DataFrame, cols: list[str], target: str = "delay_
 
 
 def rate_histogram(df: DataFrame, cols: list[str], bins: int = 20) -> DataFrame:
-    """Equal-width bins on [0, 1]; 1.0 falls in the last bin."""
+    """Equal-width bins over each column's own min..max, the maximum in
+    the last bin; a constant column gets a range of one around it."""
     cols = [c for c in cols if c in df.columns]
-    b = F.least(F.floor(F.col("v") * bins), F.lit(bins - 1)).cast("int")
-    return _long(df, cols).groupBy("column_name", b.alias("bin")).agg(F.count(F.lit(1)).cast("long").alias("n"))
+    long = _long(df, cols)
+    ends = long.groupBy("column_name").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    flat = F.col("lo") == F.col("hi")
+    ends = ends.select("column_name", F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+                       F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
+    share = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+    b = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
+    return (long.join(F.broadcast(ends), "column_name")  # one row a column
+            .groupBy("column_name", b.alias("bin")).agg(F.count(F.lit(1)).cast("long").alias("n")))
 
 
 def kpi_overview(annotated: DataFrame) -> DataFrame:

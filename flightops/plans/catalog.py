@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
+from .. import config
 from ..operators import asof, clean, metrics, prior, quality, split
 from ..sources import fixtures, ingest
 from . import features, oracle
@@ -70,13 +71,11 @@ def q_ingest_canonical(spark, sf):
 
 _YMD_SPARK = """SELECT flight_id,
   CAST(year(d) AS INT) AS YEAR, CAST(month(d) AS INT) AS MONTH,
-  CAST(CASE WHEN flight_id % 307 = 5 THEN 31 ELSE day(d) END AS INT) AS DAY,
-  OP_UNIQUE_CARRIER AS AIRLINE FROM (SELECT *, try_cast(FL_DATE AS DATE) AS d FROM {v})
-  WHERE d IS NOT NULL"""
+  CAST(CASE WHEN flight_id % 311 = 7 THEN 31 WHEN flight_id % 313 = 9 THEN 45 ELSE day(d) END AS INT) AS DAY,
+  OP_UNIQUE_CARRIER AS AIRLINE FROM (SELECT *, try_cast(FL_DATE AS DATE) AS d FROM {v})"""
 _YMD_DUCK = """SELECT flight_id, CAST(year(d) AS INTEGER) AS "YEAR", CAST(month(d) AS INTEGER) AS "MONTH",
-  CAST(CASE WHEN flight_id % 307 = 5 THEN 31 ELSE day(d) END AS INTEGER) AS "DAY",
-  "OP_UNIQUE_CARRIER" AS "AIRLINE" FROM (SELECT *, TRY_CAST("FL_DATE" AS DATE) AS d FROM raw) x
-  WHERE d IS NOT NULL"""
+  CAST(CASE WHEN flight_id % 311 = 7 THEN 31 WHEN flight_id % 313 = 9 THEN 45 ELSE day(d) END AS INTEGER) AS "DAY",
+  "OP_UNIQUE_CARRIER" AS "AIRLINE" FROM (SELECT *, TRY_CAST("FL_DATE" AS DATE) AS d FROM raw) x"""
 
 
 @register("ingest_ymd_date", sql(
@@ -722,16 +721,19 @@ from ..operators import profile as PR  # noqa: E402
 _NUMERIC_TYPES = ("TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "FLOAT", "DOUBLE", "DECIMAL")
 
 
+_KINDS_SQL = """CASE WHEN v = 'VARCHAR' THEN 'string' WHEN v = 'INTEGER' THEN 'int' ELSE lower(v) END"""
+
+
 @register("eda_overview", sql(
-    """SELECT r.total_records, r.duplicate_rows, c.total_features, c.numeric_columns, c.categorical_columns FROM
-  (SELECT CAST(count(*) AS BIGINT) AS total_records, CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM p3) d)
-     AS BIGINT) AS duplicate_rows FROM p3) r,
-  (SELECT count(*) AS total_features,
-     count_if(split_part(v, '(', 1) IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'HUGEINT', 'FLOAT', 'DOUBLE', 'DECIMAL'))
-       AS numeric_columns, count_if(v = 'VARCHAR') AS categorical_columns
-   FROM (UNPIVOT (SELECT typeof(COLUMNS(*)) FROM p3 LIMIT 1) ON COLUMNS(*) INTO NAME k VALUE v) u) c""", "p3"))
+    f"""SELECT r.total_records, r.duplicate_rows, c.total_features, c.numeric_columns, c.categorical_columns, c.dtypes FROM
+  (SELECT CAST(count(*) AS BIGINT) AS total_records, CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * EXCLUDE (flight_id)
+     FROM p3) d) AS BIGINT) AS duplicate_rows FROM p3) r,
+  (SELECT sum(n) AS total_features, sum(n) FILTER (k <> 'string') AS numeric_columns, sum(n) FILTER (k = 'string') AS categorical_columns,
+     string_agg(k || ': ' || n, ', ' ORDER BY k) AS dtypes FROM (SELECT {_KINDS_SQL} AS k, count(*) AS n
+     FROM (UNPIVOT (SELECT typeof(COLUMNS(* EXCLUDE (flight_id))) FROM p3 LIMIT 1) ON COLUMNS(*) INTO NAME k VALUE v) u GROUP BY 1) g) c""",
+    "p3"))
 def q_eda_overview(spark, sf):
-    return PR.overview(p3_features(spark, sf))
+    return PR.overview(p3_features(spark, sf), key=KEY)
 
 
 def _p3_columns() -> list[str]:
@@ -844,8 +846,7 @@ def q_eda_route_sparsity(spark, sf):
     return PR.route_sparsity(p3_features(spark, sf))
 
 
-_RATE_COLS = ["prior_airline_delay_rate", "prior_origin_delay_rate", "prior_dest_delay_rate", "prior_route_delay_rate",
-              "prior_airline_dep_hour_delay_rate", "prior_origin_dep_hour_delay_rate"]
+_RATE_COLS = config.RATE_COLS
 
 
 def _long_sql(cols: list[str], src: str = "p3", extra: str = "") -> str:
@@ -862,9 +863,7 @@ def q_eda_history_describe(spark, sf):
     return PR.describe(p3_features(spark, sf), _RATE_COLS)
 
 
-_NUM_PROFILE = ["distance", "scheduled_dep_time", "scheduled_arr_time", "arr_hour_sin", "arr_hour_cos", "dep_minute_sin",
-                "dep_minute_cos", "prior_route_frequency", "prior_origin_flight_volume", "prior_dest_flight_volume",
-                "prior_airline_flight_count", "prior_origin_flight_count", "prior_dest_flight_count"]
+_NUM_PROFILE = config.NUM_PROFILE
 
 
 @register("eda_numeric_profile", sql(
@@ -883,12 +882,26 @@ _CORR_P3 = ["distance", "route_distance", "prior_route_frequency", "prior_origin
             "arr_hour_sin", "dep_minute_sin", "delay_target"]
 
 
+#: Text columns of the P3 table; every other one but the key is numeric.
+_CAT_COLS = ["flight_date", "airline", "origin_airport", "dest_airport", "season", "dep_time_of_day", "dep_time_bucket",
+             "arr_time_of_day", "arr_time_bucket", "route", "route_distance_category", "distance_category"]
+
+
+def _all_numeric(df: DataFrame) -> list[str]:
+    return [c for c in PR.numeric_columns(df) if c not in KEY]
+
+
+def _all_numeric_sql() -> list[str]:
+    return [c for c in oracle.P3_COLUMNS if c not in _CAT_COLS and c not in KEY and c != "delay_target"]
+
+
 @register("eda_target_corr", sql(
-    "SELECT feature, correlation FROM (" + " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, {r4(f'corr(CAST({c} AS DOUBLE), CAST(delay_target AS DOUBLE))')} AS correlation, "
-        f"stddev_samp({c}) AS sd FROM p3" for c in _CORR_P3 if c != "delay_target") + ") x WHERE sd > 0", "p3"))
+    "SELECT feature, " + r4("r") + " AS correlation FROM (UNPIVOT (SELECT " + ", ".join(
+        f"CASE WHEN min({c}) < max({c}) THEN corr(CAST({c} AS DOUBLE), CAST(delay_target AS DOUBLE)) END AS {c}"
+        for c in _all_numeric_sql()) + " FROM p3) ON COLUMNS(*) INTO NAME feature VALUE r) u", "p3"))
 def q_eda_target_corr(spark, sf):
-    return PR.target_correlations(p3_features(spark, sf), _CORR_P3)
+    df = p3_features(spark, sf)
+    return PR.target_correlations(df, _all_numeric(df))
 
 
 def _pairs_sql(cols: list[str]) -> str:
@@ -903,15 +916,20 @@ def q_corr_matrix(spark, sf):
     return PR.correlation_pairs(p3_features(spark, sf), _CORR_P3)
 
 
-@register("eda_collinear_pairs", sql(
-    "SELECT * FROM (" + _pairs_sql([c for c in _CORR_P3 if c != "delay_target"]) + ") x WHERE abs(correlation) >= 0.85",
-    "p3"))
+def _collinear_sql(cols: list[str]) -> str:
+    each = ", ".join(f"CASE WHEN min({a}) < max({a}) AND min({b}) < max({b}) THEN corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) END "
+                     f"AS \"{a}|{b}\"" for i, a in enumerate(cols) for b in cols[i + 1:])
+    return (f"SELECT split_part(k, '|', 1) AS feature_1, split_part(k, '|', 2) AS feature_2, {r4('r')} AS correlation "
+            f"FROM (UNPIVOT (SELECT {each} FROM p3) ON COLUMNS(*) INTO NAME k VALUE r) u WHERE abs(r) >= 0.85")
+
+
+@register("eda_collinear_pairs", sql(_collinear_sql(_all_numeric_sql()), "p3"))
 def q_eda_collinear(spark, sf):
-    return PR.collinear_pairs(p3_features(spark, sf), [c for c in _CORR_P3 if c != "delay_target"])
+    df = p3_features(spark, sf)
+    return PR.collinear_pairs(df, [c for c in _all_numeric(df) if c != "delay_target"])
 
 
-_OUTLIER_COLS = ["distance", "prior_route_frequency", "prior_origin_flight_volume", "prior_dest_flight_volume",
-                 "prior_airline_flight_count", "prior_origin_flight_count", "prior_dest_flight_count"]
+_OUTLIER_COLS = config.OUTLIER_COLS
 
 
 @register("eda_outliers", sql(
@@ -957,18 +975,25 @@ def q_eda_haul(spark, sf):
                       ["short_haul", "medium_haul", "long_haul"])
 
 
+def _top_sql(key: str, min_n: int, k: int, volume: bool = False) -> str:
+    first = "flight_count DESC, " if volume else ""
+    return (f"SELECT * FROM ({_rates_by(key, key)}) g WHERE flight_count >= {min_n} "
+            f"ORDER BY {first}delay_count / flight_count DESC, {key} LIMIT {k}")
+
+
 @register("top_airports", sql(
-    f"SELECT * FROM ({_rates_by('origin_airport', 'origin_airport')}) g WHERE flight_count >= 10 "
-    "ORDER BY delay_rate DESC, origin_airport LIMIT 10", "p3"))
+    f"SELECT 'origin' AS side, origin_airport AS airport, * EXCLUDE (origin_airport) FROM ({_top_sql('origin_airport', 10, 10)}) a UNION ALL "
+    f"SELECT 'destination', dest_airport, * EXCLUDE (dest_airport) FROM ({_top_sql('dest_airport', 10, 10)}) b", "p3"))
 def q_top_airports(spark, sf):
-    return PR.top_groups(p3_features(spark, sf), "origin_airport", 10, 10)
+    df = p3_features(spark, sf)
+    sides = [PR.top_groups(df, c, 10, 10).withColumnRenamed(c, "airport").select(F.lit(side).alias("side"), "*")
+             for side, c in (("origin", "origin_airport"), ("destination", "dest_airport"))]
+    return sides[0].unionByName(sides[1])
 
 
-@register("top_routes", sql(
-    f"SELECT * FROM ({_rates_by('route', 'route')}) g WHERE flight_count >= 5 "
-    "ORDER BY delay_rate DESC, route LIMIT 12", "p3"))
+@register("top_routes", sql(_top_sql("route", 5, 12, volume=True), "p3"))
 def q_top_routes(spark, sf):
-    return PR.top_groups(p3_features(spark, sf), "route", 5, 12)
+    return PR.top_groups(p3_features(spark, sf), "route", 5, 12, by="volume")
 
 
 _BOX_COLS = ["distance", "scheduled_dep_time", "prior_route_frequency"]
@@ -984,8 +1009,10 @@ def q_dist_by_target(spark, sf):
 
 
 @register("rate_histogram", sql(
-    f"SELECT column_name, CAST(least(floor(v * 20), 19) AS INTEGER) AS bin, CAST(count(*) AS BIGINT) AS n "
-    f"FROM ({_long_sql(_RATE_COLS)}) l GROUP BY 1, 2", "p3"))
+    f"""SELECT column_name, CAST(least(floor((v - lo) / (hi - lo) * 20), 19) AS INTEGER) AS bin, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT column_name, v, CASE WHEN mn = mx THEN mn - 0.5 ELSE mn END AS lo, CASE WHEN mn = mx THEN mx + 0.5 ELSE mx END AS hi FROM (
+  SELECT column_name, v, min(v) OVER (PARTITION BY column_name) AS mn, max(v) OVER (PARTITION BY column_name) AS mx
+  FROM ({_long_sql(_RATE_COLS)}) l) m) b GROUP BY 1, 2""", "p3"))
 def q_rate_histogram(spark, sf):
     return PR.rate_histogram(p3_features(spark, sf), _RATE_COLS)
 
@@ -1010,10 +1037,6 @@ def q_hotspot_matrix(spark, sf):
     return PR.hotspot_matrix(pre)
 
 
-_CAT_COLS = ["flight_date", "airline", "origin_airport", "dest_airport", "season", "dep_time_of_day", "dep_time_bucket",
-             "arr_time_of_day", "arr_time_bucket", "route", "route_distance_category", "distance_category"]
-
-
 @register("categorical_profile", sql(
     """SELECT column_name, CAST(count(*) AS BIGINT) AS distinct_values,
   min(value) FILTER (WHERE n = mx) AS mode, CAST(max(n) AS BIGINT) AS mode_count FROM (

@@ -179,7 +179,7 @@ def q_select_model(spark, sf):
 
 @register("composite_score")
 def q_composite(spark, sf):
-    return select.composite_score(_val_table(spark, sf)).select("model", "composite_score")
+    return select.composite_score(_val_table(spark, sf)).select("model", "composite_score", "winner")
 
 
 @register("select_tree_model")
