@@ -64,6 +64,16 @@ SNOW_PATTERN = "snow|blizzard|sleet|wintry"
 FOG_PATTERN = "fog|mist|haze"
 STORM_PATTERN = "storm|thunder|tstm|squall"
 
+# What names each weather measure's column, in order of preference, and its value where it is missing
+WEATHER_INPUTS: dict[str, tuple[list[str], object]] = {
+    "condition": (["weather_condition", "condition"], None),
+    "precipitation": (["precipitation", "precip"], 0.0),
+    "temperature": (["temperature", "temp"], 20.0),
+    "visibility": (["visibility"], 10.0),
+    "wind": (["wind_speed", "wind"], 0.0),
+    "snow": (["snow"], 0.0),
+}
+
 TIME_OF_DAY_2A = ["overnight", "morning", "afternoon", "evening"]
 TIME_OF_DAY_P3 = ["night", "morning", "afternoon", "evening"]
 TIME_BUCKETS_4H = ["00-04", "04-08", "08-12", "12-16", "16-20", "20-24"]
@@ -166,4 +176,12 @@ class Settings:
     thresholds: tuple = field(default_factory=lambda: tuple(CANDIDATE_THRESHOLDS))
 
 
+# Tuning grids by estimator; every combination of the lists is a point
+TUNING_GRIDS: dict[str, dict[str, list]] = {
+    "logistic_regression": {"c": [0.001, 0.01, 0.05, 0.1, 0.5, 1.0, 5.0, 10.0]},
+    "random_forest": {"trees": [50, 100, 200], "depth": [4, 6, 8], "min_leaf": [2, 5], "subset": ["sqrt", "log2"]},
+    "gradient_boosting": {"iters": [50, 100, 150], "depth": [3, 4, 5], "step": [0.03, 0.05], "subsample": [0.8, 1.0],
+                          "subset": ["0.8", "all"]},
+}
+
 DEFAULT = Settings()

@@ -207,18 +207,12 @@ def weather_validate(weather: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("long").alias("total_records"),
         F.count_if(~ok).cast("long").alias("invalid_rows"),
         F.count_distinct(F.when(ok_airport, F.col("airport"))).cast("long").alias("airports_covered"),
+        F.array_join(F.array_sort(F.collect_set(F.when(ok_airport, F.col("airport")))), ",").alias("airports"),  # three letters: bounded
         F.min(ts).alias("min_timestamp"),
         F.max(ts).alias("max_timestamp"),
     ).withColumn("is_valid", F.col("invalid_rows") == 0)
 
 
-def weather_airports(weather: DataFrame) -> DataFrame:
-    """Sorted distinct airports with valid codes (one row each, no collect)."""
-    airport = strip(F.col("airport").cast("string"))
-    return (weather.select(F.col("airport")).filter(F.coalesce(airport.rlike(config.AIRPORT_PATTERN), F.lit(False)))
-            .distinct())
-
-
 # ---- V13 / V14 ---------------------------------------------------------------------
 
 def temporal_violations(pairs: DataFrame, history_ts: str, prediction_ts: str) -> DataFrame:
@@ -251,3 +245,12 @@ def population_alignment(a: DataFrame, b: DataFrame, key: list[str], compare: li
         aggs.append(F.count_if(both & ~F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}"))).cast("long")
                     .alias(f"diff_{c}"))
     return j.agg(*aggs)
+
+
+def assert_population_alignment(a: DataFrame, b: DataFrame, key: list[str], compare: list[str]) -> dict:
+    """The two tables hold the same rows with the same values, or a ValueError that says what differs."""
+    row = population_alignment(a, b, key, compare).first().asDict()
+    wrong = {k: v for k, v in row.items() if v and (k.startswith("only_in_") or k.startswith("diff_"))}
+    if wrong:
+        raise ValueError(f"feature tables do not align: {wrong}")
+    return row

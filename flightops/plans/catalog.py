@@ -155,6 +155,8 @@ def q_cohort_counts(spark, sf):
     AND (wind_speed IS NULL OR wind_speed >= 0))) AS BIGINT) AS invalid_rows,
   CAST(count(DISTINCT CASE WHEN regexp_full_match(trim(airport), '[A-Za-z]{3}') THEN airport END) AS BIGINT)
     AS airports_covered,
+  coalesce(string_agg(DISTINCT CASE WHEN regexp_full_match(trim(airport), '[A-Za-z]{3}') THEN airport END, ','
+    ORDER BY CASE WHEN regexp_full_match(trim(airport), '[A-Za-z]{3}') THEN airport END), '') AS airports,
   min("timestamp") AS min_timestamp, max("timestamp") AS max_timestamp,
   count_if(NOT (coalesce(regexp_full_match(trim(airport), '[A-Za-z]{3}'), false)
     AND "timestamp" IS NOT NULL AND (humidity IS NULL OR humidity BETWEEN 0 AND 100)
@@ -167,25 +169,34 @@ def q_weather_validate(spark, sf):
 
 @register("temporal_violations", sql(
     f"""SELECT CAST(count_if(latest >= dep_minute) AS BIGINT) AS violations,
-  CAST(count_if(latest IS NOT NULL) AS BIGINT) AS checked
-  FROM (SELECT dep_minute, {oracle.window_prior('max(dep_minute)', ['origin_airport'])} AS latest FROM timed) x""",
+  CAST(count_if(latest IS NOT NULL) AS BIGINT) AS checked,
+  CAST(max(CASE WHEN latest >= dep_minute THEN latest END) AS BIGINT) AS max_offending
+  FROM (SELECT dep_minute, CASE WHEN flight_id % 397 = 2 THEN dep_minute + 5 ELSE
+    {oracle.window_prior('max(dep_minute)', ['origin_airport'])} END AS latest FROM timed) x""",
     "timed"))
 def q_temporal_violations(spark, sf):
+    """V13 on history minutes of which some are planted after their prediction."""
     pre = prior.with_departure_minute(PL.pre_departure(spark, sf))
-    latest = prior.latest_prior_minute(pre, ["origin_airport"])
-    return latest.agg(F.count_if(F.col("latest") >= F.col(prior.T)).cast("long").alias("violations"),
-                      F.count_if(F.col("latest").isNotNull()).cast("long").alias("checked"))
+    latest = prior.latest_prior_minute(pre, ["origin_airport"]).withColumn(
+        "latest", F.when(F.col("flight_id") % 397 == 2, F.col(prior.T) + 5).otherwise(F.col("latest")))
+    bad = quality.temporal_violations(latest, "latest", prior.T)
+    n = latest.agg(F.count_if(F.col("latest").isNotNull()).cast("long").alias("checked"))
+    return (bad.crossJoin(F.broadcast(n))  # one row each
+            .select("violations", "checked", F.col("max_offending_ts").cast("long").alias("max_offending")))
 
 
 @register("population_alignment", sql(
-    """SELECT CAST(0 AS BIGINT) AS only_in_b, CAST(0 AS BIGINT) AS only_in_a,
-  CAST(count(*) AS BIGINT) AS rows_a, CAST(count(*) AS BIGINT) AS rows_b,
-  CAST(0 AS BIGINT) AS diff_delay_target, CAST(0 AS BIGINT) AS diff_flight_date,
-  CAST(0 AS BIGINT) AS diff_scheduled_dep_time FROM pre""", "pre"))
+    """SELECT CAST(0 AS BIGINT) AS only_in_b, CAST(count_if(flight_id % 401 = 3) AS BIGINT) AS only_in_a,
+  CAST(count(*) AS BIGINT) AS rows_a, CAST(count_if(flight_id % 401 <> 3) AS BIGINT) AS rows_b,
+  CAST(count_if(flight_id % 401 <> 3 AND flight_id % 389 = 1) AS BIGINT) AS diff_delay_target, CAST(0 AS BIGINT) AS diff_flight_date,
+  CAST(count_if(flight_id % 401 <> 3 AND flight_id % 383 = 7) AS BIGINT) AS diff_scheduled_dep_time FROM pre""", "pre"))
 def q_population_alignment(spark, sf):
+    """V14 on the 2A table and a P3 table with planted gaps and changes."""
     pre = PL.pre_departure(spark, sf)
     a = features.base_features_2a(pre, KEY, same_airport=False)
-    b = features.base_features_p3(pre)
+    b = features.base_features_p3(pre).where("flight_id % 401 <> 3").withColumns({
+        "delay_target": F.when(F.col("flight_id") % 389 == 1, 1 - F.col("delay_target")).otherwise(F.col("delay_target")),
+        "scheduled_dep_time": F.when(F.col("flight_id") % 383 == 7, F.col("scheduled_dep_time") + 1).otherwise(F.col("scheduled_dep_time"))})
     return quality.population_alignment(a, b, KEY, ["delay_target", "flight_date", "scheduled_dep_time"])
 
 
@@ -502,35 +513,48 @@ def q_prior_airport_rate_raw(spark, sf):
 # as-of weather join
 # ---------------------------------------------------------------------------
 
-def _asof_sql(airport: str, prefix: str) -> str:
-    return f"""SELECT f.flight_id, w.obs_id AS {prefix}obs_id, {r4(f'w.temperature')} AS {prefix}temperature,
-  w.weather_condition AS {prefix}weather_condition,
+_MEASURES = ["temperature", "humidity", "wind_speed", "wind_direction", "precipitation", "visibility", "pressure", "cloud_cover"]
+
+
+def _asof_sql(airport: str, prefix: str, lag: int = 0) -> str:
+    """Every column that the join carries, and the indicators of the observation."""
+    carried = ", ".join(f"{r4(f'w.{c}')} AS {prefix}{c}" for c in _MEASURES)
+    flags = ", ".join(f"CASE WHEN w.obs_id IS NOT NULL THEN CAST({e} AS INTEGER) END AS {prefix}{form.format(k)}"
+                      for k, e in _WFLAGS.items() for form in ("is_{}", "{}_flag"))
+    return f"""SELECT f.flight_id, w.obs_id AS {prefix}obs_id, {carried}, w.weather_condition AS {prefix}weather_condition, {flags},
   CASE WHEN w.obs_id IS NULL THEN 1 ELSE 0 END AS {prefix}missing_flag
   FROM timed f LEFT JOIN (
-    SELECT flight_id, obs_id, temperature, weather_condition FROM (
+    SELECT flight_id AS fid, * EXCLUDE (flight_id, rn) FROM (
       SELECT f2.flight_id, w2.*, row_number() OVER (PARTITION BY f2.flight_id
              ORDER BY epoch_us(w2."timestamp") DESC, w2.obs_id DESC) AS rn
       FROM timed f2 JOIN weather w2 ON w2.airport = f2.{airport}
-       AND epoch_us(w2."timestamp") <= f2.dep_minute * 60000000
+       AND epoch_us(w2."timestamp") + {lag} * 60000000 <= f2.dep_minute * 60000000
        AND f2.dep_minute * 60000000 - epoch_us(w2."timestamp") <= CAST(7200000000 AS BIGINT)) c WHERE rn = 1
-  ) w ON w.flight_id = f.flight_id"""
+  ) w ON w.fid = f.flight_id"""
+
+
+def _carried(j: DataFrame, p: str) -> DataFrame:
+    flags = [f"{p}{form.format(k)}" for k in _WFLAGS for form in ("is_{}", "{}_flag")]
+    return j.select("flight_id", f"{p}obs_id", *[_r4(F.col(f"{p}{c}")).alias(f"{p}{c}") for c in _MEASURES],
+                    f"{p}weather_condition", *flags, f"{p}missing_flag")
 
 
 @register("weather_asof_join", sql(_asof_sql("origin_airport", "weather_origin_"), "timed", "weather"))
 def q_weather_asof(spark, sf):
-    j = asof.asof_weather(PL.pre_departure(spark, sf), PL.weather(spark, sf), key=KEY)
-    p = "weather_origin_"
-    return j.select("flight_id", f"{p}obs_id", _r4(F.col(f"{p}temperature")).alias(f"{p}temperature"),
-                    f"{p}weather_condition", f"{p}missing_flag")
+    return _carried(asof.asof_weather(PL.pre_departure(spark, sf), PL.weather(spark, sf), key=KEY), "weather_origin_")
 
 
 @register("weather_asof_dest", sql(_asof_sql("dest_airport", "weather_dest_"), "timed", "weather"))
 def q_weather_asof_dest(spark, sf):
-    j = asof.asof_weather(PL.pre_departure(spark, sf), PL.weather(spark, sf), key=KEY,
-                          airport_col="dest_airport", prefix="weather_dest_")
-    p = "weather_dest_"
-    return j.select("flight_id", f"{p}obs_id", _r4(F.col(f"{p}temperature")).alias(f"{p}temperature"),
-                    f"{p}weather_condition", f"{p}missing_flag")
+    return _carried(asof.asof_weather(PL.pre_departure(spark, sf), PL.weather(spark, sf), key=KEY,
+                                      airport_col="dest_airport", prefix="weather_dest_"), "weather_dest_")
+
+
+@register("weather_asof_lag", sql(_asof_sql("origin_airport", "weather_origin_", lag=30), "timed", "weather"))
+def q_weather_asof_lag(spark, sf):
+    """Observations that are published half an hour after they are made."""
+    return _carried(asof.asof_weather(PL.pre_departure(spark, sf), PL.weather(spark, sf), key=KEY,
+                                      availability_lag_minutes=30), "weather_origin_")
 
 
 @register("weather_match_rate", sql(
@@ -1157,10 +1181,15 @@ def q_pr_points(spark, sf):
     return metrics.curve_points(scored(spark, sf), groups=["split"]).select("split", "threshold", "precision", "recall")
 
 
-@register("feature_table_p3_weather")
+def _p3_weather_sql() -> str:
+    flags = ", ".join(f"coalesce(a.weather_origin_is_{k}, 0) AS {p}{form.format(k)}"
+                      for p in ("", "origin_", "weather_origin_") for k in _WFLAGS for form in ("is_{}", "{}_flag"))
+    return f"SELECT p.* EXCLUDE (delay_target), {flags}, p.delay_target FROM p3 p JOIN ({_asof_sql('origin_airport', 'weather_origin_')}) a USING (flight_id)"
+
+
+@register("feature_table_p3_weather", sql(_p3_weather_sql(), "p3", "timed", "weather"))
 def q_feature_table_p3_weather(spark, sf):
-    """P3 table with the severe-weather flags of the nearest prior origin
-    observation (rows-only: the flag columns follow the substring rules)."""
+    """P3 table with the indicators of the nearest prior origin observation."""
     return features.feature_table_p3(PL.pre_departure(spark, sf), KEY, weather=PL.weather(spark, sf))
 
 

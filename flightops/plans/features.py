@@ -22,9 +22,17 @@ def same_airport_varies(df: DataFrame) -> bool:
     return r["lo"] is not None and r["lo"] != r["hi"]
 
 
+def require_dates(df: DataFrame, date_col: str = "flight_date") -> None:
+    """a table whose dates all fail to parse is an error."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.count(S.to_date(S.col(date_col))).alias("dates")).first()
+    if r["n"] and not r["dates"]:
+        raise ValueError(f"no value of '{date_col}' is a date")
+
+
 def base_features_2a(df: DataFrame, key: list[str] | None = None, same_airport: bool | None = None) -> DataFrame:
     """Calendar, schedule, cyclical and route features of the 2A table."""
     key = key or []
+    require_dates(df)
     cols = [S.col(c) for c in key] + [S.col(c) for c in BASE_IDS if c in df.columns]
     x = df.withColumns(S.calendar_columns("flight_date"))
     x = x.withColumns(S.departure_columns("scheduled_dep_time"))
@@ -96,8 +104,8 @@ def feature_table_p3(pre: DataFrame, key: list[str], weather: DataFrame | None =
                       *[S.col(c) for c in tail], S.col("delay_target"))
     if weather is not None:
         joined = asof.asof_weather(out, weather, key=key, tie_key=tie_key).drop(prior.T)
-        flags = S.weather_flag_columns(joined.columns)
-        new = {k: v for k, v in flags.items() if k not in out.columns}
+        flags = asof.derived_flags([c for c in joined.columns if c not in out.columns])
         cols = [c for c in out.columns if c != "delay_target"]
-        out = joined.withColumns(new).select(*[S.col(c) for c in cols], *new.keys(), S.col("delay_target"))
+        out = joined.withColumns({f"_wf_{k}": v for k, v in flags.items()}).select(
+            *[S.col(c) for c in cols], *[F.col(f"_wf_{k}").alias(k) for k in flags], S.col("delay_target"))
     return out

@@ -26,19 +26,47 @@ def file_format(path: str) -> str:
     raise ValueError(f"unsupported dataset format: {path!r} (expected csv or parquet)")
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Data files that a path, folder or glob names, in name order, through the cluster's own file system."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(conf)
+    found = [s for s in (fs.globStatus(at) or [])]
+    listed = [x for s in found for x in (fs.listStatus(s.getPath()) if s.isDirectory() else [s])]
+    names = [x.getPath().toString() for x in listed]
+    return sorted(n for n in names if not n.rsplit("/", 1)[-1].startswith((".", "_"))
+                  and n.lower().rstrip("/").endswith((".parquet", ".pq", ".csv", ".gz")))
+
+
+def find_dataset(spark: SparkSession, folder: str) -> tuple[str, str | None]:
+    """("found", first data file) of a folder of external data, or ("not provided", None)."""
+    found = data_files(spark, folder)
+    return ("found", found[0]) if found else ("not provided", None)
+
+
 def read_table(spark: SparkSession, path: str, fmt: str | None = None,
                limit: int | None = None) -> DataFrame:
-    """Parquet keeps its types. CSV is read with every column as text (no
-    inference pass over the data); numeric coercion happens later with
-    ``try_cast`` so a bad value becomes null instead of failing the job.
-    ``limit`` is a development sample, not an ordered head."""
-    fmt = fmt or file_format(path)
+    """A file, a folder of files of one format, or a glob. Parquet keeps its
+    types. CSV is read with every column as text (no inference pass over the
+    data); numeric coercion happens later with ``try_cast`` so a bad value
+    becomes null instead of failing the job. ``limit`` is a development
+    sample, not an ordered head."""
+    paths: list[str] = [path]
+    if fmt is None:
+        try:
+            fmt = file_format(path)
+        except ValueError:
+            paths = data_files(spark, path)
+            kinds = {file_format(p) for p in paths}
+            if len(kinds) != 1:
+                raise ValueError(f"unsupported dataset format: {path!r} holds {sorted(kinds) or 'no csv or parquet files'}") from None
+            fmt = kinds.pop()
     if fmt == "parquet":
-        df = spark.read.parquet(path)
+        df = spark.read.parquet(*paths)
     elif fmt == "csv":
-        header = spark.read.option("header", True).csv(path).columns
+        header = spark.read.option("header", True).csv(paths[0]).columns
         schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
-        df = spark.read.option("header", True).schema(schema).csv(path)
+        df = spark.read.option("header", True).schema(schema).csv(paths)
     else:
         raise ValueError(f"unsupported format {fmt!r}")
     return df.limit(limit) if limit is not None else df
