@@ -11,8 +11,9 @@ put together again by position. DataFrame functions only.
 * every other column passes through; n_lines and n_dropped replace columns of those names.
 
 Skew: a line that a third of the rows share is one row per map task in the
-count (partial aggregation on hash and document, then on hash), and in the join
-back the counted side has one row a hash, so AQE can split the other side.
+count (partial aggregation on hash and document, then on hash). The counted
+side, one row a hash, is written to the shared folder, so that both sides of
+the join back are dealt for the join alone and AQE can split the hot one.
 Only ids, positions and hashes take part in these shuffles; the texts are
 shuffled once, to meet the positions to drop.
 """
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightops.llm.common import NO_ID, WHITE, ascii_lower_key
+from flightops.session import stage_table
 
 MIN_CHARS, MIN_DOCS = 10, 2
 
@@ -46,6 +48,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     repeated = (lines.groupBy("_ld_h1", "_ld_h2")
                 .agg(F.countDistinct("_ld_id").alias("_ld_docs"), F.min("_ld_id").alias("_ld_keeper"))
                 .where(F.col("_ld_docs") >= min_docs).drop("_ld_docs"))
+    repeated = stage_table(repeated, "lines")
     drops = (lines.join(repeated, ["_ld_h1", "_ld_h2"])
              .where(F.col("_ld_id") != F.col("_ld_keeper"))
              .groupBy("_ld_id", "_ld_tag").agg(F.collect_set("_ld_pos").alias("_ld_drop")))
