@@ -179,8 +179,8 @@ class Settings:
 # Tuning grids by estimator; every combination of the lists is a point
 TUNING_GRIDS: dict[str, dict[str, list]] = {
     "logistic_regression": {"c": [0.001, 0.01, 0.05, 0.1, 0.5, 1.0, 5.0, 10.0]},
-    "random_forest": {"trees": [50, 100, 200], "depth": [4, 6, 8], "min_leaf": [2, 5], "subset": ["sqrt", "log2"]},
-    "gradient_boosting": {"iters": [50, 100, 150], "depth": [3, 4, 5], "step": [0.03, 0.05], "subsample": [0.8, 1.0],
+    "random_forest": {"trees": [50, 100], "depth": [3, 5, 8], "min_leaf": [1, 2, 4]},
+    "gradient_boosting": {"iters": [50, 100], "depth": [2, 3, 5], "step": [0.03, 0.05, 0.1], "subsample": [0.8, 1.0],
                           "subset": ["0.8", "all"]},
 }
 

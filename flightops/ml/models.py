@@ -11,15 +11,19 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import product
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config
 from ..config import DEFAULT, Settings
 from ..functions import scalar as S
 from ..functions.scalar import col
+from ..session import stage_table
 from .prep import Preprocessor
 
 PROB = "delay_probability"
@@ -61,11 +65,11 @@ def fit_baseline(train: DataFrame, prep: Preprocessor, target: str = "delay_targ
 
 
 def fit_logreg(train: DataFrame, prep: Preprocessor, s: Settings = DEFAULT, target: str = "delay_target",
-               c: float | None = None, max_iter: int = 1000, tol: float = 1e-4) -> Fitted:
+               c: float | None = None, max_iter: int = 1000, tol: float = 1e-4, encoded: DataFrame | None = None) -> Fitted:
     w0, w1, n0, n1 = class_weights(train, target)
     total_w = w0 * n0 + w1 * n1
     c = s.lr_c if c is None else c
-    x = with_weight(prep.transform(train), w0, w1, target)
+    x = with_weight(encoded if encoded is not None else prep.transform(train), w0, w1, target)
     lr = LogisticRegression(featuresCol="features", labelCol=target, weightCol="_w", maxIter=max_iter,
                             regParam=1.0 / (c * total_w), elasticNetParam=0.0, standardization=False,
                             fitIntercept=True, tol=tol)
@@ -73,52 +77,61 @@ def fit_logreg(train: DataFrame, prep: Preprocessor, s: Settings = DEFAULT, targ
 
 
 def fit_forest(train: DataFrame, prep: Preprocessor, s: Settings = DEFAULT, target: str = "delay_target",
-               trees: int | None = None, depth: int | None = None) -> Fitted:
+               trees: int | None = None, depth: int | None = None, min_leaf: int = 1, subset: str = "sqrt",
+               encoded: DataFrame | None = None) -> Fitted:
     w0, w1, _, _ = class_weights(train, target)
-    x = with_weight(prep.transform(train), w0, w1, target)
+    x = with_weight(encoded if encoded is not None else prep.transform(train), w0, w1, target)
     rf = RandomForestClassifier(featuresCol="features", labelCol=target, weightCol="_w",
                                 numTrees=trees or s.rf_trees, maxDepth=depth or s.rf_depth, seed=s.seed,
-                                featureSubsetStrategy="sqrt")
+                                featureSubsetStrategy=subset, minInstancesPerNode=min_leaf)
     return Fitted("random_forest", prep, rf.fit(x))
 
 
 def fit_boosting(train: DataFrame, prep: Preprocessor, s: Settings = DEFAULT, target: str = "delay_target",
-                 iters: int | None = None, depth: int | None = None, step: float | None = None) -> Fitted:
+                 iters: int | None = None, depth: int | None = None, step: float | None = None, subsample: float = 1.0,
+                 subset: str = "all", encoded: DataFrame | None = None) -> Fitted:
     _, _, n0, n1 = class_weights(train, target)
     pos_w = (n0 / n1) if n1 else 1.0
-    x = with_weight(prep.transform(train), 1.0, pos_w, target)
+    x = with_weight(encoded if encoded is not None else prep.transform(train), 1.0, pos_w, target)
     gbt = GBTClassifier(featuresCol="features", labelCol=target, weightCol="_w", maxIter=iters or s.gbt_iter,
-                        maxDepth=depth or s.gbt_depth, stepSize=step or s.gbt_step, seed=s.seed)
+                        maxDepth=depth or s.gbt_depth, stepSize=step or s.gbt_step, seed=s.seed,
+                        subsamplingRate=subsample, featureSubsetStrategy=subset)
     return Fitted("gradient_boosting", prep, gbt.fit(x))
 
 
+FITTERS = {"logistic_regression": fit_logreg, "random_forest": fit_forest, "gradient_boosting": fit_boosting}
+
+
+def grid_points(estimator: str) -> list[dict]:
+    """Every combination of an estimator's tuning lists, the last list varying fastest."""
+    lists = config.TUNING_GRIDS[estimator]
+    return [dict(zip(lists, values)) for values in product(*lists.values())]
+
+
 def tune(train: DataFrame, val: DataFrame, prep: Preprocessor, estimator: str = "logistic_regression",
-         grid: list[dict] | None = None, target: str = "delay_target") -> DataFrame:
-    """Fit every grid point on train, score exact AP on the fixed
-    chronological validation split; result table sorted as evaluated (the
-    first maximum wins downstream)."""
+         grid: list[dict] | None = None, target: str = "delay_target", parallel: int = 4) -> tuple[DataFrame, Fitted]:
+    """Fit every grid point on train and score its exact AP on the fixed chronological validation split.
+    Points are compared unrounded and the first maximum wins. The encoded training table is written once, and
+    points are fitted side by side. Returns (grid_index, params, val_pr_auc, best) and the best model."""
     from ..operators import metrics
-    spark = train.sparkSession
-    grid = grid or ([{"c": c} for c in (0.001, 0.01, 0.05, 0.1, 0.5, 1.0, 5.0, 10.0)]
-                    if estimator == "logistic_regression" else [{}])
-    rows = []
-    for i, params in enumerate(grid):
-        if estimator == "logistic_regression":
-            f = fit_logreg(train, prep, target=target, **params)
-        elif estimator == "random_forest":
-            f = fit_forest(train, prep, target=target, **params)
-        else:
-            f = fit_boosting(train, prep, target=target, **params)
+    points = grid or grid_points(estimator)
+    encoded = stage_table(prep.transform(train), "encoded")
+
+    def one(params: dict) -> tuple[Fitted, float]:
+        f = FITTERS[estimator](train, prep, target=target, encoded=encoded, **params)
         p = f.predict(val).select(col(target).alias("y"), F.col(PROB).alias("p"))
-        ap = metrics.average_precision(p).first()["pr_auc"]
-        rows.append((i, str(params), float(ap)))
-    return spark.createDataFrame(rows, "grid_index int, params string, val_pr_auc double")
+        return f, float(metrics.average_precision(p, rounded=False).first()["pr_auc"])
+
+    with ThreadPool(parallel) as pool:
+        done = pool.map(one, points)
+    best = max(range(len(done)), key=lambda i: (done[i][1], -i))
+    rows = [(i, str(params), done[i][1], i == best) for i, params in enumerate(points)]
+    return train.sparkSession.createDataFrame(rows, "grid_index int, params string, val_pr_auc double, best boolean"), done[best][0]
 
 
 def score(fitted: Fitted, df: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Strip outcome/target columns, probability (4 dp), class from the
     unrounded probability, risk tier."""
-    from .. import config
     drop = [c for c in df.columns if c in config.OUTCOME_COLUMNS or c == "delay_target"]
     x = fitted.predict(df.drop(*drop)) if drop else fitted.predict(df)
     p = F.col(PROB)
@@ -143,19 +156,18 @@ def importance(fitted: Fitted) -> DataFrame:
 
 
 def linear_contributions(fitted: Fitted, train: DataFrame) -> DataFrame:
-    """Mean |coef_j * (x_j - mean_j)| per transformed feature, one
-    aggregate over the training rows (exact for a linear model)."""
+    """Mean |coef_j * (x_j - mean_j)| per transformed feature (exact for
+    a linear model); vectors are exploded once into (position, value)."""
     from pyspark.ml.stat import Summarizer
-    x = fitted.prep.transform(train)
-    coef = fitted.model.coefficients.toArray().tolist()
+    x = fitted.prep.transform(train).select("features")
     means = x.select(Summarizer.mean(F.col("features")).alias("m")).first()["m"].toArray().tolist()
-    arr = vector_to_array("features")
-    names = fitted.prep.feature_names()
-    aggs = [F.avg(F.abs(F.lit(coef[j]) * (arr[j] - F.lit(means[j])))).alias(f"f{j}") for j in range(len(coef))]
-    wide = x.agg(*aggs)
-    long = wide.select(F.explode(F.array(*[F.struct(F.lit(names[j]).alias("feature"), F.col(f"f{j}").alias("mean_abs"))
-                                           for j in range(len(coef))])).alias("e")).select("e.*")
-    return long.withColumn("mean_abs", S.round_half_even(F.col("mean_abs"), 6))
+    table = list(zip(fitted.prep.feature_names(), fitted.model.coefficients.toArray().tolist(), means))
+    info = F.array(*[F.struct(F.lit(n).alias("feature"), F.lit(float(c)).alias("coef"), F.lit(float(m)).alias("mean")) for n, c, m in table])
+    each = x.select(F.posexplode(vector_to_array("features")).alias("j", "v")).groupBy("j")
+    at = F.get(info, F.col("j"))
+    shift = F.get(F.array(*[F.lit(float(m)) for m in means]), F.col("j"))
+    out = each.agg(F.avg(F.abs(F.col("v") - shift)).alias("away"))
+    return out.select(at["feature"].alias("feature"), S.round_half_even(F.abs(at["coef"]) * F.col("away"), 6).alias("mean_abs"))
 
 
 def save(fitted: Fitted, path: str) -> str:

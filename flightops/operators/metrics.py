@@ -98,7 +98,7 @@ def roc_auc(df: DataFrame, label: str = "y", score: str = "p", groups: list[str]
 
 
 def average_precision(df: DataFrame, label: str = "y", score: str = "p", groups: list[str] | None = None,
-                      blocks: int = SCORE_BLOCKS) -> DataFrame:
+                      blocks: int = SCORE_BLOCKS, rounded: bool = True) -> DataFrame:
     """Step-wise AP: sum over distinct scores of (recall step) x precision at
     that score; one class -> positive share."""
     groups = groups or []
@@ -110,7 +110,7 @@ def average_precision(df: DataFrame, label: str = "y", score: str = "p", groups:
         F.first("P").alias("P"), F.first("N").alias("N"))
     ap = F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("_ap")).otherwise(
         F.col("P") / F.greatest(F.col("P") + F.col("N"), F.lit(1)))
-    return agg.select(*groups, _r4(ap).alias("pr_auc"))
+    return agg.select(*groups, (_r4(ap) if rounded else ap).alias("pr_auc"))
 
 
 def curve_points(df: DataFrame, label: str = "y", score: str = "p", groups: list[str] | None = None,

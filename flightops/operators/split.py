@@ -1,35 +1,30 @@
 """Exact chronological train / validation / test split.
 
-Rows are ordered by (date, scheduled time) with a flight key breaking ties;
-the first int(n * train_pct) rows are train, the next int(n * val_pct)
-validation, the rest test. The global position is computed without a
-single-task sort:
+Rows are ordered by (date, scheduled time) with a unique flight key breaking
+ties; the first int(n * train_pct) rows are train, the next int(n * val_pct)
+validation, the rest test. Two boundaries say it all, so every row is labelled
+by comparing it with them, without a join or a sort of the table:
 
 1. counts per (date, time) slot, and the number of rows in earlier slots by
-   the two-level prefix (block = date);
-2. a slot that lies wholly inside one part is labelled at once;
-3. only the (at most two) slots that straddle a boundary need positions
-   inside the slot. Their rows are bucketed by quantile bounds of the tie
-   key (a handful of numbers fetched to the driver), so the in-slot prefix
-   again runs in bounded partitions even if one slot held a third of the data.
+   the two-level prefix (block = date), give the slot of each boundary and the
+   number of its rows that come before (two rows reach the driver);
+2. the key at that position of the slot is found by dealing the slot's keys by
+   range to as many partitions as their number asks for, counting each, and
+   ranking only the one that holds the position. Any key type, any slot size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from pyspark.sql import types as T
-
 from ..functions.scalar import col
+from ..session import stage_table
 from . import prefix as P
 
-RANK_BUCKETS = 64
-
-
-def _part(pos, n_train: int, n_val: int):
-    return F.when(pos < n_train, "train").when(pos < n_train + n_val, "val").otherwise("test")
+#: Keys of one range partition while a boundary inside a slot is looked for.
+SLOT_KEYS = 100_000
 
 
 def split_sizes(n: int, train_pct: float, val_pct: float) -> tuple[int, int, int]:
@@ -46,8 +41,8 @@ def split_sizes(n: int, train_pct: float, val_pct: float) -> tuple[int, int, int
 
 def chronological_split(df: DataFrame, key: str = "flight_id", date_col: str = "flight_date",
                         time_col: str | None = "scheduled_dep_time", train_pct: float = 0.70,
-                        val_pct: float = 0.15, buckets: int = RANK_BUCKETS) -> DataFrame:
-    """``df`` plus ``split`` in {train, val, test} and ``split_pos`` (0-based)."""
+                        val_pct: float = 0.15, slot_keys: int = SLOT_KEYS) -> DataFrame:
+    """``df`` plus ``split`` in {train, val, test}. Null dates come first, null times last in their date."""
     slot = [date_col] + ([time_col] if time_col and time_col in df.columns else [])
     slots = df.groupBy(*[col(c) for c in slot]).agg(F.count(F.lit(1)).cast("long").alias("_cnt"))
     n = slots.agg(F.sum("_cnt")).first()[0] or 0
@@ -55,39 +50,51 @@ def chronological_split(df: DataFrame, key: str = "flight_id", date_col: str = "
     order = [F.col(c).asc_nulls_last() for c in slot[1:]] or [F.lit(1)]
     # rows in earlier slots: running total inside a date + offset over dates
     starts = P.exclusive_prefix(slots, [], order, ["_cnt"], F.col(date_col), prefix="_start")
-    starts = starts.withColumnRenamed("_start_cnt", "_start")
     bounds = [n_train, n_train + n_val]
-    straddle = None
+    holds = [(F.col("_start_cnt") <= b) & (F.col("_start_cnt") + F.col("_cnt") > b) for b in bounds]
+    met = starts.filter(holds[0] | holds[1]).collect()  # the one or two slots of the boundaries
+    before = []
     for b in bounds:
-        c = (F.col("_start") < b) & (F.col("_start") + F.col("_cnt") > b)
-        straddle = c if straddle is None else straddle | c
-    starts = starts.withColumn("_straddle", straddle)
-    joined = P.null_safe_join(df, starts.select(*slot, "_start", "_cnt", "_straddle"), slot)
-
-    whole = joined.filter(~F.col("_straddle")).withColumn(
-        "split", _part(F.col("_start"), n_train, n_val)).withColumn("split_pos", F.lit(None).cast("long"))
-    cut = joined.filter(F.col("_straddle"))
-    ranked = _rank_within_slot(cut, slot, key, buckets)
-    cut = ranked.withColumn("split_pos", F.col("_start") + F.col("_in_slot")).withColumn(
-        "split", _part(F.col("split_pos"), n_train, n_val)).drop("_in_slot")
-    out = whole.unionByName(cut)
-    return out.drop("_start", "_cnt", "_straddle")
-
-
-def _rank_within_slot(rows: DataFrame, slot: list[str], key: str, buckets: int) -> DataFrame:
-    """0-based position by ``key`` inside each slot (``_in_slot``)."""
-    numeric = isinstance(rows.schema[key].dataType, (T.IntegerType, T.LongType, T.ShortType,
-                                                     T.DoubleType, T.FloatType, T.DecimalType))
-    if numeric and buckets > 1:
-        probs = [i / buckets for i in range(1, buckets)]
-        qs = sorted(set(rows.approxQuantile(key, probs, 0.001)))
-        arr = F.array(*[F.lit(float(q)) for q in qs]) if qs else F.array().cast("array<double>")
-        blk = F.aggregate(arr, F.lit(0), lambda acc, q: acc + (col(key).cast("double") > q).cast("int"))
-    else:
-        blk = F.lit(0)
-    one = rows.withColumn("_one", F.lit(1).cast("long"))
-    return P.exclusive_prefix(one, slot, key, ["_one"], blk, prefix="_rk").withColumnRenamed(
-        "_rk_one", "_in_slot").drop("_one")
+        at = next(r for r in met if r["_start_cnt"] <= b < r["_start_cnt"] + r["_cnt"])
+        values = [at[c] for c in slot]
+        first = _key_at(df, slot, values, key, b - at["_start_cnt"], at["_cnt"], slot_keys)
+        before.append(_earlier(slot, values, key, first))
+    return df.withColumn("split", F.when(before[0], "train").when(before[1], "val").otherwise("test"))
+
+
+def _same(slot: list[str], values: list) -> Column:
+    out = F.lit(True)
+    for c, v in zip(slot, values):
+        out = out & col(c).eqNullSafe(F.lit(v))
+    return out
+
+
+def _earlier(slot: list[str], values: list, key: str, first) -> Column:
+    """Rows in front of the boundary: an earlier date, an earlier time of its date, or an earlier key of its slot."""
+    date, day = col(slot[0]), values[0]
+    out = (date.isNull() | (date < F.lit(day))) if day is not None else F.lit(False)
+    if len(slot) > 1:
+        time, t = col(slot[1]), values[1]
+        out = out | (date.eqNullSafe(F.lit(day)) & (time.isNotNull() if t is None else time < F.lit(t)))
+    if first is not None:
+        out = out | (_same(slot, values) & (col(key) < F.lit(first)))
+    return F.coalesce(out, F.lit(False))
+
+
+def _key_at(df: DataFrame, slot: list[str], values: list, key: str, position: int, size: int, slot_keys: int):
+    """Key at a 0-based position of a slot; None for the first, which no key precedes."""
+    if position == 0:
+        return None
+    parts = max(1, -(-size // slot_keys))
+    keys = (df.filter(_same(slot, values)).select(col(key).alias("_k")).repartitionByRange(parts, "_k")
+            .withColumn("_p", F.spark_partition_id()))
+    keys = stage_table(keys, "slot_keys")
+    for row in keys.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).orderBy("_p").toLocalIterator():
+        if position < row["n"]:
+            rank = F.row_number().over(Window.orderBy("_k"))  # one range partition of about slot_keys rows
+            return keys.filter(F.col("_p") == row["_p"]).withColumn("_r", rank).filter(F.col("_r") == position + 1).first()["_k"]
+        position -= row["n"]
+    raise ValueError("the table changed while it was split")
 
 
 def split_summary(split_df: DataFrame, date_col: str = "flight_date", target: str = "delay_target") -> DataFrame:

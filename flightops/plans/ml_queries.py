@@ -138,7 +138,7 @@ def q_ml_score(spark, sf):
 @register("ml_tuning")
 def q_ml_tuning(spark, sf):
     ctx = context(spark, sf)
-    return models.tune(ctx["train"], ctx["val"], ctx["prep_scaled"])
+    return models.tune(ctx["train"], ctx["val"], ctx["prep_scaled"])[0]
 
 
 def _long_eval(spark, sf, names) -> DataFrame:

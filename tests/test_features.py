@@ -119,7 +119,7 @@ def test_weather_flags_defaults_and_prefixes(spark):
                               "origin_precipitation_inches double, origin_temperature_c double, "
                               "origin_visibility_miles double, origin_wind_speed_knots double, "
                               "origin_weather_condition string")
-    flags = S.weather_flag_columns(w.columns)
+    flags = S.weather_flag_columns(w.columns, prefixes=("", "origin_"))
     r = w.select(*[v.alias(k) for k, v in flags.items()]).collect()
     assert r[0]["is_fog"] == 1 and r[0]["is_storm"] == 1 and r[0]["is_severe_weather"] == 1
     assert r[1]["is_rain"] == 1 and r[1]["is_snow"] == 1 and r[1]["origin_is_snow"] == 1

@@ -88,7 +88,7 @@ def _split_fixture(spark, n=1000, slots=7):
 @pytest.mark.parametrize("buckets", [1, 8, 64])
 def test_split_matches_sorted_positions(spark, buckets):
     df = _split_fixture(spark)
-    out = split.chronological_split(df, buckets=buckets).collect()
+    out = split.chronological_split(df, slot_keys=buckets).collect()
     order = sorted(out, key=lambda r: (r["flight_date"], r["scheduled_dep_time"], r["flight_id"]))
     n_train, n_val = int(1000 * 0.7), int(1000 * 0.15)
     expect = ["train"] * n_train + ["val"] * n_val + ["test"] * (1000 - n_train - n_val)

@@ -32,7 +32,7 @@ def test_hot_key_prefix_equals_window(spark):
 
 def test_split_boundary_inside_hot_slot(spark):
     df = _skewed(spark)
-    out = split.chronological_split(df, buckets=16).collect()
+    out = split.chronological_split(df, slot_keys=500).collect()
     order = sorted(out, key=lambda r: (r["flight_date"], r["scheduled_dep_time"], r["flight_id"]))
     n = len(order)
     n_train, n_val = int(n * 0.7), int(n * 0.15)
@@ -42,6 +42,17 @@ def test_split_boundary_inside_hot_slot(spark):
     assert len(hot) > 1
 
 
+def test_split_string_key_inside_hot_slot(spark):
+    df = _skewed(spark).withColumn("flight_id", F.concat(F.lit("F"), F.lpad(F.col("flight_id").cast("string"), 6, "0")))
+    out = split.chronological_split(df, slot_keys=400)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan      # rows are labelled by comparison alone
+    order = sorted(out.collect(), key=lambda r: (r["flight_date"], r["scheduled_dep_time"], r["flight_id"]))
+    n = len(order)
+    n_train, n_val = int(n * 0.7), int(n * 0.15)
+    assert [r["split"] for r in order] == ["train"] * n_train + ["val"] * n_val + ["test"] * (n - n_train - n_val)
+
+
 def test_hot_duplicate_group(spark):
     base = spark.range(6000).select(F.when(F.col("id") < 5000, F.lit(0)).otherwise(F.col("id")).alias("k"),
                                     F.lit("x").alias("v"))
