@@ -300,8 +300,8 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot:
     hot_keys, shared = sc.broadcast(keys), sc.broadcast(phrases)
     spans = _others(narrow, recurring, bitmap, hot_keys)
     names = [c for c in docs.columns if c not in (text_col, "n_words", "n_removed")]
-    given = (base.join(spans.select(F.col("id").alias("_sd_id"), F.col("tag").alias("_sd_tag"), "spans"), ["_sd_id", "_sd_tag"], "left")
-             .select(*[F.col(f"`{c}`") for c in names], "_sd_text", F.col("spans.a").alias("_sd_a"), F.col("spans.b").alias("_sd_b")))
+    given = (base.join(spans.select(F.col("id").alias("_sd_id"), F.col("tag").alias("_sd_tag"), F.col("spans").alias("_sd_spans")), ["_sd_id", "_sd_tag"], "left")
+             .select(*[F.col(f"`{c}`") for c in names], "_sd_text", F.col("_sd_spans.a").alias("_sd_a"), F.col("_sd_spans.b").alias("_sd_b")))
     out = StructType([*(docs.schema[c] for c in names), StructField(text_col, StringType()),
                       StructField("n_words", LongType()), StructField("n_removed", LongType())])
 

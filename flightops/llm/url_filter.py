@@ -138,7 +138,8 @@ def fit(labelled: DataFrame, max_labelled: int = MAX_LABELLED, rounds: int = 20,
     model = Model(None, suffixes, (bad or 0.0) / n if n else 0.0, 1.0 if n and bad == n else 0.0)
     if n and 0 < bad < n:
         given = model.features(rows, F.col("label")).select("label", "_uf_vector")
-        model.trees = GBTClassifier(labelCol="label", featuresCol="_uf_vector", maxIter=rounds, maxDepth=depth, seed=seed).fit(given)
+        model.trees = GBTClassifier(labelCol="label", featuresCol="_uf_vector", maxIter=rounds, maxDepth=depth, seed=seed,
+                                    predictionCol="_uf_prediction", rawPredictionCol="_uf_raw", probabilityCol="_uf_probability").fit(given)
     return model
 
 
@@ -147,7 +148,7 @@ def judge(pages: DataFrame, model: Model, rules: list[tuple[str, str]] = RULES,
     done = model.features(_lexical(pages, F.col(f"`{url_col}`")))
     if model.trees is not None:
         done = model.trees.transform(done)
-        unwanted = F.col("prediction") == 1.0
+        unwanted = F.col("_uf_prediction") == 1.0
     else:
         unwanted = F.lit(model.only == 1.0)
     rule, verdict = rule_of(F.col("_uf_host"), F.col("_uf_path"), rules)

@@ -1,0 +1,6 @@
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
