@@ -5,10 +5,11 @@ the phrases of `PHRASE` words inside it, so equal windows have equal anchors.
 A run of neighbouring windows with one anchor is a piece. Anchors are counted
 over the corpus; those met twice go into a bitmap of fixed size that is
 broadcast, and only pieces whose anchor may be in it take part in what follows.
-Equal pieces are counted: all windows of a piece met twice recur. Windows of
-the others are counted one by one, by anchor and window hash together
-(128 bits); that is exact, and a window that occurs in a third of all rows is a
-few rows after partial aggregation.
+Equal pieces are counted: all windows of a piece met twice recur. Where an
+anchor has several different pieces (or one that repeats a window), the windows
+are counted one by one, by anchor and window hash together (128 bits); that is
+exact, and a window that occurs in a third of all rows is a few rows after
+partial aggregation.
 
 Locating. The `HOT` most frequent recurring pieces become phrases of words,
 dealt to `SHARDS` Aho-Corasick automata (pyahocorasick) that every document is
@@ -30,7 +31,7 @@ Automata over everything that recurs would not do: 35 words a window are about
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import ahocorasick
 import numpy as np
@@ -80,7 +81,7 @@ class Pieces:
         self.windows = np.zeros(0, dtype=np.uint64)  # hashes of the windows of all pieces, one after the other
         if n < window:
             return
-        value = np.fromiter((xxh3_64_intdigest(w) for ws in self.words for w in ws), dtype=np.uint64, count=n)
+        value = np.fromiter(map(xxh3_64_intdigest, chain.from_iterable(self.words)), dtype=np.uint64, count=n)
         sums = np.concatenate(([np.uint64(0)], np.cumsum(value * _powers(_B, n), dtype=np.uint64)))
         back = _powers(_INVERSE, n)
         short = _mix((sums[phrase:] - sums[:-phrase]) * back[:n - phrase + 1])
@@ -185,9 +186,14 @@ def _recurring(docs: DataFrame, bitmap) -> DataFrame:
         return _signed(p.anchor[keep]), _signed(p.hash[keep]), lists
 
     met = (_scan(docs, "anchor long, piece long, windows array<long>", make).groupBy("anchor", "piece")
-           .agg(F.count(F.lit(1)).alias("n"), F.first("windows").alias("windows")))
+           .agg(F.count(F.lit(1)).alias("n"), F.first("windows").alias("windows"))
+           .withColumn("own", F.size(F.array_distinct("windows")) < F.size("windows")))
     met = stage_table(met, "pieces")
-    each = met.select("anchor", "piece", "n", F.posexplode("windows").alias("place", "window"))
+    # a window can only be found again in another piece of its anchor, or in its own piece
+    mixed = stage_table(met.groupBy("anchor").agg(F.count(F.lit(1)).alias("pieces"), F.max("own").alias("own"))
+                        .where("pieces >= 2 or own").select("anchor"), "mixed")
+    each = (met.join(mixed, "anchor", "left_semi")
+            .select("anchor", "piece", "n", F.posexplode("windows").alias("place", "window")))
     again = (each.groupBy("anchor", "window").agg(F.sum("n").alias("total")).where("total >= 2").select("anchor", "window"))
     again = stage_table(again, "windows")
     some = (each.where("n = 1").join(again, ["anchor", "window"]).groupBy("anchor", "piece")

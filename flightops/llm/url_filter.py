@@ -138,8 +138,9 @@ def fit(labelled: DataFrame, max_labelled: int = MAX_LABELLED, rounds: int = 20,
     model = Model(None, suffixes, (bad or 0.0) / n if n else 0.0, 1.0 if n and bad == n else 0.0)
     if n and 0 < bad < n:
         given = model.features(rows, F.col("label")).select("label", "_uf_vector")
-        model.trees = GBTClassifier(labelCol="label", featuresCol="_uf_vector", maxIter=rounds, maxDepth=depth, seed=seed,
-                                    predictionCol="_uf_prediction", rawPredictionCol="_uf_raw", probabilityCol="_uf_probability").fit(given)
+        trees = GBTClassifier(labelCol="label", featuresCol="_uf_vector", maxIter=rounds, maxDepth=depth, seed=seed)
+        trees = trees.setPredictionCol("_uf_prediction").setRawPredictionCol("_uf_raw").setProbabilityCol("_uf_probability")
+        model.trees = trees.fit(given)
     return model
 
 
