@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 from flightops.llm.common import map_arrow
 
 #: A worker remembers this many pre-tokens (one of more than 64 characters counts once for each 64).
-MEMO_SIZE = 200_000
+MEMO_SIZE = 120_000
 #: Texts of about this many characters are taken together, and rows of this many bytes returned together.
-IN_CHARS, OUT_BYTES = 8 << 20, 2 << 20
+IN_CHARS, OUT_BYTES = 4 << 20, 2 << 20
 
 # The letters, numbers and white space among the first 256 code points.
 _LETTERS = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
@@ -245,7 +245,7 @@ def _mapped(df: DataFrame, source: str, kind: str, targets: list[tuple[str, str]
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = worker()
         for part in parts:
-            column, n = part.column(part.num_columns - 1), part.num_rows
+            column = part.column(part.num_columns - 1)
             for a, b in _cuts([len(x) if x else 0 for x in map(_size, column)], IN_CHARS):
                 done = apply([x.as_py() for x in column[a:b]])
                 for c, d in _cuts([sum(len(x) for x in row if isinstance(x, bytes)) for row in done], OUT_BYTES):
@@ -274,20 +274,40 @@ def _cuts(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield a, len(sizes)
 
 
-def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text",
-           ids_col: str = "ids", count_col: str = "n_tokens") -> DataFrame:
-    """`df` with the packed ids of `text_col` in `ids_col` (binary) and their number in `count_col` (long).
-
-    The vocabulary (a file of fixed size, about 1 MB) is broadcast.
-    """
+def _encoder(df: DataFrame, ranks: dict[bytes, int], pattern: str, also_decode: bool) -> Callable:
+    """Makes a task's function from texts to (packed ids, their number) or (packed ids, their number, decoded bytes)."""
     shared = df.sparkSession.sparkContext.broadcast(ranks)
     key = f"{len(ranks)} {hash(frozenset(ranks.items()))} {pattern}"
 
     def worker():
         vocabulary = _vocabulary(shared.value, pattern, key)
-        return lambda texts: [(x, len(x) // 4) for x in vocabulary.encode_all([t or "" for t in texts])]
+        vocabulary.memo.clear()  # a worker that waits for its next task holds no more than the vocabulary
+        token = _tokens(shared.value) if also_decode else None
+
+        def apply(texts: list[str | None]) -> list[tuple]:
+            packed = vocabulary.encode_all([t or "" for t in texts])
+            return [(x, len(x) // 4, _bytes_of(x, token)) if also_decode else (x, len(x) // 4) for x in packed]
+
+        return apply
+
+    return worker
+
+
+def _tokens(ranks: dict[bytes, int]) -> dict[int, bytes]:
+    return {rank: piece for piece, rank in ranks.items()}
 
-    return _mapped(df, text_col, "string", [(ids_col, "binary"), (count_col, "long")], worker)
+
+def _bytes_of(packed: bytes | None, token: dict[int, bytes]) -> bytes:
+    return b"".join(map(token.__getitem__, memoryview(packed or b"").cast("I")))
+
+
+def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text",
+           ids_col: str = "ids", count_col: str = "n_tokens") -> DataFrame:
+    """`df` with the packed ids of `text_col` in `ids_col` (binary) and their number in `count_col` (long).
+
+    The vocabulary (a file of fixed size, about 1 MB) is broadcast.
+    """
+    return _mapped(df, text_col, "string", [(ids_col, "binary"), (count_col, "long")], _encoder(df, ranks, pattern, False))
 
 
 def decode(df: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
@@ -295,12 +315,19 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", bytes_c
     shared = df.sparkSession.sparkContext.broadcast(ranks)
 
     def worker():
-        token = {rank: piece for piece, rank in shared.value.items()}
-        return lambda given: [(b"".join(map(token.__getitem__, memoryview(x or b"").cast("I"))),) for x in given]
+        token = _tokens(shared.value)
+        return lambda given: [(_bytes_of(x, token),) for x in given]
 
     return _mapped(df, ids_col, "binary", [(bytes_col, "binary")], worker)
 
 
+def round_trip(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", ids_col: str = "ids",
+               count_col: str = "n_tokens", bytes_col: str = "decoded") -> DataFrame:
+    """`encode` and then `decode` of its ids in one pass, with half the workers of the two one after the other."""
+    return _mapped(df, text_col, "string", [(ids_col, "binary"), (count_col, "long"), (bytes_col, "binary")],
+                   _encoder(df, ranks, pattern, True))
+
+
 def unpack_ids(packed: Column) -> Column:
     """Packed ids as an array of long (native; for small results)."""
     digits = F.hex(packed)
@@ -312,6 +339,6 @@ def unpack_ids(packed: Column) -> Column:
 def digest(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Contract columns of op1 over a table with doc_id and text."""
     ranks = load_ranks(path)
-    done = decode(encode(docs.select("doc_id", "text"), ranks, pattern).drop("text"), ranks)
+    done = round_trip(docs.select("doc_id", "text"), ranks, pattern)
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

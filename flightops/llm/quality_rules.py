@@ -135,3 +135,60 @@ def digest(docs: DataFrame) -> DataFrame:
     """Contract columns of op4 over documents."""
     return judge(docs.select("doc_id", "text", "lang")).select(
         F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _oracle() -> str:
+    """DuckDB SQL for op4 over the languages of COMMON."""
+    lists = ", ".join(f"('{lang}', '{w}')" for lang, ws in COMMON.items() for w in ws)
+    classes = " UNION ALL ".join(f"SELECT doc_id, lang, base_failed, 'c' AS kind, '{name}' AS bin, length(regexp_replace(joined, '[^{chars}]+', '', 'g')) AS n, "
+                                 "word_chars AS total FROM b" for name, chars in CLASSES.items())
+    return f"""
+WITH w AS (
+  SELECT doc_id, lang, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents
+), t AS (
+  SELECT doc_id, a, words[a] || ' ' || words[a + 1] || ' ' || words[a + 2] AS k
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS a FROM w WHERE len(words) >= 3) x
+), d AS (
+  SELECT doc_id, a FROM t QUALIFY count(*) OVER (PARTITION BY doc_id, k) > 1
+), c AS (
+  SELECT doc_id, count(DISTINCT a + i) AS n FROM d, range(3) r(i) GROUP BY doc_id
+), l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w
+), e AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id
+), b AS (
+  SELECT w.doc_id, lang, words, array_to_string(words, '') AS joined, len(words)::BIGINT AS n_words,
+         length(array_to_string(words, ''))::BIGINT AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+         coalesce(e.n, 0)::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+         len(words) < {MIN_WORDS} OR 100 * coalesce(c.n, 0) > {MAX_REPEAT_PERCENT} * len(words) AS base_failed
+  FROM w LEFT JOIN c USING (doc_id) LEFT JOIN e USING (doc_id)
+), f AS (
+  SELECT lang, word FROM (VALUES {lists}) v(lang, word)
+), hw AS (
+  SELECT b.doc_id, b.lang, base_failed, f.word AS bin, count(u.word) AS n, n_words AS total FROM b JOIN f ON f.lang = b.lang
+  LEFT JOIN (SELECT doc_id, unnest(words) AS word FROM b) u ON u.doc_id = b.doc_id AND u.word = f.word GROUP BY ALL
+), hc AS ({classes}), h AS (
+  SELECT doc_id, lang, base_failed, 'w' AS kind, bin, n, total FROM hw
+  UNION ALL SELECT doc_id, lang, base_failed, 'w', '', total - sum(n), total FROM hw GROUP BY doc_id, lang, base_failed, total
+  UNION ALL SELECT doc_id, lang, base_failed, kind, bin, n, total FROM hc
+  UNION ALL SELECT doc_id, lang, base_failed, 'c', 'rest', total - sum(n), total FROM hc GROUP BY doc_id, lang, base_failed, total
+), q AS (
+  SELECT lang, kind, bin, m, sum(m) OVER (PARTITION BY lang, kind) AS total FROM (
+    SELECT lang, kind, bin, sum(n) AS m FROM h WHERE NOT base_failed GROUP BY lang, kind, bin) x
+), j AS (
+  SELECT doc_id, kind, count(*) AS bins, max(h.total) AS n,
+         sum(CASE WHEN h.n > 0 THEN (h.n / h.total) * log2((h.n / h.total) / ((h.n / h.total + m / q.total) / 2)) ELSE 0 END
+           + CASE WHEN m > 0 THEN (m / q.total) * log2((m / q.total) / ((h.n / h.total + m / q.total) / 2)) ELSE 0 END) / 2 AS js
+  FROM h JOIN q USING (lang, kind, bin) WHERE h.total > 0 AND q.total > 0 GROUP BY doc_id, kind
+), z AS (
+  SELECT doc_id, max(sqrt(greatest(0, js - (bins - 1) / (8 * ln(2) * n)))) FILTER (kind = 'c') AS dc,
+         max(sqrt(greatest(0, js - (bins - 1) / (8 * ln(2) * n)))) FILTER (kind = 'w') AS dw FROM j GROUP BY doc_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(dc, 0) <= {CLASS_LIMIT} AND coalesce(dw, 0) <= {WORD_LIMIT} AS kept
+FROM b LEFT JOIN z USING (doc_id)
+"""
+
+
+ORACLE = _oracle()

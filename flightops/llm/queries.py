@@ -66,6 +66,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_quality_rules": quality_rules.ORACLE,
     "op5_line_dedup": line_dedup.ORACLE,
+    "op9_substring_dedup": substring_dedup.ORACLE,
     "op10_chat_format": chat_format.ORACLE,
 }

@@ -340,3 +340,24 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot:
 def digest(docs: DataFrame) -> DataFrame:
     """Contract columns of op9 over a table with doc_id and text."""
     return remove(docs.select("doc_id", "text")).select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE = f"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents
+), s AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - {WINDOW - 2})) AS a FROM w WHERE len(words) >= {WINDOW}
+), r AS (
+  SELECT doc_id, a FROM (SELECT doc_id, a, md5(array_to_string(words[a:a + {WINDOW - 1}], ' ')) AS k FROM s) h
+  QUALIFY count(*) OVER (PARTITION BY k) > 1
+), g AS (
+  SELECT DISTINCT doc_id, a + i AS pos FROM r, range({WINDOW}) t(i)
+), u AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM w
+), k AS (
+  SELECT u.doc_id, string_agg(word, ' ' ORDER BY u.pos) FILTER (g.pos IS NULL) AS kept, count(g.pos) AS gone
+  FROM u LEFT JOIN g ON g.doc_id = u.doc_id AND g.pos = u.pos GROUP BY u.doc_id
+)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+"""
