@@ -85,12 +85,8 @@ class Preprocessor:
     encoder: PipelineModel | None = None
 
     def fit(self, train: DataFrame) -> "Preprocessor":
-        aggs = [F.percentile(col(c).cast("double"), 0.5).alias(f"med__{c}") for c in self.numeric]
-        if self.scale:
-            aggs += [F.avg(col(c).cast("double")).alias(f"mean__{c}") for c in self.numeric]
-            aggs += [F.stddev_pop(col(c).cast("double")).alias(f"std__{c}") for c in self.numeric]
-        row = train.agg(*aggs).first().asDict() if aggs else {}
-        self.medians = {c: row[f"med__{c}"] for c in self.numeric}
+        found = {r["feature"]: r["median"] for r in median_table(train, self.numeric).collect()} if self.numeric else {}
+        self.medians = {c: found.get(c) for c in self.numeric}  # one number a feature
         if self.scale:
             # the mean/std are of the imputed column, as after a median fill
             filled = train.select(*[F.coalesce(col(c).cast("double"), F.lit(self.medians[c] or 0.0)).alias(c)
@@ -146,8 +142,8 @@ class Preprocessor:
 
 def median_table(train: DataFrame, cols: list[str]) -> DataFrame:
     """Exact training medians as a long table (the imputation constants)."""
-    wide = train.agg(*[F.percentile(col(c).cast("double"), 0.5).alias(c) for c in cols])
-    return wide.unpivot([], cols, "feature", "median")
+    return PR.quantiles(PR._long(train, cols), ["column_name"], [0.5]).select(
+        F.col("column_name").alias("feature"), F.col("q")[0].alias("median"))
 
 
 def registry_v4(df: DataFrame, target: str = "delay_target", key: list[str] | None = None,

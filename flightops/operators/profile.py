@@ -3,9 +3,7 @@
 Wide audits compute every column's statistic inside one ``agg`` and
 ``unpivot`` the one-row result; there is never one job per column and never
 several ``count(DISTINCT)`` in one aggregate (which would multiply rows
-through an Expand). Percentiles use Spark's exact ``percentile`` (linear
-interpolation, as pandas) on columns whose value domain is bounded (minutes,
-miles, counts, 4-dp rates), so its per-group value map stays small.
+through an Expand). Percentiles are exact and distributed (``quantiles``).
 """
 
 from __future__ import annotations
@@ -178,30 +176,57 @@ def _long(df: DataFrame, cols: list[str]) -> DataFrame:
             .select("e.*").filter(F.col("v").isNotNull()))
 
 
+#: Distinct values of one prefix block while percentiles are looked up.
+BLOCK_VALUES = 4096
+
+
+def quantiles(long: DataFrame, keys: list[str], probs: list[float], value: str = "v") -> DataFrame:
+    """`keys` and `q`, the exact linearly interpolated percentiles of each group: values are counted, the counts
+    get their running total in blocks of the value range sized from the number of distinct values, and the rows
+    that hold the wanted ranks are picked. No task holds a group's values."""
+    counts = long.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    ends = counts.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum("_n").alias("_total"),
+                                     F.ceil(F.count(F.lit(1)) / BLOCK_VALUES).alias("_blocks"))
+    j = P.null_safe_join(counts, ends, keys)
+    share = F.when(F.col("_hi") > F.col("_lo"), (F.col(value) - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))).otherwise(0.0)
+    pre = P.exclusive_prefix(j, keys, value, ["_n"], F.floor(share * F.col("_blocks")), prefix="_before")
+    first = F.col("_before_n")
+    last = first + F.col("_n")
+
+    def at(rank):
+        return F.max(F.when((first <= rank) & (rank < last), F.col(value)))
+
+    spots = [(F.col("_total") - 1) * F.lit(float(p)) for p in probs]
+    picked = pre.groupBy(*keys).agg(F.first("_total").alias("_total"), *[at(F.floor(s)).alias(f"_a{i}") for i, s in enumerate(spots)],
+                                    *[at(F.ceil(s)).alias(f"_b{i}") for i, s in enumerate(spots)])
+    q = [F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * (s - F.floor(s)) for i, s in enumerate(spots)]
+    return picked.select(*keys, F.array(*q).alias("q"))
+
+
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     """Count, mean, sample std, min, quartiles, max (4 dp) per column."""
-    cols = [c for c in cols if c in df.columns]
-    v = F.col("v")
-    return _long(df, cols).groupBy("column_name").agg(
+    long, v = _long(df, [c for c in cols if c in df.columns]), F.col("v")
+    g = long.groupBy("column_name").agg(
         F.count(v).cast("long").alias("count"), _r(F.avg(v)).alias("mean"), _r(F.stddev_samp(v)).alias("std"),
-        _r(F.min(v)).alias("min"), _r(F.percentile(v, 0.25)).alias("q25"), _r(F.percentile(v, 0.5)).alias("q50"),
-        _r(F.percentile(v, 0.75)).alias("q75"), _r(F.max(v)).alias("max"))
+        _r(F.min(v)).alias("min"), _r(F.max(v)).alias("max"))
+    q = quantiles(long, ["column_name"], [0.25, 0.5, 0.75])
+    return g.join(q, "column_name").select("column_name", "count", "mean", "std", "min", _r(F.col("q")[0]).alias("q25"),
+                                           _r(F.col("q")[1]).alias("q50"), _r(F.col("q")[2]).alias("q75"), "max")
 
 
 def numeric_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     """+ median, IQR and bias-corrected skewness (pandas ``skew``)."""
-    cols = [c for c in cols if c in df.columns]
-    v = F.col("v")
-    g = _long(df, cols).groupBy("column_name").agg(
-        F.count(v).alias("_n"), F.avg(v).alias("_mean"), F.stddev_samp(v).alias("_std"),
-        F.percentile(v, 0.5).alias("_med"), F.min(v).alias("_min"), F.max(v).alias("_max"),
-        F.percentile(v, 0.25).alias("_q25"), F.percentile(v, 0.75).alias("_q75"), F.skewness(v).alias("_g1"))
-    n = F.col("_n").cast("double")
+    long, v = _long(df, [c for c in cols if c in df.columns]), F.col("v")
+    g = long.groupBy("column_name").agg(
+        F.count(v).alias("_n"), F.avg(v).alias("_mean"), F.stddev_samp(v).alias("_std"), F.min(v).alias("_min"),
+        F.max(v).alias("_max"), F.skewness(v).alias("_g1"))
+    g = g.join(quantiles(long, ["column_name"], [0.25, 0.5, 0.75]), "column_name")
+    n, q = F.col("_n").cast("double"), F.col("q")
     skew = F.when(n > 2, F.col("_g1") * F.sqrt(n * (n - 1)) / (n - 2))
     return g.select("column_name", F.col("_n").cast("long").alias("count"), _r(F.col("_mean")).alias("mean"),
-                    _r(F.col("_std")).alias("std"), _r(F.col("_med")).alias("median"), _r(F.col("_min")).alias("min"),
-                    _r(F.col("_max")).alias("max"), _r(F.col("_q25")).alias("q25"), _r(F.col("_q75")).alias("q75"),
-                    _r(F.col("_q75") - F.col("_q25")).alias("iqr"), _r(skew).alias("skewness"))
+                    _r(F.col("_std")).alias("std"), _r(q[1]).alias("median"), _r(F.col("_min")).alias("min"),
+                    _r(F.col("_max")).alias("max"), _r(q[0]).alias("q25"), _r(q[2]).alias("q75"),
+                    _r(q[2] - q[0]).alias("iqr"), _r(skew).alias("skewness"))
 
 
 def _moments(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -267,8 +292,8 @@ def outliers(df: DataFrame, cols: list[str]) -> DataFrame:
     (the bounds table has one row per column and is broadcast)."""
     cols = [c for c in cols if c in df.columns]
     long = _long(df, cols)
-    b = long.groupBy("column_name").agg(F.percentile("v", 0.25).alias("q25"), F.percentile("v", 0.75).alias("q75"),
-                                        F.count("v").alias("n"))
+    b = quantiles(long, ["column_name"], [0.25, 0.75]).join(long.groupBy("column_name").agg(F.count("v").alias("n")), "column_name")
+    b = b.select("column_name", "n", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q75"))
     b = b.withColumns({"lo": F.col("q25") - 1.5 * (F.col("q75") - F.col("q25")),
                        "hi": F.col("q75") + 1.5 * (F.col("q75") - F.col("q25"))})
     j = long.join(F.broadcast(b), "column_name")
@@ -286,9 +311,9 @@ def delay_percentiles(df: DataFrame, cols: list[str] | None = None) -> DataFrame
     """min/max/mean/median/p90/p95/p99 of delay minutes (1 dp)."""
     cols = [c for c in (cols or ["arrival_delay", "departure_delay"]) if c in df.columns]
     v = F.col("v")
-    p = F.percentile(v, [0.5, 0.9, 0.95, 0.99])
-    g = _long(df, cols).groupBy("column_name").agg(F.min(v).alias("mn"), F.max(v).alias("mx"), F.avg(v).alias("mean"),
-                                                   p.alias("p"))
+    long = _long(df, cols)
+    g = long.groupBy("column_name").agg(F.min(v).alias("mn"), F.max(v).alias("mx"), F.avg(v).alias("mean"))
+    g = g.join(quantiles(long, ["column_name"], [0.5, 0.9, 0.95, 0.99]).withColumnRenamed("q", "p"), "column_name")
     return g.select("column_name", _r(F.col("mn"), 1).alias("min"), _r(F.col("mx"), 1).alias("max"),
                     _r(F.col("mean"), 1).alias("mean"), _r(F.col("p")[0], 1).alias("median"),
                     _r(F.col("p")[1], 1).alias("p90"), _r(F.col("p")[2], 1).alias("p95"),
@@ -312,9 +337,10 @@ def distribution_by_target(df: DataFrame, cols: list[str], target: str = "delay_
     long = df.select(col(target).alias("target"), F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), col(c).cast("double").alias("v")) for c in cols])).alias("e")) \
         .select("target", "e.*").filter(F.col("v").isNotNull())
-    p = F.percentile("v", [0.25, 0.5, 0.75])
     g = long.groupBy("target", "column_name").agg(F.count("v").cast("long").alias("n"), F.min("v").alias("mn"),
-                                                  F.max("v").alias("mx"), p.alias("p"))
+                                                  F.max("v").alias("mx"))
+    q = quantiles(long, ["target", "column_name"], [0.25, 0.5, 0.75]).withColumnRenamed("q", "p")
+    g = P.null_safe_join(g, q, ["target", "column_name"])
     return g.select("target", "column_name", "n", _r(F.col("mn")).alias("min"), _r(F.col("p")[0]).alias("q25"),
                     _r(F.col("p")[1]).alias("median"), _r(F.col("p")[2]).alias("q75"), _r(F.col("mx")).alias("max"))
 
