@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 import uuid
 
 from ..operators import clean
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, forget_at_exit
 from ..sources import fixtures, ingest
 
 KEY = ["flight_id"]
@@ -23,6 +23,7 @@ def materialize(spark: SparkSession, name: str, df, sf_dir: str) -> DataFrame:
     if k not in _WRITTEN:
         path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
         (df() if callable(df) else df).write.mode("overwrite").parquet(path)
+        forget_at_exit(spark, path)
         _WRITTEN[k] = path
     return spark.read.parquet(_WRITTEN[k])
 

@@ -61,10 +61,11 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/stage/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    forget_at_exit(spark, path)
     return spark.read.parquet(path)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never localCheckpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def forget_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system drop a staged table when the driver ends, so that shared storage does not fill up."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)

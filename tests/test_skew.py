@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from flightops.operators import prior, quality, split
+from flightops.operators import asof, prior, quality, split
 
 
 def _skewed(spark, n=9000):
@@ -61,3 +61,37 @@ def test_hot_duplicate_group(spark):
     out = quality.expand_copies(counts, chunk=1000)
     assert out.count() == 6000 and out.filter("_is_duplicate").count() == 4999
     assert quality.distinct_rows(base).count() == 1001
+
+
+def test_asof_splits_a_hot_airport_hour(spark):
+    """A third of the flights at one airport and hour: same result, and AQE splits the hot join partition."""
+    flights = _skewed(spark, 30_000).withColumn("origin_airport", F.when(F.col("airline") == "HOT", "HOT").otherwise(F.col("origin_airport")))
+    flights = prior.with_departure_minute(flights)
+    weather = spark.range(4000).select(
+        F.col("id").alias("obs_id"), F.when(F.col("id") % 2 == 0, "HOT").otherwise(F.concat(F.lit("O"), (F.col("id") % 5).cast("string"))).alias("airport"),
+        F.expr("timestamp_ntz'2024-02-19 00:00:00' + make_dt_interval(0, 0, cast(id * 11 as int))").alias("timestamp"), F.lit(1.0).alias("temperature"))
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k"}
+    before = {k: spark.conf.get(k, None) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        out = asof.asof_weather(flights, weather, key=["flight_id"])
+        rows = {r["flight_id"]: r["weather_origin_obs_id"] for r in out.select("flight_id", "weather_origin_obs_id").repartition(3).collect()}
+        got = asof.asof_weather(flights, weather, key=["flight_id"])
+        got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "isFinalPlan=true" in plan and "skew=true" in plan
+    import bisect
+    times = {}
+    for r in weather.select("obs_id", "airport", F.floor(F.unix_timestamp(F.col("timestamp").cast("string")) / 60).alias("m")).orderBy("obs_id").collect():
+        times.setdefault(r["airport"], []).append((r["m"], r["obs_id"]))
+    for r in flights.select("flight_id", "origin_airport", prior.T).collect():
+        own = times.get(r["origin_airport"], [])
+        k = bisect.bisect_right(own, (r[prior.T], 1 << 60)) - 1
+        want = own[k][1] if k >= 0 and r[prior.T] - own[k][0] <= 120 else None
+        assert rows[r["flight_id"]] == want
