@@ -41,7 +41,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    done = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    done = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return done.select(*docs.columns, "n_tokens", "ids", same.alias("round_trip"))
 

@@ -61,6 +61,8 @@ def test_bpe_columns_nulls_and_round_trip(spark):
         text = r["text"] or ""
         assert r["list"] == ids(bytes(r["ids"])) == REFERENCE.encode_ordinary(text) and r["n_tokens"] == len(r["list"])
         assert bytes(r["decoded"]) == text.encode() and r["lang"] == "en"
+    both = bpe.round_trip(given, RANKS, P.PATTERN)
+    assert sorted((bytes(r["ids"]), bytes(r["decoded"]), r["n_tokens"]) for r in both.collect()) == sorted((bytes(r["ids"]), bytes(r["decoded"]), r["n_tokens"]) for r in done)
     assert bpe.encode(docs(spark, []), RANKS, P.PATTERN).count() == 0
 
 
