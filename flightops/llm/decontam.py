@@ -8,8 +8,12 @@ the symbol, so that two sequences at a small edit distance soon read the same
 symbols at the same steps again. A repetition starts the walk at an offset into
 the item, samples a few of its steps and takes the symbols read there as a key;
 documents walk from every word whose symbol can begin a key. Enough repetitions
-with their own offsets, bits and steps reach the target recall. Every candidate
-window is then verified by the exact edit distance, so nothing is reported that
+with their own offsets, bits and steps reach the target recall; their offsets go
+over more different words of an item than it may have edits. Items of fewer than
+`LONG` words have too few places to start from. They are cut into one piece more
+than they may have edits, so that some piece stands unchanged in every window to
+be found, and walks that always move on read whole pieces as keys: of these items
+none is missed. Every candidate window is then verified by the exact edit distance, so nothing is reported that
 does not hold, and exact copies, which agree in all repetitions, are never missed.
 
 Items are the stated query set: they are taken in blocks of bounded size, whose
@@ -39,6 +43,8 @@ from flightops.llm.common import NO_ID, batches, map_arrow
 SIMILARITY, MIN_WORDS = 0.8, 5
 #: Repetitions, steps of a walk, sampled steps of a key.
 REPEATS, STEPS, SAMPLES = 48, 12, 4
+#: Items of so many words are found by walks, shorter ones by their pieces.
+LONG = 2 * STEPS
 #: Greatest number of items, and of characters in them, in one broadcast block.
 BLOCK_ITEMS, BLOCK_CHARS = 20_000, 20_000_000
 SEED = 20
@@ -52,7 +58,7 @@ def split(text: bytes | None) -> list[bytes]:
 
 @dataclass
 class Walk:
-    """One repetition over items whose walks have so many steps."""
+    """One repetition, or the pieces of one length."""
     bits: np.ndarray       # [step, symbol]: move on or stay
     sampled: list[int]     # steps of a key; the first is 0
     first: np.ndarray      # [symbol]: begins a key
@@ -79,21 +85,32 @@ class Index:
         self.common = n > max(3, 0.002 * n.sum())  # words that say little about an item
         self.walks: list[Walk] = []
         rng = np.random.default_rng(seed)
-        by_steps: dict[int, list[int]] = {}
+        long = [k for k, w in enumerate(self.words) if len(w) >= LONG]
+        for r in range(repeats if long else 0):
+            share = (r + rng.random()) / repeats
+            sampled = [0, *sorted(rng.choice(np.arange(1, STEPS), size=SAMPLES - 1, replace=False).tolist())]
+            bits = rng.integers(0, 2, size=(STEPS, self.base), dtype=np.int8)
+            self.walks.append(self._walk(bits, sampled, [(k, self._offset(self.words[k], share)) for k in long]))
+        pieces: dict[int, list[tuple[int, int]]] = {}
         for k, w in enumerate(self.words):
-            by_steps.setdefault(min(STEPS, len(w)), []).append(k)
-        for steps, members in sorted(by_steps.items()):
-            for r in range(repeats):
-                self.walks.append(self._walk(steps, members, (r + rng.random()) / repeats, rng))
-
-    def _walk(self, steps: int, members: list[int], share: float, rng: np.random.Generator) -> Walk:
-        bits = rng.integers(0, 2, size=(steps, self.base), dtype=np.int8)
-        sampled = [0, *sorted(rng.choice(np.arange(1, steps), size=min(SAMPLES, steps) - 1, replace=False).tolist())]
+            if len(w) < LONG:
+                n = self._most(w) + 1
+                starts = [len(w) * i // n for i in range(n + 1)]
+                for a, b in zip(starts, starts[1:]):
+                    pieces.setdefault(min(STEPS, b - a), []).append((k, a))
+        for steps, members in sorted(pieces.items()):
+            self.walks.append(self._walk(np.ones((steps, self.base), dtype=np.int8), list(range(steps)), members))
+
+    def _most(self, w: np.ndarray) -> int:
+        """The greatest number of edits of an item."""
+        return math.floor((1 - self.similarity) * len(w) + 1e-9)
+
+    def _walk(self, bits: np.ndarray, sampled: list[int], members: list[tuple[int, int]]) -> Walk:
+        """The walks of `members` (item, offset)."""
         prefixes: list[set[int]] = [set() for _ in sampled]
         found: dict[int, list[tuple[int, int]]] = {}
-        for k in members:
-            w = self.words[k]
-            at = offset = self._offset(w, steps, share)
+        for k, offset in members:
+            w, at = self.words[k], offset
             key, done = 0, 0
             for step in range(sampled[-1] + 1):
                 if step == sampled[done]:
@@ -106,12 +123,11 @@ class Index:
         first[list(prefixes[0])] = True
         return Walk(bits, sampled, first, [np.array(sorted(p), dtype=np.int64) for p in prefixes], found)
 
-    def _offset(self, w: np.ndarray, steps: int, share: float) -> int:
-        """Where the walk starts: near this share of the item, at a word that is not common if there is one."""
-        last = len(w) - steps
-        wanted = int(share * (last + 1))
-        rare = [i for i in range(last + 1) if not self.common[w[i]]]
-        return min(rare, key=lambda i: (abs(i - wanted), i)) if rare else wanted
+    def _offset(self, w: np.ndarray, share: float) -> int:
+        """Where the walk starts: at this share of the words that are not common, or of all if edits could meet each of those."""
+        places = len(w) - STEPS + 1
+        rare = np.flatnonzero(~self.common[w[:places]])
+        return int(rare[int(share * len(rare))]) if len(rare) > self._most(w) else int(share * places)
 
     def candidates(self, text: np.ndarray) -> set[tuple[int, int, int]]:
         """(item, where it would begin, where a walk agreed) in `text`, symbols with STEPS zeros behind each document."""
@@ -142,7 +158,7 @@ class Index:
             w, name = self.words[item], self.ids[item]
             if name in best and best[name][0] == 0:
                 continue
-            most = math.floor((1 - self.similarity) * len(w) + 1e-9)
+            most = self._most(w)
             if begin >= 0 and np.array_equal(text[begin:begin + len(w)], w):
                 near = (0, begin, len(w))
             else:
