@@ -59,11 +59,11 @@ def split(text: bytes | None) -> list[bytes]:
 @dataclass
 class Walk:
     """One repetition, or the pieces of one length."""
-    bits: np.ndarray       # [step, symbol]: move on or stay
+    moves: np.ndarray      # [symbol]: a bit a step, move on or stay
     sampled: list[int]     # steps of a key; the first is 0
     first: np.ndarray      # [symbol]: begins a key
-    prefixes: list[np.ndarray]  # sorted keys after each sampled step
-    items: dict[int, list[tuple[int, int]]]  # whole key: (item, offset)
+    prefixes: list[np.ndarray]  # sorted keys of each sampled step: place of the key before * base + symbol, below 2**63
+    items: dict[int, list[tuple[int, int]]]  # place of the last key: (item, offset)
 
 
 class Index:
@@ -81,7 +81,9 @@ class Index:
         self.ids = [i for i, _ in each]
         self.words = [np.array([self.symbol.setdefault(x, len(self.symbol) + 1) for x in w], dtype=np.int64) for _, w in each]
         self.base = len(self.symbol) + 1
-        n = np.bincount(np.concatenate(self.words), minlength=self.base) if each else np.zeros(self.base)
+        self.flat = np.concatenate(self.words) if each else np.zeros(0, dtype=np.int64)
+        self.starts = np.cumsum([0, *map(len, self.words)])
+        n = np.bincount(self.flat, minlength=self.base)
         self.common = n > max(3, 0.002 * n.sum())  # words that say little about an item
         self.walks: list[Walk] = []
         rng = np.random.default_rng(seed)
@@ -89,39 +91,38 @@ class Index:
         for r in range(repeats if long else 0):
             share = (r + rng.random()) / repeats
             sampled = [0, *sorted(rng.choice(np.arange(1, STEPS), size=SAMPLES - 1, replace=False).tolist())]
-            bits = rng.integers(0, 2, size=(STEPS, self.base), dtype=np.int8)
-            self.walks.append(self._walk(bits, sampled, [(k, self._offset(self.words[k], share)) for k in long]))
+            moves = rng.integers(0, 1 << STEPS, size=self.base, dtype=np.int16)
+            self.walks.append(self._walk(moves, sampled, [(k, self._offset(self.words[k], share)) for k in long]))
         pieces: dict[int, list[tuple[int, int]]] = {}
         for k, w in enumerate(self.words):
             if len(w) < LONG:
-                n = self._most(w) + 1
+                n = min(len(w), self._most(w) + 1)
                 starts = [len(w) * i // n for i in range(n + 1)]
                 for a, b in zip(starts, starts[1:]):
                     pieces.setdefault(min(STEPS, b - a), []).append((k, a))
         for steps, members in sorted(pieces.items()):
-            self.walks.append(self._walk(np.ones((steps, self.base), dtype=np.int8), list(range(steps)), members))
+            self.walks.append(self._walk(np.full(self.base, (1 << STEPS) - 1, dtype=np.int16), list(range(steps)), members))
 
     def _most(self, w: np.ndarray) -> int:
         """The greatest number of edits of an item."""
         return math.floor((1 - self.similarity) * len(w) + 1e-9)
 
-    def _walk(self, bits: np.ndarray, sampled: list[int], members: list[tuple[int, int]]) -> Walk:
+    def _walk(self, moves: np.ndarray, sampled: list[int], members: list[tuple[int, int]]) -> Walk:
         """The walks of `members` (item, offset)."""
-        prefixes: list[set[int]] = [set() for _ in sampled]
+        at = np.array([self.starts[k] + offset for k, offset in members], dtype=np.int64)
+        key, prefixes = np.zeros(len(members), dtype=np.int64), []
+        for step in range(sampled[-1] + 1):
+            now = self.flat[at]
+            if step == sampled[len(prefixes)]:
+                known, key = np.unique(key * self.base + now, return_inverse=True)
+                prefixes.append(known)
+            at += moves[now] >> step & 1
         found: dict[int, list[tuple[int, int]]] = {}
-        for k, offset in members:
-            w, at = self.words[k], offset
-            key, done = 0, 0
-            for step in range(sampled[-1] + 1):
-                if step == sampled[done]:
-                    key = key * self.base + int(w[at])
-                    prefixes[done].add(key)
-                    done += 1
-                at += int(bits[step, w[at]])
-            found.setdefault(key, []).append((k, offset))
+        for k, member in zip(key.tolist(), members):
+            found.setdefault(k, []).append(member)
         first = np.zeros(self.base, dtype=bool)
-        first[list(prefixes[0])] = True
-        return Walk(bits, sampled, first, [np.array(sorted(p), dtype=np.int64) for p in prefixes], found)
+        first[prefixes[0]] = True
+        return Walk(moves, sampled, first, prefixes, found)
 
     def _offset(self, w: np.ndarray, share: float) -> int:
         """Where the walk starts: at this share of the words that are not common, or of all if edits could meet each of those."""
@@ -142,11 +143,11 @@ class Index:
                     known = walk.prefixes[done]
                     place = np.minimum(np.searchsorted(known, key), len(known) - 1)
                     keep = known[place] == key
-                    start, at, key, now = start[keep], at[keep], key[keep], now[keep]
+                    start, at, key, now = start[keep], at[keep], place[keep], now[keep]
                     done += 1
                     if not len(start):
                         break
-                at = at + walk.bits[step][now]
+                at = at + (walk.moves[now] >> step & 1)
             for s, k in zip(start.tolist(), key.tolist()):
                 out.update((item, s - offset, s) for item, offset in walk.items.get(k, ()))
         return out
@@ -164,9 +165,8 @@ class Index:
             else:
                 a = max(0, begin - most)
                 region = text[a:max(a, begin + len(w) + 2 * most)]
-                seen = np.zeros(self.base, dtype=bool)
-                seen[region] = True
-                if len(w) - int(seen[w].sum()) > most:  # each word that the region lacks is an edit
+                seen = set(region.tolist())
+                if sum(x not in seen for x in w.tolist()) > most:  # each word that the region lacks is an edit
                     continue
                 near = nearest(w, region)
                 near = (near[0], near[1] + a, near[2])

@@ -40,3 +40,12 @@ def test_leaks_of_every_length_equal_exhaustive_search(edited):
         symbols = np.array([index.symbol.get(x, 0) for x in decontam.split(texts[k])])
         assert k in got, (len(items[k]), items[k])
         assert all(decontam.nearest(index.words[j], symbols)[0] <= 0.2 * len(items[j]) + 1e-9 for j in got)
+
+
+def test_keys_of_a_block_with_many_different_words():
+    items = [[f"a{k}b{i}" for i in range(40 if k % 2 else 20)] for k in range(2300)]
+    index = decontam.Index([(k, " ".join(w).encode()) for k, w in enumerate(items)])
+    assert index.base > 60_000
+    some = [*range(0, 2300, 97), 2298, 2299]
+    texts = [" ".join(["before", "that", "new", *items[k][1:10], *items[k][11:], "after"]).encode() for k in some]
+    assert leaks(index, texts) == [{k} for k in some]
