@@ -24,7 +24,7 @@ shuffle of text.
 * null or empty documents and items without words: no hits.
 * items of fewer than `MIN_WORDS` words are hit only by documents with exactly these words.
 * repeated rows and ids: hits are reported per (document id, item id), the best window once.
-* null ids are kept as null; other columns are ignored.
+* null ids are kept as null; other columns are ignored. Where documents go, only the rows whose own text holds an item go.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightops.llm.common import NO_ID, batches, map_arrow
@@ -49,7 +49,7 @@ LONG = 2 * STEPS
 BLOCK_ITEMS, BLOCK_CHARS = 20_000, 20_000_000
 SEED = 20
 _FOLD = bytes(b if b >= 128 else ord(chr(b).lower()) if chr(b).isalnum() else 32 for b in range(256))
-_HITS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("edits", pa.int64())])
+_HITS = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("edits", pa.int64())])
 
 
 def split(text: bytes | None) -> list[bytes]:
@@ -211,14 +211,26 @@ def _blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple
 def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
          item_text_col: str = "text", similarity: float = SIMILARITY, repeats: int = REPEATS) -> DataFrame:
     """(doc_id, item_id, start, length, edits): every document and item that meet, with the best window in words."""
-    given = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
+    return (_found(docs, items, id_col, text_col, item_id_col, item_text_col, similarity, repeats)
+            .groupBy("doc_id", "item_id").agg(F.min(F.struct("edits", "start", "length")).alias("b"))
+            .select("doc_id", "item_id", "b.start", "b.length", "b.edits"))
+
+
+def _found(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
+           item_text_col: str = "text", similarity: float = SIMILARITY, repeats: int = REPEATS) -> DataFrame:
+    """(doc_id, text_hash, item_id, start, length, edits): a row for every row of `docs` and item that meet."""
+    given = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), _text_hash(text_col).alias("text_hash"),
+                        F.col(f"`{text_col}`").cast("binary").alias("text"))
     out = None
     for block in _blocks(items, item_id_col, item_text_col):
         shared = docs.sparkSession.sparkContext.broadcast(Index(block, similarity, repeats))
-        part = map_arrow(given, _searcher(shared), "doc_id long, item_id long, start long, length long, edits long")
+        part = map_arrow(given, _searcher(shared), "doc_id long, text_hash long, item_id long, start long, length long, edits long")
         out = part if out is None else out.unionByName(part)
-    return (out.groupBy("doc_id", "item_id").agg(F.min(F.struct("edits", "start", "length")).alias("b"))
-            .select("doc_id", "item_id", "b.start", "b.length", "b.edits"))
+    return out
+
+
+def _text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.col(f"`{text_col}`").cast("binary"))
 
 
 def _searcher(shared):
@@ -230,7 +242,7 @@ def _searcher(shared):
             for part in parts:
                 for a in range(0, part.num_rows, 500):
                     some = part.slice(a, 500)
-                    ids, each = some.column(0).to_pylist(), [split(x.as_py()) for x in some.column(1)]
+                    ids, hashes, each = some.column(0).to_pylist(), some.column(1).to_pylist(), [split(x.as_py()) for x in some.column(2)]
                     gap = [0] * STEPS
                     text, starts = [], []
                     for words in each:
@@ -246,17 +258,18 @@ def _searcher(shared):
                         end = starts[k] + len(each[k])
                         own = {(item, begin - starts[k]) for item, begin in found.get(k, ())}
                         for item, (edits, start, length) in index.hits(each[k], text[starts[k]:end], own).items():
-                            yield ids[k], item, start, length, edits
+                            yield ids[k], hashes[k], item, start, length, edits
 
         yield from batches(rows(), _HITS)
 
     return run
 
 
-def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """The rows of `docs` in which no item is found, all columns."""
-    hit = find(docs, items, id_col, **how).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_dc_id")).distinct()
-    return docs.join(hit, F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)) == F.col("_dc_id"), "left_anti")
+def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of `docs` in which no item is found, all columns. Rows that share an id, or have none, are told apart by their texts."""
+    hit = _found(docs, items, id_col, text_col, **how).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_dc_id"), F.col("text_hash").alias("_dc_text")).distinct()
+    same = (F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)) == F.col("_dc_id")) & (_text_hash(text_col) == F.col("_dc_text"))
+    return docs.join(hit, same, "left_anti")
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -15,7 +15,8 @@ Components come from the links by alternating large-star and small-star steps
 on tables in the shared checkpoint folder.
 
 * null or empty text: fingerprint zero, linked like any other.
-* null id: counts as the largest long; rows that share an id are one node each by their fingerprints.
+* null id: counts as the largest long. Nodes are fingerprints: rows that share an id, or have none, are linked by their texts only;
+  the id only chooses and names the smallest of a group.
 * one block choice is a shuffle of (blocks over radius) narrow rows a fingerprint; more blocks
   mean shorter cells. The default of 5 gives 10 choices of 25 or 26 bits.
 """
@@ -28,7 +29,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightops.llm.common import NO_ID, map_arrow
@@ -59,14 +60,19 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                  seed: int = SEED) -> DataFrame:
-    """(id, fp): one row per row of `docs`, fp as a signed long."""
+    """(id, text_hash, fp): one row per row of `docs`, fp as a signed long."""
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            made = np.array([fingerprint(x.as_py() or b"", shingle, seed) for x in part.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made.view(np.int64))], names=["id", "fp"])
+            made = np.array([fingerprint(x.as_py() or b"", shingle, seed) for x in part.column(2)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(made.view(np.int64))], names=["id", "text_hash", "fp"])
 
-    given = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
-    return map_arrow(given, run, "id long, fp long")
+    given = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), _text_hash(text_col).alias("text_hash"),
+                        F.col(f"`{text_col}`").cast("binary").alias("text"))
+    return map_arrow(given, run, "id long, text_hash long, fp long")
+
+
+def _text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.col(f"`{text_col}`").cast("binary"))
 
 
 def _block_masks(blocks: int, radius: int) -> list[int]:
@@ -217,24 +223,36 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
             radius: int = RADIUS, seed: int = SEED, blocks: int = BLOCKS) -> DataFrame:
-    """(id, fp, component): one row per row of `docs`; component is the smallest id reachable, itself included."""
+    """(id, fp, component): one row per row of `docs`; component is the smallest id of the fingerprints reachable."""
+    marked, known = _groups(docs, id_col, text_col, shingle, radius, seed, blocks)
+    return marked.join(known, "fp").select("id", "fp", "component")
+
+
+def _groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS,
+            seed: int = SEED, blocks: int = BLOCKS) -> tuple[DataFrame, DataFrame]:
+    """(id, text_hash, fp) of every row of `docs`, and (fp, grp, component, chosen) of every fingerprint: its group's smallest
+    fingerprint and smallest id, and of the fingerprints with that id the smallest."""
     marked = stage_table(fingerprints(docs, id_col, text_col, shingle, seed)
                          .withColumn("id", F.coalesce("id", F.lit(NO_ID))), "fingerprints")
-    distinct = stage_table(marked.groupBy("fp").agg(F.min("id").alias("node")), "distinct")
-    # rows that share an id are one node: a link for each of their fingerprints
-    shared = (marked.groupBy("id").agg(F.min("fp").alias("f"), F.max("fp").alias("g")).where("f <> g").select("id"))
-    same = (marked.join(shared, "id").join(distinct, "fp").where("id <> node")
-            .select(F.col("id").alias("a"), F.col("node").alias("b")))
-    least = components(links(distinct, radius, blocks).unionByName(same))
-    known = (distinct.join(least, "node", "left").select("fp", F.coalesce("least", "node").alias("component")))
-    return marked.join(stage_table(known, "component"), "fp").select("id", "fp", "component")
+    # the fingerprint is the node: an id that several texts share links nothing
+    distinct = stage_table(marked.groupBy("fp").agg(F.min("id").alias("id")).withColumn("node", F.col("fp")), "distinct")
+    least = components(links(distinct, radius, blocks))
+    known = stage_table(distinct.join(least, "node", "left").select("fp", "id", F.coalesce("least", "node").alias("grp")), "group")
+    smallest = (known.groupBy("grp").agg(F.min(F.struct("id", "fp")).alias("s"))
+                .select("grp", F.col("s.id").alias("component"), F.col("s.fp").alias("chosen")))
+    return marked, stage_table(known.join(smallest, "grp").select("fp", "grp", "component", "chosen"), "component")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of `docs` whose id is the smallest of its group, all columns; of repeated rows with that id, all stay."""
-    found = classes(docs, id_col, text_col, **how)
-    keepers = found.where("id = component").select(F.col("id").alias("_sh_id")).distinct()
-    return docs.join(keepers, F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)) == F.col("_sh_id"), "left_semi")
+    """The rows of `docs` with the smallest id of their group and one text, all columns; of repeated rows of these, all stay.
+
+    A text is chosen by its fingerprint and hash where rows of a group share the smallest id or have none.
+    """
+    marked, known = _groups(docs, id_col, text_col, **how)
+    chosen = (marked.join(known.where("fp = chosen").select("fp", "component"), "fp").where("id = component")
+              .groupBy("fp").agg(F.min("id").alias("_sh_id"), F.min("text_hash").alias("_sh_text")).select("_sh_id", "_sh_text"))
+    same = (F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)) == F.col("_sh_id")) & (_text_hash(text_col) == F.col("_sh_text"))
+    return docs.join(chosen, same, "left_semi")
 
 
 def digest(docs: DataFrame) -> DataFrame:

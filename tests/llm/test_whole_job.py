@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from flightops.llm import decontam
+from flightops.llm import decontam, simhash_dedup
 
 
 # ---- decontamination
@@ -49,3 +49,22 @@ def test_keys_of_a_block_with_many_different_words():
     some = [*range(0, 2300, 97), 2298, 2299]
     texts = [" ".join(["before", "that", "new", *items[k][1:10], *items[k][11:], "after"]).encode() for k in some]
     assert leaks(index, texts) == [{k} for k in some]
+
+
+# ---- rows without an id of their own
+
+def texts_of(seed, n, words=60):
+    rnd = random.Random(seed)
+    return [" ".join(f"u{rnd.randrange(5000)}" for _ in range(words)) for _ in range(n)]
+
+
+def test_rows_without_an_own_id_are_told_apart(spark):
+    a, b, c, d, e, f = texts_of(1, 6)
+    rows = [(1, a), (None, a), (None, b), (None, c), (2, c), (3, b), (None, d), (None, d), (7, e), (7, f), (8, f)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = simhash_dedup.keep_one(docs).collect()
+    # a, c, b stay with the id that they have; d, whose rows are the same row twice, as these; 8 is a copy of 7
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(1, a), (2, c), (3, b), (0, d), (0, d), (7, e), (7, f)])
+    items = spark.createDataFrame([(5, " ".join(d.split()[5:40])), (6, " ".join(e.split()[5:40]))], "item_id long, text string")
+    left = decontam.clean(docs, items).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left) == sorted((i or 0, t) for i, t in rows if t not in (d, e))
