@@ -1,11 +1,12 @@
 """Cases where an operator once did less than the whole job."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
 
-from flightops.llm import decontam, simhash_dedup
+from flightops.llm import decontam, simhash_dedup, toxicity
 
 
 # ---- decontamination
@@ -68,3 +69,23 @@ def test_rows_without_an_own_id_are_told_apart(spark):
     items = spark.createDataFrame([(5, " ".join(d.split()[5:40])), (6, " ".join(e.split()[5:40]))], "item_id long, text string")
     left = decontam.clean(docs, items).collect()
     assert sorted((r["doc_id"] or 0, r["text"]) for r in left) == sorted((i or 0, t) for i, t in rows if t not in (d, e))
+
+
+# ---- toxicity
+
+def test_expressions_of_the_rows_of_the_curve_are_learned(spark):
+    rnd = random.Random(6)
+    rows, labels = [], []
+    for i in range(600):
+        fold = zlib.crc32(str(i).encode())
+        w = [f"w{chr(97 + rnd.randrange(26))}{chr(97 + rnd.randrange(10))}" for _ in range(40)]
+        held, quarter, toxic = fold % 3 == 1, fold // 3 % 4 == 0, i % 3 == 0
+        if toxic:  # "foul" stands in the quarter of the training rows and in held-out rows only
+            w[10:10] = ["foul"] if held else ["vile"] if not quarter else ["vile", *w[:5], "foul"]
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    scored = toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {r["doc_id"]: r["score"] for r in scored.collect()}
+    held = [i for i in got if zlib.crc32(str(i).encode()) % 3 == 1]
+    foul, calm = ([got[i] for i in held if labels[i][1] == y] for y in (1, 0))
+    assert np.mean([s >= 0.7 for s in foul]) > 0.9 and np.mean([s >= 0.7 for s in calm]) < 0.05
