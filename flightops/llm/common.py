@@ -80,3 +80,13 @@ def batches(rows: Iterable[tuple], schema: pa.Schema, max_bytes: int = 8 << 20,
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB expression: unsigned crc32 of a text's UTF-8 bytes."""
+    hexed = f"hex(encode({text}))"
+    digit = lambda at: f"instr('0123456789ABCDEF', substr({hexed}, {at}, 1)) - 1"
+    each = f"list_transform(range(1, length({hexed}), 2), lambda i: (({digit('i::INT')}) * 16 + ({digit('i::INT + 1')}))::BIGINT)"
+    bit = "lambda c, z: xor(c >> 1, (c & 1) * 3988292384)"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {each}), "
+            f"lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), {bit})), 4294967295::BIGINT)")

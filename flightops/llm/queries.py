@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flightops.llm import bpe, chat_format, decontam, html_extract, line_dedup, quality_rules, simhash_dedup, substring_dedup, toxicity, url_filter
+from flightops.llm import bpe, chat_format, decontam, html_extract, line_dedup, merkle, quality_rules, simhash_dedup, substring_dedup, toxicity, url_filter
 from flightops.llm.common import read
 
 
@@ -52,6 +52,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(spark, read(spark, sf_dir, "conversations"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extract": op8_html_extract,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_chat_format": op10_chat_format,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
@@ -70,4 +75,5 @@ ORACLES: dict[str, str] = {
     "op5_line_dedup": line_dedup.ORACLE,
     "op9_substring_dedup": substring_dedup.ORACLE,
     "op10_chat_format": chat_format.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
 }
