@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flightops.llm import bpe, chat_format, decontam, html_extract, line_dedup, merkle, quality_rules, simhash_dedup, substring_dedup, toxicity, url_filter
+from flightops.llm import (bpe, chat_format, decontam, html_extract, importance, line_dedup, merkle, ngram_join, quality_rules,
+                           simhash_dedup, substring_dedup, toxicity, url_filter)
 from flightops.llm.common import read
 
 
@@ -52,6 +53,14 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(spark, read(spark, sf_dir, "conversations"))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.digest(read(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digest(read(spark, sf_dir, "documents"))
 
@@ -67,6 +76,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extract": op8_html_extract,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_chat_format": op10_chat_format,
+    "op11_ngram_join": op11_ngram_join,
+    "op12_importance_resampling": op12_importance_resampling,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -75,5 +86,7 @@ ORACLES: dict[str, str] = {
     "op5_line_dedup": line_dedup.ORACLE,
     "op9_substring_dedup": substring_dedup.ORACLE,
     "op10_chat_format": chat_format.ORACLE,
+    "op11_ngram_join": ngram_join.ORACLE,
+    "op12_importance_resampling": importance.ORACLE,
     "op13_merkle_manifest": merkle.ORACLE,
 }
