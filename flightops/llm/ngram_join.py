@@ -340,7 +340,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
 
     links = _linked(_hub_pairs(columns, percent), given, rows, shingle, percent)
     more = _linked(_product(columns, components(links), percent, tile), given, rows, shingle, percent)
-    known = components(links.unionByName(more))
+    known = components(links.unionByName(more))  # all but the smallest node of each component
+    known = known.unionByName(known.select(F.col("least").alias("node"), "least").distinct())
     named = rows.select("node", "least_id").join(_small(known), "node")
     ids = named.groupBy("least").agg(F.min("least_id").alias("component"))
     reached = stage_table(named.select("node", "least").join(ids, "least").select("node", F.col("component").alias("linked")), "reached")
@@ -365,8 +366,8 @@ WITH RECURSIVE w AS (
 ), n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.gram = y.gram AND x.doc_id < y.doc_id GROUP BY ALL),
 e AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= {PERCENT} * (x.n + y.n - c)),
-both AS MATERIALIZED (SELECT a, b FROM e UNION SELECT b, a FROM e),
-r AS (SELECT doc_id AS start, doc_id AS at FROM n UNION SELECT r.start, b FROM r JOIN both ON r.at = both.a)
+pairs AS MATERIALIZED (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r AS (SELECT doc_id AS start, doc_id AS at FROM n UNION SELECT r.start, b FROM r JOIN pairs ON r.at = pairs.a)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce((SELECT min(at) FROM r WHERE start = d.doc_id), d.doc_id)::BIGINT AS component_id
 FROM documents d LEFT JOIN n USING (doc_id)
 """
