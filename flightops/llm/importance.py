@@ -14,8 +14,8 @@ Ranks come from parallel sorting by regular sampling:
 4. a partition merges its segments; the counts of earlier ranges plus the place give the exact rank.
 
 The order ends with (run, place), so ties, however many, are split like other rows.
-At most 2 * SAMPLES narrow rows reach the driver; the splitters only balance the
-ranges and do not touch the ranks.
+Some SAMPLES narrow rows a range reach the driver, one row of tens of thousands;
+the splitters only balance the ranges and do not touch the ranks.
 
 * null or empty text: no features, weight 0, not eligible (too few words); the row stays, rank null.
 * null id: hashed as the empty text, last among ties.
@@ -41,8 +41,8 @@ from flightops.llm.common import NO_ID, crc32_sql, map_arrow
 from flightops.session import stage_table
 
 BUCKETS, LEAST, MOST, MIN_WORDS, SHARE, SEED = 10_000, 1, 1, 20, 10, 2024
-#: Samples aimed at (at most twice as many are collected); rows of one range of the order.
-SAMPLES, RANGE_ROWS = 1 << 18, 1_000_000
+#: Samples aimed at for each range of the order (at most twice as many are collected); rows of one range.
+SAMPLES, RANGE_ROWS = 32, 1_000_000
 
 #: Digits, a-z and all beyond ASCII are letters of words; A-Z are lower-cased, the rest separates.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -124,11 +124,11 @@ def ranks(rows: DataFrame, eligible: Column, order: list[str], share: int = SHAR
                                          "_is_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}), "runs")
     inside, keys = runs.where("not _is_out"), [*order, "_is_run", "_is_at"]
     n = inside.count()
-    stride = max(1, -(-n // samples))
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // range_rows))
+    stride = max(1, n // (samples * ranges))
     # a run of m rows gives at most m / stride + 1/2 samples, and none below half a stride
     found = inside.where(F.col("_is_at") % stride == stride // 2).select(*keys).toArrow()
     sample = sorted(zip(*(found.column(k).to_pylist() for k in keys)))
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // range_rows))
     splitters = sorted({sample[k * len(sample) // ranges] for k in range(1, ranges)}) if sample else []
     shared = spark.sparkContext.broadcast(splitters)
 

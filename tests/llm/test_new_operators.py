@@ -160,7 +160,7 @@ def test_resampling_on_awkward_rows(spark):
     target = ["w1 w2 w3", None, ""]
     given = spark.createDataFrame([(*d, "s", 1, "n") for d in docs], DOCS)
     aim = spark.createDataFrame([(t,) for t in target], "text string")
-    for how in ({}, {"samples": 8, "range_rows": 20}):
+    for how in ({}, {"samples": 2, "range_rows": 20}):
         got = importance.resample(given, aim, share=30, **how).select("id", "n_features", "weight", "score", "rank")
         assert sorted((tuple(r) for r in got.collect()), key=str) == resampled(docs, target, share=30)
     assert importance.resample(given.where("false"), aim).count() == 0
@@ -170,7 +170,7 @@ def test_resampling_on_awkward_rows(spark):
 
 def test_ties_are_split_over_ranges(spark):
     given = spark.range(20_000).select(F.lit(5).cast("long").alias("low"), F.lit(1).cast("long").alias("x")).repartition(8)
-    done = importance.ranks(given, F.lit(True), ["low"], share=100, samples=400, range_rows=500)
+    done = importance.ranks(given, F.lit(True), ["low"], share=100, samples=8, range_rows=500)
     assert sorted(r["rank"] for r in done.collect()) == list(range(1, 20_001))
     sizes = [r["n"] for r in done.groupBy(F.floor((F.col("rank") - 1) / 1000)).agg(F.count("rank").alias("n")).collect()]
     assert sizes == [1000] * 20
