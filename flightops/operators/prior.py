@@ -10,6 +10,16 @@ partition = one group-day = 1440 rows), and equi-join the timeline back on
 (group, minute). The plain RANGE-window plan is kept as ``method="window"``:
 it is the readable definition and the test oracle, but it sorts a whole group
 in one task.
+
+Several dimensions share one *melted* timeline: flights are exploded to
+(dimension, key, minute), counted (the only rows that meet are counts), given
+one prefix for all dimensions, joined back once and folded to a row a flight.
+
+``availability_lag_minutes`` = L makes a flight's outcome known L minutes after
+its departure: the frame of a flight at T ends at T - 1 - L. The timeline then
+merges two kinds of events, publications at departure + L, which carry the
+counts, and predictions at the departure, which carry none and only read the
+running total; without a lag they are the same rows.
 """
 
 from __future__ import annotations
@@ -38,31 +48,52 @@ def target_value(target: str) -> Column:
     return F.coalesce(S.to_double(S.col(target)), F.lit(0.0))
 
 
-def timeline(df: DataFrame, keys: list[str], target: str = "delay_target") -> DataFrame:
-    """(keys, minute) -> flights n and delayed s."""
-    return (df.groupBy(*[S.col(k) for k in keys], S.col(T))
-            .agg(F.count(F.lit(1)).cast("long").alias("n"), F.sum(target_value(target)).alias("s")))
+def timeline(df: DataFrame, keys: list[str], target: str = "delay_target",
+             availability_lag_minutes: int = 0) -> DataFrame:
+    """(keys, minute) -> flights n and delayed s published in that minute; with a lag, minutes in which
+    only predictions fall come with zeros."""
+    keyed = [S.col(k) for k in keys]
+    lag = _checked(availability_lag_minutes)
+    events = df.select(*keyed, S.col(T) + lag if lag else S.col(T), F.lit(1).alias("n"), target_value(target).alias("s"))
+    if lag:
+        events = (events.toDF(*keys, T, "n", "s")
+                  .unionByName(df.select(*keyed, S.col(T), F.lit(0).alias("n"), F.lit(0.0).alias("s"))))
+    return (events.groupBy(*keyed, S.col(T))
+            .agg(F.sum("n").cast("long").alias("n"), F.sum("s").alias("s")))
 
 
-def prior_timeline(df: DataFrame, keys: list[str], target: str = "delay_target") -> DataFrame:
-    """(keys, minute, prior_n, prior_s) by the two-level prefix."""
-    tl = timeline(df, keys, target)
-    day = F.floor(F.col(T) / F.lit(MINUTES_PER_DAY))
-    return P.exclusive_prefix(tl, keys, T, ["n", "s"], day).drop("n", "s")
+def _checked(lag: int) -> int:
+    if lag < 0:
+        raise ValueError("availability_lag_minutes must not be negative")
+    return lag
+
 
+def _running(tl: DataFrame, keys: list[str], days: int | None, lag: int, null_safe: bool = True) -> DataFrame:
+    """(keys, minute, prior_n, prior_s) of a timeline: all earlier events, or those of the last ``days``."""
+    if days is None:
+        day = F.floor(F.col(T) / F.lit(MINUTES_PER_DAY))
+        return P.exclusive_prefix(tl, keys, T, ["n", "s"], day, null_safe=null_safe).drop("n", "s")
+    width = days * MINUTES_PER_DAY - lag  # publications since T - days + lag are departures since T - days
+    if width <= 0:
+        return tl.withColumns({"prior_n": F.lit(0).cast("long"), "prior_s": F.lit(0.0)}).drop("n", "s")
+    return P.block_rolling(tl, keys, T, ["n", "s"], width, prefix="prior_").drop("n", "s")
 
-def rolling_timeline(df: DataFrame, keys: list[str], days: int, target: str = "delay_target") -> DataFrame:
-    """(keys, minute, prior_n, prior_s) over [T - days, T)."""
-    tl = timeline(df, keys, target)
-    out = P.block_rolling(tl, keys, T, ["n", "s"], days * MINUTES_PER_DAY, prefix="prior_")
-    return out.drop("n", "s")
+
+def prior_timeline(df: DataFrame, keys: list[str], target: str = "delay_target", days: int | None = None,
+                   availability_lag_minutes: int = 0) -> DataFrame:
+    """(keys, minute, prior_n, prior_s) by the two-level prefix, or over [T - days, T)."""
+    lag = availability_lag_minutes
+    return _running(timeline(df, keys, target, lag), keys, days, lag)
 
 
 def prior_stats_window(df: DataFrame, keys: list[str], target: str = "delay_target",
-                       days: int | None = None) -> DataFrame:
+                       days: int | None = None, availability_lag_minutes: int = 0) -> DataFrame:
     """Reference plan: RANGE frame over the flight rows themselves."""
+    hi = -1 - _checked(availability_lag_minutes)
+    if days is not None and days * MINUTES_PER_DAY < -hi:
+        return df.withColumns({"prior_n": F.lit(0).cast("long"), "prior_s": F.lit(0.0)})
     lo = Window.unboundedPreceding if days is None else -days * MINUTES_PER_DAY
-    w = Window.partitionBy(*[S.col(k) for k in keys]).orderBy(S.col(T)).rangeBetween(lo, -1)
+    w = Window.partitionBy(*[S.col(k) for k in keys]).orderBy(S.col(T)).rangeBetween(lo, hi)
     return df.withColumns({
         "prior_n": F.coalesce(F.count(F.lit(1)).over(w), F.lit(0)).cast("long"),
         "prior_s": F.coalesce(F.sum(target_value(target)).over(w), F.lit(0.0)),
@@ -76,12 +107,13 @@ def attach(df: DataFrame, stats: DataFrame, keys: list[str], rename: dict[str, s
 
 
 def prior_group_stats(df: DataFrame, keys: list[str], target: str = "delay_target",
-                      method: str = "prefix", days: int | None = None) -> DataFrame:
+                      method: str = "prefix", days: int | None = None,
+                      availability_lag_minutes: int = 0) -> DataFrame:
     """Flights with ``prior_n`` (count) and ``prior_s`` (delayed) columns."""
     df = with_departure_minute(df)
     if method == "window":
-        return prior_stats_window(df, keys, target, days)
-    tl = prior_timeline(df, keys, target) if days is None else rolling_timeline(df, keys, days, target)
+        return prior_stats_window(df, keys, target, days, availability_lag_minutes)
+    tl = prior_timeline(df, keys, target, days, availability_lag_minutes)
     out = attach(df, tl, keys, {})
     return out.withColumns({"prior_n": F.coalesce(F.col("prior_n"), F.lit(0)).cast("long"),
                             "prior_s": F.coalesce(F.col("prior_s"), F.lit(0.0))})
@@ -104,11 +136,11 @@ def latest_prior_minute(df: DataFrame, keys: list[str]) -> DataFrame:
     return attach(df, tl, keys, {})
 
 
-def global_prior_rate(df: DataFrame, target: str = "delay_target") -> DataFrame:
+def global_prior_rate(df: DataFrame, target: str = "delay_target", availability_lag_minutes: int = 0) -> DataFrame:
     """(minute, global_prior_rate): delayed share of all flights before the
     minute; null when there is none. Two-level prefix, no single-task window
     over flights (the only unpartitioned window runs over per-day totals)."""
-    tl = prior_timeline(with_departure_minute(df), [], target)
+    tl = prior_timeline(with_departure_minute(df), [], target, availability_lag_minutes=availability_lag_minutes)
     return tl.select(T, F.when(F.col("prior_n") > 0, F.try_divide(F.col("prior_s"), F.col("prior_n")))
                      .alias("global_prior_rate"))
 
@@ -190,54 +222,83 @@ def _prepare(df: DataFrame, wrap_hour: bool) -> DataFrame:
     return df.withColumns(add)
 
 
-def _history(df: DataFrame, dims, target: str, key: list[str] | None, method: str,
-             days: int | None = None, stage: bool = True) -> tuple[DataFrame, dict[str, tuple[str, str]]]:
+#: A missing minute sorts before all others.
+_NO_MINUTE = -(1 << 60)
+
+
+def melted_timeline(df: DataFrame, dims, target: str = "delay_target", days: int | None = None,
+                    availability_lag_minutes: int = 0) -> DataFrame:
+    """(dim, dim_key, minute, prior_n, prior_s) for all dimensions at once.
+
+    dims: lists of key columns; ``dim`` is the place in the list and ``dim_key`` the key's values as text.
+    """
+    lag = _checked(availability_lag_minutes)
+    at = F.coalesce(S.col(T), F.lit(_NO_MINUTE))
+    flights = df.select(_melted(dims).alias("d"), at.alias(T), target_value(target).alias("s"))
+    known = F.when(F.col(T) > _NO_MINUTE, F.col(T) + lag).otherwise(F.col(T)) if lag else F.col(T)
+    events = flights.select("d.*", known.alias(T), F.lit(1).alias("n"), "s")
+    if lag:
+        events = events.unionByName(flights.select("d.*", T, F.lit(0).alias("n"), F.lit(0.0).alias("s")))
+    tl = events.groupBy("dim", "dim_key", T).agg(F.sum("n").cast("long").alias("n"), F.sum("s").alias("s"))
+    return _running(tl, ["dim", "dim_key"], days, lag, null_safe=False)
+
+
+def _melted(dims) -> Column:
+    return F.explode(F.array(*[
+        F.struct(F.lit(i).alias("dim"), F.array(*[S.col(k).cast("string") for k in ks]).cast("array<string>").alias("dim_key"))
+        for i, ks in enumerate(dims)]))
+
+
+def _history(df: DataFrame, dims, target: str, key: list[str] | None, method: str, days: int | None = None,
+             stage: bool = True, lag: int = 0) -> tuple[DataFrame, dict[str, tuple[str, str]]]:
     """Attach (prior_n, prior_s) for every dimension plus the global prior rate.
 
-    With a unique ``key``: the narrow projection (key, group columns, minute,
-    target) is staged once as a written table; every dimension's timeline is
-    computed from it and left-joined onto it, and the finished narrow result
-    is joined to the wide table once. Without a key, each dimension is
-    joined onto the wide rows directly."""
+    The narrow projection (unique ``key``, or the distinct group columns and
+    minutes; group columns, minute, target) meets one melted timeline of all
+    dimensions and is folded back to one row, which is joined to the wide
+    table once. With a key it is staged as a written table first."""
     group_cols = sorted({c for _, ks in dims for c in ks})
     names: dict[str, tuple[str, str]] = {f"{name}": (f"_{name}_n", f"_{name}_s") for name, _ in dims}
     if method == "window":
         out = df
         for name, ks in dims:
             n_col, s_col = names[name]
-            out = prior_stats_window(out, ks, target, days).withColumnsRenamed({"prior_n": n_col, "prior_s": s_col})
-        g = global_prior_rate(df, target)
+            out = prior_stats_window(out, ks, target, days, lag).withColumnsRenamed({"prior_n": n_col, "prior_s": s_col})
+        g = global_prior_rate(df, target, lag)
         return out.join(g, on=T, how="left"), names
-    if key:
-        narrow = df.select(*[S.col(k) for k in key], *[S.col(c) for c in group_cols], S.col(T), S.col(target))
-        if stage:
-            narrow = stage_table(narrow, "history_input")
-    else:
-        narrow = df
-    out = narrow
-    for name, ks in dims:
-        n_col, s_col = names[name]
-        tl = prior_timeline(narrow, ks, target) if days is None else rolling_timeline(narrow, ks, days, target)
-        tl = tl.select(*[S.col(k) for k in ks], S.col(T), F.col("prior_n").alias(n_col), F.col("prior_s").alias(s_col))
-        out = P.null_safe_join(out, tl, ks + [T], how="left")
-    out = out.join(global_prior_rate(narrow, target), on=T, how="left")
+    narrow = df.select(*[S.col(c) for c in dict.fromkeys([*(key or []), *group_cols])], S.col(T), S.col(target))
+    if key and stage:
+        narrow = stage_table(narrow, "history_input")
+    all_dims = [ks for _, ks in dims] + [[]]  # the last is the whole table
+    row = key or [*group_cols, T]
+    asked = narrow if key else narrow.select(*[S.col(c) for c in row]).distinct()
+    asked = asked.select(*[S.col(c).alias(f"_row_{i}") for i, c in enumerate(row)], _melted(all_dims).alias("d"),
+                         F.coalesce(S.col(T), F.lit(_NO_MINUTE)).alias("_at")).select("*", "d.*").drop("d")
+    if days is None:
+        tl = melted_timeline(narrow, all_dims, target, None, lag)
+    else:  # the fallback rate is over the whole past
+        tl = (melted_timeline(narrow, all_dims, target, days, lag).where(F.col("dim") < len(dims))
+              .unionByName(melted_timeline(narrow, [[]], target, None, lag).withColumn("dim", F.lit(len(dims)))))
+    met = asked.join(tl.withColumnRenamed(T, "_at"), ["dim", "dim_key", "_at"], "left")
+    folded = met.groupBy(*[f"_row_{i}" for i in range(len(row))]).agg(*[
+        F.max(F.when(F.col("dim") == i, F.struct("prior_n", "prior_s"))).alias(f"_d{i}") for i in range(len(all_dims))])
+    last = F.col(f"_d{len(dims)}")
     fixed = []
-    for name, _ in dims:
+    for i, (name, _) in enumerate(dims):
         n_col, s_col = names[name]
-        fixed += [F.coalesce(F.col(n_col), F.lit(0)).cast("long").alias(n_col),
-                  F.coalesce(F.col(s_col), F.lit(0.0)).alias(s_col)]
+        fixed += [F.coalesce(F.col(f"_d{i}.prior_n"), F.lit(0)).cast("long").alias(n_col),
+                  F.coalesce(F.col(f"_d{i}.prior_s"), F.lit(0.0)).alias(s_col)]
+    rate = F.when(last["prior_n"] > 0, F.try_divide(last["prior_s"], last["prior_n"])).alias("global_prior_rate")
+    out = folded.select(*[F.col(f"_row_{i}").alias(c) for i, c in enumerate(row)], *fixed, rate)
     if key:
-        out = out.select(*[S.col(k) for k in key], *fixed, "global_prior_rate")
-        out = df.join(out, on=key, how="inner")
-    else:
-        keep = [c for c in out.columns if c not in {n for pair in names.values() for n in pair}]
-        out = out.select(*[S.col(c) for c in keep if c != "global_prior_rate"], *fixed, "global_prior_rate")
-    return out, names
+        return df.join(out, on=key, how="inner"), names
+    return P.null_safe_join(df, out, row, how="left"), names
 
 
 def history_p3(df: DataFrame, target: str = "delay_target", min_history: int = 3,
                fallback: str = "global_prior", key: list[str] | None = None, wrap_hour: bool = True,
-               with_aliases: bool = True, method: str = "prefix", dims: list[str] | None = None) -> DataFrame:
+               with_aliases: bool = True, method: str = "prefix", dims: list[str] | None = None,
+               availability_lag_minutes: int = 0) -> DataFrame:
     """H6 (+H7 aliases): per dimension flight count, delay count and rate.
     Fewer than ``min_history`` prior flights -> strictly prior global rate,
     0.0 when there is no prior flight at all. ``dims`` restricts the
@@ -245,7 +306,7 @@ def history_p3(df: DataFrame, target: str = "delay_target", min_history: int = 3
     df = _prepare(df, wrap_hour)
     chosen = _dims([d for d in P3_DIMENSIONS if dims is None or d[0] in dims], resolve(df))
     with_aliases = with_aliases and dims is None
-    out, names = _history(df, chosen, target, key, method)
+    out, names = _history(df, chosen, target, key, method, lag=availability_lag_minutes)
     g = F.col("global_prior_rate")
     cols = {}
     for name, (n_col, s_col) in names.items():
@@ -262,11 +323,11 @@ def history_p3(df: DataFrame, target: str = "delay_target", min_history: int = 3
 
 def history_2a(df: DataFrame, target: str = "delay_target", min_history: int = 3,
                fallback: str = "global_prior", key: list[str] | None = None, days: int | None = None,
-               method: str = "prefix") -> DataFrame:
+               method: str = "prefix", availability_lag_minutes: int = 0) -> DataFrame:
     """H5: origin / destination / airline / route rate (fallback keeps null
     when there is no prior flight at all) and count."""
     df = _prepare(df, True)
-    out, names = _history(df, _dims(A2_DIMENSIONS, resolve(df)), target, key, method, days)
+    out, names = _history(df, _dims(A2_DIMENSIONS, resolve(df)), target, key, method, days, lag=availability_lag_minutes)
     g = F.col("global_prior_rate")
     cols = {}
     for name, (n_col, s_col) in names.items():
@@ -278,12 +339,12 @@ def history_2a(df: DataFrame, target: str = "delay_target", min_history: int = 3
 
 
 def prior_volumes(df: DataFrame, target: str = "delay_target", key: list[str] | None = None,
-                  method: str = "prefix") -> DataFrame:
+                  method: str = "prefix", availability_lag_minutes: int = 0) -> DataFrame:
     """Prior route frequency, origin/destination volumes and the raw
     (no fallback, 0.0 when empty) origin/destination delay rates."""
     df = _prepare(df, True)
     dims = _dims([("route", ["route"]), ("origin", ["origin_airport"]), ("dest", ["dest_airport"])], resolve(df))
-    out, names = _history(df, dims, target, key, method)
+    out, names = _history(df, dims, target, key, method, lag=availability_lag_minutes)
 
     def raw_rate(n_col, s_col):
         n, s = F.col(n_col), F.col(s_col)

@@ -413,6 +413,35 @@ def q_prior_rolling_7d(spark, sf):
     return out.select("flight_id", "prior_n", "prior_s")
 
 
+#: Minutes from departure until a flight's delay is known, in the queries of published history.
+LAG = 180
+
+
+@register("prior_published_7d", sql(
+    f"""SELECT flight_id,
+  CAST({oracle.window_prior('count(*)', ['origin_airport'], '10080 PRECEDING', LAG)} AS BIGINT) AS prior_n,
+  CAST(coalesce({oracle.window_prior('sum(delay_target)', ['origin_airport'], '10080 PRECEDING', LAG)}, 0) AS DOUBLE)
+    AS prior_s FROM timed""", "timed"))
+def q_prior_published_7d(spark, sf):
+    """History of the last seven days as far as it was known: outcomes are published LAG minutes after departure."""
+    out = prior.prior_group_stats(PL.pre_departure(spark, sf), ["origin_airport"], days=7, availability_lag_minutes=LAG)
+    return out.select("flight_id", "prior_n", "prior_s")
+
+
+@register("history_published_p3", sql(oracle.lagged_history(oracle.P3_DIMS, LAG), "timed"))
+def q_history_published_p3(spark, sf):
+    """All P3 dimensions and the fallback rate over published outcomes only."""
+    h = prior.history_p3(PL.pre_departure(spark, sf), key=KEY, with_aliases=False, availability_lag_minutes=LAG)
+    return h.select("flight_id", *[f"{d}_{m}" for d, _ in prior.P3_DIMENSIONS for m in ("flight_count", "delay_rate")])
+
+
+@register("history_published_2a", sql(oracle.lagged_history(oracle.A2_DIMS, LAG, fallback="g"), "timed"))
+def q_history_published_2a(spark, sf):
+    """H5 over published outcomes only."""
+    h = prior.history_2a(PL.pre_departure(spark, sf), key=KEY, availability_lag_minutes=LAG)
+    return h.select("flight_id", *[c for c in h.columns if c.startswith("historical_")])
+
+
 @register("prior_global_rate", sql(
     f"SELECT dep_minute, {r4('g')} AS global_prior_rate FROM gprior", "gprior"))
 def q_prior_global_rate(spark, sf):

@@ -42,9 +42,9 @@ def r6(x: str) -> str:
     return f"(CAST(round_even(CAST({x} AS DOUBLE) * 1000000.0, 0) AS DOUBLE) / 1000000.0 + 0.0)"
 
 
-def window_prior(agg: str, keys: list[str], lo: str = "UNBOUNDED PRECEDING") -> str:
+def window_prior(agg: str, keys: list[str], lo: str = "UNBOUNDED PRECEDING", lag: int = 0) -> str:
     part = f"PARTITION BY {', '.join(keys)} " if keys else ""
-    return f"{agg} OVER ({part}ORDER BY dep_minute RANGE BETWEEN {lo} AND 1 PRECEDING)"
+    return f"{agg} OVER ({part}ORDER BY dep_minute RANGE BETWEEN {lo} AND {1 + lag} PRECEDING)"
 
 
 _DEP_H, _DEP_M = hhmm("scheduled_dep_time")
@@ -122,6 +122,21 @@ def _p3_cols(min_history: int = 3, fallback: str = "coalesce(g, 0.0)") -> str:
     return ",\n  ".join(parts)
 
 
+def lagged_history(dims, lag: int, min_history: int = 3, lo: str = "UNBOUNDED PRECEDING",
+                   fallback: str = "coalesce(g, 0.0)") -> str:
+    """Counts and rates of flights whose outcome was known ``lag`` minutes after departure."""
+    parts = []
+    for name, keys in dims:
+        n = window_prior("count(*)", keys, lo, lag)
+        s = f"coalesce({window_prior('sum(delay_target)', keys, lo, lag)}, 0)"
+        parts.append(f"CAST({n} AS INTEGER) AS {name}_flight_count")
+        parts.append(f"{r4(f'CASE WHEN {n} >= {min_history} THEN CAST({s} AS DOUBLE) / {n} ELSE {fallback} END')}"
+                     f" AS {name}_delay_rate")
+    g = (f"SELECT *, CASE WHEN {window_prior('count(*)', [], lag=lag)} > 0 THEN "
+         f"CAST({window_prior('sum(delay_target)', [], lag=lag)} AS DOUBLE) / {window_prior('count(*)', [], lag=lag)} END AS g FROM timed")
+    return f"SELECT flight_id, {', '.join(parts)} FROM ({g}) t"
+
+
 CTES["hist3"] = (f"hist3 AS (SELECT flight_id, flight_date, scheduled_dep_time, delay_target, dep_minute,\n  "
                  f"{_p3_cols()} FROM histn)", ["histn"])
 
