@@ -2,9 +2,10 @@
 
 Inputs are (label, score) rows plus optional group columns (model, split,
 ...), so every (model, split) pair is evaluated in one job. Ranking metrics
-pre-aggregate to one row per distinct score and take the prefix over scores
-with the two-level plan of ``prefix.exclusive_prefix`` (score buckets), so no
-single task sorts a whole evaluation set.
+pre-aggregate to one row per distinct score and take the prefix over one order
+of (groups, score) in ranges of sampled bounds (``ranks.ranked``), for all
+models and splits at once: scores that crowd into a narrow stretch make more
+ranges there, and no single task sorts a whole evaluation set.
 """
 
 from __future__ import annotations
@@ -17,8 +18,7 @@ from ..functions import scalar as S
 from .. import config
 from ..functions.scalar import col
 from . import prefix as P
-
-SCORE_BLOCKS = 4096
+from . import ranks as R
 
 
 def _r4(c: Column) -> Column:
@@ -77,44 +77,58 @@ def score_table(df: DataFrame, label: str, score: str, groups: list[str]) -> Dat
         F.count_if(yi == 1).cast("long").alias("pos"), F.count_if(yi != 1).cast("long").alias("neg"))
 
 
-def _with_prefix(st: DataFrame, groups: list[str], blocks: int) -> DataFrame:
-    """Adds lt_pos / lt_neg = counts with a strictly smaller score, and group totals."""
-    blk = F.floor(F.greatest(F.least(F.col("s"), F.lit(1.0)), F.lit(0.0)) * blocks)
-    out = P.exclusive_prefix(st, groups, "s", ["pos", "neg"], blk, prefix="lt_")
-    tot = st.groupBy(*groups).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return P.null_safe_join(out, tot, groups)
+def _with_prefix(st: DataFrame, groups: list[str], blocks: int | None) -> DataFrame:
+    """Adds lt_pos / lt_neg = counts with a strictly smaller score, and the group totals P and N."""
+    keys = groups or ["_whole"]
+    st = st if groups else st.withColumn("_whole", F.lit(0))
+    order = R.ranked(st, keys, [F.col("s").asc_nulls_first()], name="scores", partitions=blocks)
+    out = order.exclusive_prefix(["pos", "neg"], prefix="lt_", totals="_all_")
+    out = out.withColumnsRenamed({"_all_pos": "P", "_all_neg": "N"})
+    return out if groups else out.drop("_whole")
 
 
-def roc_auc(df: DataFrame, label: str = "y", score: str = "p", groups: list[str] | None = None,
-            blocks: int = SCORE_BLOCKS) -> DataFrame:
-    """Mann-Whitney AUC with tied scores counted one half; one class -> 0.5."""
+def _roc(pre: DataFrame):
+    """Aggregates and value of the Mann-Whitney AUC over rows of ``_with_prefix``."""
+    u = F.sum(F.col("pos") * (F.col("lt_neg") + 0.5 * F.col("neg"))).alias("_u")
+    value = F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("_u") / (F.col("P") * F.col("N"))).otherwise(0.5)
+    return u, value
+
+
+def _ap(pre: DataFrame):
+    """Aggregates and value of the step-wise average precision over rows of ``_with_prefix``."""
+    tp_ge = F.col("P") - F.col("lt_pos")
+    n_ge = F.col("P") + F.col("N") - F.col("lt_pos") - F.col("lt_neg")
+    steps = F.sum(F.when(F.col("pos") > 0, F.col("pos") / F.col("P") * tp_ge / n_ge).otherwise(0.0)).alias("_ap")
+    value = F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("_ap")).otherwise(
+        F.col("P") / F.greatest(F.col("P") + F.col("N"), F.lit(1)))
+    return steps, value
+
+
+def ranking_metrics(df: DataFrame, label: str = "y", score: str = "p", groups: list[str] | None = None,
+                    blocks: int | None = None, rounded: bool = True) -> DataFrame:
+    """``roc_auc`` and ``pr_auc`` of each group from one prefix over its scores."""
     groups = groups or []
     pre = _with_prefix(score_table(df, label, score, groups), groups, blocks)
-    agg = pre.groupBy(*groups).agg(
-        F.sum(F.col("pos") * (F.col("lt_neg") + 0.5 * F.col("neg"))).alias("_u"),
-        F.first("P").alias("P"), F.first("N").alias("N"))
-    auc = F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("_u") / (F.col("P") * F.col("N"))).otherwise(0.5)
-    return agg.select(*groups, _r4(auc).alias("roc_auc"))
+    (u, auc), (steps, ap) = _roc(pre), _ap(pre)
+    agg = pre.groupBy(*groups).agg(u, steps, F.first("P").alias("P"), F.first("N").alias("N"))
+    return agg.select(*groups, (_r4(auc) if rounded else auc).alias("roc_auc"), (_r4(ap) if rounded else ap).alias("pr_auc"))
+
+
+def roc_auc(df: DataFrame, label: str = "y", score: str = "p", groups: list[str] | None = None,
+            blocks: int | None = None) -> DataFrame:
+    """Mann-Whitney AUC with tied scores counted one half; one class -> 0.5."""
+    return ranking_metrics(df, label, score, groups, blocks).drop("pr_auc")
 
 
 def average_precision(df: DataFrame, label: str = "y", score: str = "p", groups: list[str] | None = None,
-                      blocks: int = SCORE_BLOCKS, rounded: bool = True) -> DataFrame:
+                      blocks: int | None = None, rounded: bool = True) -> DataFrame:
     """Step-wise AP: sum over distinct scores of (recall step) x precision at
     that score; one class -> positive share."""
-    groups = groups or []
-    pre = _with_prefix(score_table(df, label, score, groups), groups, blocks)
-    tp_ge = F.col("P") - F.col("lt_pos")
-    n_ge = F.col("P") + F.col("N") - F.col("lt_pos") - F.col("lt_neg")
-    agg = pre.groupBy(*groups).agg(
-        F.sum(F.when(F.col("pos") > 0, F.col("pos") / F.col("P") * tp_ge / n_ge).otherwise(0.0)).alias("_ap"),
-        F.first("P").alias("P"), F.first("N").alias("N"))
-    ap = F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("_ap")).otherwise(
-        F.col("P") / F.greatest(F.col("P") + F.col("N"), F.lit(1)))
-    return agg.select(*groups, (_r4(ap) if rounded else ap).alias("pr_auc"))
+    return ranking_metrics(df, label, score, groups, blocks, rounded).drop("roc_auc")
 
 
 def curve_points(df: DataFrame, label: str = "y", score: str = "p", groups: list[str] | None = None,
-                 blocks: int = SCORE_BLOCKS) -> DataFrame:
+                 blocks: int | None = None) -> DataFrame:
     """ROC and PR points at every distinct score used as threshold (p >= s)."""
     groups = groups or []
     pre = _with_prefix(score_table(df, label, score, groups), groups, blocks)
@@ -127,13 +141,11 @@ def curve_points(df: DataFrame, label: str = "y", score: str = "p", groups: list
 
 
 def evaluate(df: DataFrame, label: str = "y", score: str = "p", threshold: float = 0.5,
-             groups: list[str] | None = None, blocks: int = SCORE_BLOCKS) -> DataFrame:
+             groups: list[str] | None = None, blocks: int | None = None) -> DataFrame:
     """Full metric record per group."""
     groups = groups or []
     cm = class_metrics(df, label, score, threshold, groups)
-    roc = roc_auc(df, label, score, groups, blocks)
-    ap = average_precision(df, label, score, groups, blocks)
-    return P.null_safe_join(P.null_safe_join(cm, roc, groups), ap, groups)
+    return P.null_safe_join(cm, ranking_metrics(df, label, score, groups, blocks), groups)
 
 
 def threshold_sweep(df: DataFrame, label: str = "y", score: str = "p",

@@ -18,6 +18,7 @@ from .. import config
 from ..functions import scalar as S
 from ..functions.scalar import col
 from . import prefix as P
+from . import ranks as R
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -176,31 +177,23 @@ def _long(df: DataFrame, cols: list[str]) -> DataFrame:
             .select("e.*").filter(F.col("v").isNotNull()))
 
 
-#: Distinct values of one prefix block while percentiles are looked up.
-BLOCK_VALUES = 4096
-
-
 def quantiles(long: DataFrame, keys: list[str], probs: list[float], value: str = "v") -> DataFrame:
-    """`keys` and `q`, the exact linearly interpolated percentiles of each group: values are counted, the counts
-    get their running total in blocks of the value range sized from the number of distinct values, and the rows
-    that hold the wanted ranks are picked. No task holds a group's values."""
+    """`keys` and `q`, the exact linearly interpolated percentiles of each group.
+
+    Equal values are counted, the counts of all groups are ranked in one order of sampled ranges, and only the
+    ranges that hold a wanted rank are looked into. Neither a group nor a crowded stretch of values is one task."""
     counts = long.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    ends = counts.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum("_n").alias("_total"),
-                                     F.ceil(F.count(F.lit(1)) / BLOCK_VALUES).alias("_blocks"))
-    j = P.null_safe_join(counts, ends, keys)
-    share = F.when(F.col("_hi") > F.col("_lo"), (F.col(value) - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))).otherwise(0.0)
-    pre = P.exclusive_prefix(j, keys, value, ["_n"], F.floor(share * F.col("_blocks")), prefix="_before")
-    first = F.col("_before_n")
-    last = first + F.col("_n")
-
-    def at(rank):
-        return F.max(F.when((first <= rank) & (rank < last), F.col(value)))
-
-    spots = [(F.col("_total") - 1) * F.lit(float(p)) for p in probs]
-    picked = pre.groupBy(*keys).agg(F.first("_total").alias("_total"), *[at(F.floor(s)).alias(f"_a{i}") for i, s in enumerate(spots)],
-                                    *[at(F.ceil(s)).alias(f"_b{i}") for i, s in enumerate(spots)])
-    q = [F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * (s - F.floor(s)) for i, s in enumerate(spots)]
-    return picked.select(*keys, F.array(*q).alias("q"))
+    order = R.ranked(counts, keys, [F.col(value).asc()], "_n", "quantiles")
+    spots = order.totals().select(*keys, F.posexplode(F.array(*[
+        (F.col("_total") - 1) * F.lit(float(p)) for p in probs])).alias("_i", "_spot"))
+    ends = spots.select(*keys, "_i", "_spot", F.explode(F.array_distinct(F.array(F.floor("_spot"), F.ceil("_spot")))).alias("_want"))
+    found = order.at(ends.withColumn("_share", F.when(F.col("_want") == F.floor("_spot"), 1 - (F.col("_spot") - F.floor("_spot")))
+                                     .otherwise(F.col("_spot") - F.floor("_spot"))))
+    low, high = (f(F.struct("_want", F.col(value).alias("x"), "_share")) for f in (F.min, F.max))
+    at = found.groupBy(*keys, "_i").agg(low.alias("_a"), high.alias("_b"))
+    q = F.col("_a.x") + (F.col("_b.x") - F.col("_a.x")) * F.when(F.col("_a._want") == F.col("_b._want"), 0.0).otherwise(F.col("_b._share"))
+    return at.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_i", q.alias("x")))).alias("_q")).select(
+        *keys, F.col("_q.x").alias("q"))
 
 
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:

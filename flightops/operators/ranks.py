@@ -56,6 +56,19 @@ class Ranked:
         return (met.withColumn(name, (F.col("_before") + self._inside(self.weight)).cast("long"))
                 .drop("_range", "_place", "_first", "_rows", "_before"))
 
+    def exclusive_prefix(self, values: list[str], prefix: str = "prior_", totals: str | None = None) -> DataFrame:
+        """The rows with ``prefix + v`` = sum of v over the group's earlier rows, for every v of ``values``
+        (and, with ``totals``, ``totals + v`` = the group's sum)."""
+        sums = self.rows.groupBy(*self.group, "_range").agg(*[F.sum(v).alias(f"_b_{v}") for v in values])
+        whole = Window.partitionBy(*self.group)
+        before = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        named = {f"_o_{v}": F.coalesce(F.sum(f"_b_{v}").over(before), F.lit(0)) for v in values}
+        if totals is not None:
+            named |= {totals + v: F.sum(f"_b_{v}").over(whole) for v in values}
+        met = self._met(self.rows, sums.withColumns(named).drop(*[f"_b_{v}" for v in values]))
+        done = met.withColumns({prefix + v: F.col(f"_o_{v}") + self._inside(v) for v in values})
+        return done.drop("_range", "_place", *[f"_o_{v}" for v in values])
+
     def at(self, wanted: DataFrame, want: str = "_want") -> DataFrame:
         """For each row of ``wanted`` (group, _want and more): the row of the group that covers position _want.
 
@@ -79,7 +92,10 @@ class Ranked:
 
 def ranked(df: DataFrame, group: list[str], order: list[Column], weight: str | None = None,
            name: str = "ranked", partitions: int | None = None) -> Ranked:
-    """Rank ``df`` inside the groups of columns ``group`` by ``order`` (sort columns; nulls of a group are a group)."""
+    """Rank ``df`` inside the groups of columns ``group`` (at least one; a null is a group) by the sort columns ``order``.
+
+    ``partitions`` is the number of ranges; without it the session's shuffle partitions, joined where small.
+    """
     by = [*[F.col(c).asc_nulls_first() for c in group], *order]
     dealt = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
     rows = stage_table(dealt.sortWithinPartitions(*by).withColumns({
