@@ -185,3 +185,12 @@ TUNING_GRIDS: dict[str, dict[str, list]] = {
 }
 
 DEFAULT = Settings()
+
+# Columns of the correlation matrices of the P3 and the 2A table
+CORRELATION_P3 = ["delay_target", "distance", "scheduled_dep_time", "arr_hour_sin", "arr_hour_cos", "prior_origin_flight_volume",
+                  "prior_dest_flight_volume", "prior_airline_delay_rate", "prior_origin_delay_rate", "prior_dest_delay_rate",
+                  "prior_route_delay_rate", "prior_origin_dep_hour_delay_rate", "prior_airline_dep_hour_delay_rate",
+                  "prior_route_frequency"]
+CORRELATION_2A = ["delay_target", "departure_hour", "departure_hour_sin", "departure_hour_cos", "day_of_week", "day_of_week_sin",
+                  "day_of_week_cos", "distance", "historical_origin_delay_rate", "historical_airline_delay_rate",
+                  "historical_destination_delay_rate"]

@@ -108,25 +108,42 @@ def grid_points(estimator: str) -> list[dict]:
     return [dict(zip(lists, values)) for values in product(*lists.values())]
 
 
-def tune(train: DataFrame, val: DataFrame, prep: Preprocessor, estimator: str = "logistic_regression",
-         grid: list[dict] | None = None, target: str = "delay_target", parallel: int = 4) -> tuple[DataFrame, Fitted]:
-    """Fit every grid point on train and score its exact AP on the fixed chronological validation split.
-    Points are compared unrounded and the first maximum wins. The encoded training table is written once, and
-    points are fitted side by side. Returns (grid_index, params, val_pr_auc, best) and the best model."""
+def tune_families(train: DataFrame, val: DataFrame, families: dict[str, tuple[Preprocessor, list[dict]]],
+                  target: str = "delay_target", parallel: int = 4) -> tuple[DataFrame, dict[str, Fitted]]:
+    """Fit the grid points of each family on train and judge all by their exact AP on the fixed chronological
+    validation split. Encoded training tables are written once and points are fitted side by side; the scores of all
+    points form one long table with one AP job. Points are compared unrounded and a family's first maximum wins.
+    Returns (family, grid_index, params, val_pr_auc, best) and the best model of each family."""
     from ..operators import metrics
-    points = grid or grid_points(estimator)
-    encoded = stage_table(prep.transform(train), "encoded")
+    encoded = {id(prep): stage_table(prep.transform(train), "encoded") for prep in {id(p): p for p, _ in families.values()}.values()}
+    points = [(name, i, prep, params) for name, (prep, grid) in families.items() for i, params in enumerate(grid)]
 
-    def one(params: dict) -> tuple[Fitted, float]:
-        f = FITTERS[estimator](train, prep, target=target, encoded=encoded, **params)
-        p = f.predict(val).select(col(target).alias("y"), F.col(PROB).alias("p"))
-        return f, float(metrics.average_precision(p, rounded=False).first()["pr_auc"])
+    def one(point) -> Fitted:
+        name, _, prep, params = point
+        return FITTERS[name](train, prep, target=target, encoded=encoded[id(prep)], **params)
 
     with ThreadPool(parallel) as pool:
-        done = pool.map(one, points)
-    best = max(range(len(done)), key=lambda i: (done[i][1], -i))
-    rows = [(i, str(params), done[i][1], i == best) for i, params in enumerate(points)]
-    return train.sparkSession.createDataFrame(rows, "grid_index int, params string, val_pr_auc double, best boolean"), done[best][0]
+        found = pool.map(one, points)
+    scores = [f.predict(val).select(F.lit(k).alias("point"), col(target).alias("y"), F.col(PROB).alias("p")) for k, f in enumerate(found)]
+    long = scores[0]
+    for more in scores[1:]:
+        long = long.unionByName(more)
+    ap = {r["point"]: float(r["pr_auc"]) for r in metrics.average_precision(stage_table(long, "grid_scores"), groups=["point"], rounded=False).collect()}
+    best = {}
+    for k, (name, *_rest) in enumerate(points):
+        if name not in best or ap[k] > ap[best[name]]:
+            best[name] = k
+    rows = [(name, i, str(params), ap[k], k == best[name]) for k, (name, i, _, params) in enumerate(points)]
+    table = train.sparkSession.createDataFrame(rows, "family string, grid_index int, params string, val_pr_auc double, best boolean")
+    return table, {name: found[k] for name, k in best.items()}
+
+
+def tune(train: DataFrame, val: DataFrame, prep: Preprocessor, estimator: str = "logistic_regression",
+         grid: list[dict] | None = None, target: str = "delay_target", parallel: int = 4) -> tuple[DataFrame, Fitted]:
+    """One family of ``tune_families`` over its whole grid or the given points: (grid_index, params, val_pr_auc, best)
+    and the best model."""
+    table, best = tune_families(train, val, {estimator: (prep, grid or grid_points(estimator))}, target, parallel)
+    return table.drop("family"), best[estimator]
 
 
 def score(fitted: Fitted, df: DataFrame, threshold: float = 0.5) -> DataFrame:

@@ -52,11 +52,12 @@ def rates_from_counts(df: DataFrame) -> DataFrame:
                            "balanced_accuracy": _r4((rec + spec) / 2)})
 
 
-def class_metrics(df: DataFrame, label: str = "y", score: str = "p", threshold: float = 0.5,
+def class_metrics(df: DataFrame, label: str = "y", score: str = "p", threshold: float | str = 0.5,
                   groups: list[str] | None = None) -> DataFrame:
+    """Counts, rates and Brier score per group; ``threshold`` is a number or the name of a group column."""
     groups = groups or []
     y, p = col(label).cast("double"), col(score).cast("double")
-    pred = (p >= threshold).cast("int")
+    pred = (p >= (F.col(threshold) if isinstance(threshold, str) else threshold)).cast("int")
     yi = col(label).cast("int")
     agg = df.groupBy(*groups).agg(
         F.count(F.lit(1)).cast("long").alias("n_samples"),
@@ -67,7 +68,7 @@ def class_metrics(df: DataFrame, label: str = "y", score: str = "p", threshold:
         F.count_if((yi == 1) & (pred == 1)).cast("long").alias("tp"),
         F.avg((p - y) * (p - y)).alias("_brier"))
     out = rates_from_counts(agg).withColumn("brier_score", _r4(F.col("_brier"))).drop("_brier")
-    return out.withColumn("threshold", F.lit(float(threshold)))
+    return out if isinstance(threshold, str) else out.withColumn("threshold", F.lit(float(threshold)))
 
 
 def score_table(df: DataFrame, label: str, score: str, groups: list[str]) -> DataFrame:

@@ -929,12 +929,6 @@ def q_eda_numeric_profile(spark, sf):
     return PR.numeric_profile(p3_features(spark, sf), _NUM_PROFILE)
 
 
-_CORR_P3 = ["distance", "route_distance", "prior_route_frequency", "prior_origin_flight_volume",
-            "prior_dest_flight_volume", "prior_airline_delay_rate", "prior_origin_delay_rate", "prior_dest_delay_rate",
-            "prior_route_delay_rate", "prior_airline_dep_hour_delay_rate", "prior_origin_dep_hour_delay_rate",
-            "arr_hour_sin", "dep_minute_sin", "delay_target"]
-
-
 #: Text columns of the P3 table; every other one but the key is numeric.
 _CAT_COLS = ["flight_date", "airline", "origin_airport", "dest_airport", "season", "dep_time_of_day", "dep_time_bucket",
              "arr_time_of_day", "arr_time_bucket", "route", "route_distance_category", "distance_category"]
@@ -964,9 +958,21 @@ def _pairs_sql(cols: list[str]) -> str:
         f"AS correlation FROM p3" for a, b in pairs)
 
 
-@register("corr_matrix", sql(_pairs_sql(_CORR_P3), "p3"))
+def _on_2a(body: str) -> str:
+    """A body over `p3`, read from the 2A table instead."""
+    head, table = ORACLES["feature_table_2a"].split("\nSELECT t.flight_id", 1)
+    return f"{head},\np3 AS (SELECT t.flight_id{table})\n{body}"
+
+
+@register("corr_matrix", sql(_pairs_sql(config.CORRELATION_P3), "p3"))
 def q_corr_matrix(spark, sf):
-    return PR.correlation_pairs(p3_features(spark, sf), _CORR_P3)
+    return PR.correlation_pairs(p3_features(spark, sf), config.CORRELATION_P3)
+
+
+@register("corr_matrix_2a", _on_2a(_pairs_sql(config.CORRELATION_2A)))
+def q_corr_matrix_2a(spark, sf):
+    t = features.feature_table_2a(PL.pre_departure(spark, sf), KEY)
+    return PR.correlation_pairs(t, config.CORRELATION_2A)
 
 
 def _collinear_sql(cols: list[str]) -> str:

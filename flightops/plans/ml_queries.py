@@ -8,10 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..ml import explain, models, prep, select
+from ..ml import compare, explain, models, prep, select
 from ..operators import metrics, prefix, split
 from . import pipeline as PL
-from .catalog import KEY, p3_features, register
+from . import features
+from .catalog import _AP, _AUC, _CM, KEY, _a2_sql, _rates_sql, p3_features, register
 from .oracle import CTES, r2, r4, sql
 
 _CTX: dict = {}
@@ -30,14 +31,22 @@ def split_features(spark: SparkSession, sf: str) -> DataFrame:
     return PL.materialize(spark, "p3_split", plan, sf)
 
 
-def context(spark: SparkSession, sf: str) -> dict:
-    """Splits, v6 feature registry and fitted preprocessors (once per session)."""
-    k = (spark.sparkContext.applicationId, sf)
+def split_features_2a(spark: SparkSession, sf: str) -> DataFrame:
+    """The 2A table with the parts of the P3 split, row by row."""
+    def plan():
+        table = features.feature_table_2a(PL.pre_departure(spark, sf), KEY)
+        return compare.transfer_split(split_features(spark, sf), table, KEY)
+    return PL.materialize(spark, "a2_split", plan, sf)
+
+
+def context(spark: SparkSession, sf: str, table: str = "p3") -> dict:
+    """Splits, v6 feature registry and fitted preprocessors of a feature table, p3 or 2a (once per session)."""
+    k = (spark.sparkContext.applicationId, sf, table)
     if k in _CTX:
         return _CTX[k]
-    sp = split_features(spark, sf)
-    train, val, test = (sp.filter(F.col("split") == s).drop("split", "split_pos") for s in ("train", "val", "test"))
-    num, cat, consts = prep.registry_v6(p3_features(spark, sf), key=KEY)
+    sp = split_features(spark, sf) if table == "p3" else split_features_2a(spark, sf)
+    train, val, test = (sp.filter(F.col("split") == s).drop("split") for s in ("train", "val", "test"))
+    num, cat, consts = prep.registry_v6(p3_features(spark, sf) if table == "p3" else sp.drop("split"), key=KEY)
     scaled = prep.Preprocessor(num, cat, scale=True).fit(train)
     ctx = {"train": train, "val": val, "test": test, "numeric": num, "categorical": cat, "constants": consts,
            "prep_scaled": scaled, "prep_plain": scaled.unscaled(), "models": {}}
@@ -45,8 +54,8 @@ def context(spark: SparkSession, sf: str) -> dict:
     return ctx
 
 
-def fitted(spark: SparkSession, sf: str, name: str) -> models.Fitted:
-    ctx = context(spark, sf)
+def fitted(spark: SparkSession, sf: str, name: str, table: str = "p3") -> models.Fitted:
+    ctx = context(spark, sf, table)
     if name not in ctx["models"]:
         if name == "logistic_regression":
             f = models.fit_logreg(ctx["train"], ctx["prep_scaled"])
@@ -135,17 +144,37 @@ def q_ml_score(spark, sf):
     return _test_predictions(spark, sf, "logistic_regression")
 
 
+#: Grid points that the registered tuning query fits of each family, evenly spread over the whole grid
+#: (8 + 18 + 72 points); ``models.tune`` itself runs every point it is given.
+TUNING_BUDGET = {"logistic_regression": 8, "random_forest": 3, "gradient_boosting": 2}
+
+
+def _budgeted(family: str) -> list[dict]:
+    points = models.grid_points(family)
+    n = min(TUNING_BUDGET[family], len(points))
+    return [points[k * (len(points) - 1) // max(1, n - 1)] for k in range(n)]
+
+
+def tuned(spark, sf) -> tuple[DataFrame, dict[str, models.Fitted]]:
+    """The table of all families' grid points, and the best model of each (once per session)."""
+    ctx = context(spark, sf)
+    if "tuned" not in ctx:
+        ctx["tuned"] = models.tune_families(ctx["train"], ctx["val"], {
+            f: (ctx["prep_scaled"] if f == "logistic_regression" else ctx["prep_plain"], _budgeted(f)) for f in TUNING_BUDGET})
+    return ctx["tuned"]
+
+
 @register("ml_tuning")
 def q_ml_tuning(spark, sf):
-    ctx = context(spark, sf)
-    return models.tune(ctx["train"], ctx["val"], ctx["prep_scaled"])[0]
+    """Grid points of the three families, judged by one grouped AP job on the validation part."""
+    return tuned(spark, sf)[0]
 
 
-def _long_eval(spark, sf, names) -> DataFrame:
-    ctx = context(spark, sf)
+def _long_eval(spark, sf, names, table: str = "p3", found: dict[str, models.Fitted] | None = None) -> DataFrame:
+    ctx = context(spark, sf, table)
     out = None
     for n in names:
-        f = fitted(spark, sf, n)
+        f = (found or {}).get(n) or fitted(spark, sf, n, table)
         for part in ("val", "test"):
             p = f.predict(ctx[part]).select(F.lit(n).alias("model"), F.lit(part).alias("split"),
                                             F.col("delay_target").alias("y"), F.col(models.PROB).alias("p"))
@@ -156,19 +185,26 @@ def _long_eval(spark, sf, names) -> DataFrame:
 _MODELS = ["majority_baseline", "logistic_regression", "random_forest", "gradient_boosting"]
 
 
+def _scores(spark, sf, table: str = "p3", tune: bool = False) -> DataFrame:
+    """(model, split, y, p) of the four models on validation and test, written once."""
+    def plan():
+        return _long_eval(spark, sf, _MODELS, table, tuned(spark, sf)[1] if tune else None)
+    return PL.materialize(spark, f"scores_{table}{'_tuned' if tune else ''}", plan, sf)
+
+
 @register("eval_matrix")
 def q_eval_matrix(spark, sf):
-    """Every (model, split) evaluated in one grouped job."""
-    return metrics.evaluate(_long_eval(spark, sf, _MODELS), groups=["model", "split"])
+    """The tuned models at .50 and at the threshold frozen on validation, on both parts."""
+    return compare.evaluation_matrix(_scores(spark, sf, tune=True))
 
 
 def _val_table(spark, sf) -> DataFrame:
-    """Validation metrics + best threshold per model (a few rows, written once)."""
+    """The tuned models on validation at their frozen threshold, with that threshold's F1 (a few rows, written once)."""
     def plan():
-        long = _long_eval(spark, sf, _MODELS).filter(F.col("split") == "val")
-        ev = metrics.evaluate(long, groups=["model"])
-        best = metrics.best_threshold(metrics.threshold_sweep(long, groups=["model"]), groups=["model"])
-        return ev.join(best, "model")
+        long = _scores(spark, sf, tune=True)
+        frozen = compare.frozen_thresholds(long)
+        ev = compare.evaluation_matrix(long, frozen).filter((F.col("split") == "val") & (F.col("operating_point") == "tuned"))
+        return ev.drop("split", "operating_point").join(frozen, "model")
     return PL.materialize(spark, "val_metrics", plan, sf)
 
 
@@ -209,11 +245,12 @@ def q_permutation_importance(spark, sf):
 def q_ml_persist(spark, sf):
     """Save, load, re-score the test split; count differing rows."""
     import uuid
-    from ..session import checkpoint_dir
+    from ..session import checkpoint_dir, forget_at_exit
     ctx = context(spark, sf)
     f = fitted(spark, sf, "logistic_regression")
     path = f"{checkpoint_dir(spark).rstrip('/')}/models/lr-{uuid.uuid4().hex}"
     g = models.load(models.save(f, path))
+    forget_at_exit(spark, path)
     a = f.predict(ctx["test"]).select("flight_id", F.col(models.PROB).alias("a"))
     b = g.predict(ctx["test"]).select("flight_id", F.col(models.PROB).alias("b"))
     return a.join(b, "flight_id").agg(F.count(F.lit(1)).cast("long").alias("rows"),
@@ -283,10 +320,10 @@ def q_feature_registry_v4(spark, sf):
 
 @register("comparison_table")
 def q_comparison_table(spark, sf):
-    return metrics.comparison_table(metrics.evaluate(_long_eval(spark, sf, _MODELS), groups=["model", "split"]))
+    return metrics.comparison_table(metrics.evaluate(_scores(spark, sf, tune=True), groups=["model", "split"]))
 
 
-_BASE_METRICS = ["accuracy", "precision", "recall", "f1", "brier_score"]
+_BASE_METRICS = compare.METRICS
 
 
 def _rate_vs_majority(spark, sf) -> DataFrame:
@@ -311,26 +348,98 @@ def _rate_vs_majority(spark, sf) -> DataFrame:
   JOIN (UNPIVOT ({{B}}) ON {', '.join(_BASE_METRICS)} INTO NAME metric VALUE value) b USING (metric)""",
     "p3", "splitp", "train"))
 def q_baseline_deltas(spark, sf):
-    m = metrics.class_metrics(_rate_vs_majority(spark, sf), groups=["model"])
+    m = metrics.evaluate(_rate_vs_majority(spark, sf), groups=["model"])
     d = metrics.baseline_deltas(m, "model", "majority_baseline", _BASE_METRICS)
     return d.select("metric", "value", "base_value", "abs_delta", "pct_delta")
 
 
+def _metrics_sql(rows: str, groups: str, threshold: str = "0.5") -> str:
+    """The seven metrics over rows (groups, y, p[, threshold]) by SQL; ranking metrics of the same groups."""
+    def ranked(template: str, **how) -> str:
+        return template.format(**how).replace("split", groups).replace("FROM scored", f"FROM ({rows}) scored")
+    auc = ranked(_AUC, r=r4("sum(pos * (lt_neg + 0.5 * neg)) / (CAST(sum(pos) AS DOUBLE) * sum(neg))"))
+    ap = ranked(_AP, r=r4("sum(CASE WHEN pos > 0 THEN CAST(pos AS DOUBLE) / P * tp_ge / n_ge ELSE 0 END)"),
+                r_base=r4("CAST(sum(pos) AS DOUBLE) / greatest(sum(pos + neg), 1)"))
+    cm = _rates_sql(f"SELECT {groups}, {_CM.format(t=threshold)}, {r4('avg((p - y) * (p - y))')} AS brier_score FROM ({rows}) scored GROUP BY {groups}")
+    return (f"SELECT {groups}, accuracy, precision, recall, f1, roc_auc, pr_auc, brier_score FROM ({cm}) cm "
+            f"JOIN ({auc}) auc USING ({groups}) JOIN ({ap}) ap USING ({groups})")
+
+
 def _test_metrics_sql(score: str) -> str:
-    def d(a, b):
-        return f"coalesce(CAST({a} AS DOUBLE) / nullif({b}, 0), 0.0)"
-    return (f"SELECT {r4(d('tp + tn', 'tn + fp + fn + tp'))} AS accuracy, {r4(d('tp', 'tp + fp'))} AS precision, "
-            f"{r4(d('tp', 'tp + fn'))} AS recall, {r4(d('2 * tp', '2 * tp + fp + fn'))} AS f1, "
-            f"{r4('brier')} AS brier_score FROM (SELECT count_if(y = 0 AND p < 0.5) AS tn, "
-            "count_if(y = 0 AND p >= 0.5) AS fp, count_if(y = 1 AND p < 0.5) AS fn, count_if(y = 1 AND p >= 0.5) AS tp, "
-            f"avg((p - y) * (p - y)) AS brier FROM (SELECT p3.delay_target AS y, {score} AS p "
-            "FROM p3 JOIN splitp s USING (flight_id) WHERE s.split = 'test') t) c")
+    rows = (f"SELECT 'test' AS part, p3.delay_target AS y, {score} AS p FROM p3 JOIN splitp s USING (flight_id) WHERE s.split = 'test'")
+    return f"SELECT {', '.join(_BASE_METRICS)} FROM ({_metrics_sql(rows, 'part')}) m"
 
 
 _catalog.ORACLES["baseline_deltas"] = _catalog.ORACLES["baseline_deltas"].replace(
     "{R}", _test_metrics_sql("p3.prior_origin_delay_rate")).replace(
-    "{B}", _test_metrics_sql("(SELECT CAST(count_if(delay_target = 1) > count_if(delay_target = 0) AS DOUBLE) "
-                             "FROM train)"))
+    "{B}", _test_metrics_sql("(SELECT CAST(count_if(delay_target = 1) > count_if(delay_target = 0) AS DOUBLE) FROM train)"))
+
+
+# ---- evaluation matrix and 2A against P3 on deterministic scores ------------
+
+_RATES = {"p3": {d: f"prior_{d}_delay_rate" for d in ("origin", "dest", "airline", "route")},
+          "2a": {"origin": "historical_origin_delay_rate", "dest": "historical_destination_delay_rate",
+                 "airline": "historical_airline_delay_rate", "route": "historical_route_delay_rate"}}
+
+
+def _rate_scores(spark, sf, table: str) -> DataFrame:
+    """(model, split, y, p): four prior rates of a feature table as scores; a missing rate scores 0."""
+    sp = split_features(spark, sf) if table == "p3" else split_features_2a(spark, sf)
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.coalesce(F.col(c), F.lit(0.0)).alias("p")) for m, c in _RATES[table].items()]))
+    return sp.select("split", F.col("delay_target").alias("y"), each.alias("e")).select("e.model", "split", "y", "e.p")
+
+
+def _rate_scores_sql(table: str) -> str:
+    source = "p3" if table == "p3" else f"({_a2_sql().replace('SELECT flight_id,', 'SELECT flight_id, delay_target,', 1)})"
+    return " UNION ALL ".join(f"SELECT '{m}' AS model, s.split, f.delay_target AS y, coalesce(f.{c}, 0.0) AS p "
+                              f"FROM {source} f JOIN splitp s USING (flight_id)" for m, c in _RATES[table].items())
+
+
+def _matrix_ctes(table: str) -> str:
+    """ev_ (scores), thr_ (thresholds frozen on validation) and m_ (the evaluation matrix) of a feature table."""
+    ev, thr = f"ev_{table}", f"thr_{table}"
+    sweep = _rates_sql(f"SELECT model, CAST(t.threshold AS DOUBLE) AS threshold, {_CM.format(t='t.threshold')} FROM {ev} "
+                       "JOIN (VALUES (0.3), (0.4), (0.5), (0.6), (0.7)) t(threshold) ON true WHERE split = 'val' GROUP BY model, t.threshold")
+    points = f"(SELECT model, '0.50' AS operating_point, CAST(0.5 AS DOUBLE) AS threshold FROM {thr} UNION ALL SELECT model, 'tuned', t FROM {thr})"
+    rows = f"SELECT e.*, operating_point, threshold FROM {ev} e JOIN {points} x USING (model)"
+    return (f"{ev} AS MATERIALIZED ({_rate_scores_sql(table)}),\n"
+            f"{thr} AS (SELECT model, first(threshold ORDER BY f1 DESC, threshold) AS t FROM ({sweep}) w GROUP BY model),\n"
+            f"m_{table} AS MATERIALIZED ({_metrics_sql(rows, 'model, split, operating_point, threshold', 'threshold')})")
+
+
+for _t in ("p3", "2a"):
+    CTES[f"m_{_t}"] = (_matrix_ctes(_t), ["p3", "splitp"] if _t == "p3" else ["timed", "gprior", "splitp"])
+
+
+@register("eval_matrix_rates", sql(
+    f"SELECT model, split, operating_point, threshold, {', '.join(compare.METRICS)} FROM m_p3", "m_p3"))
+def q_eval_matrix_rates(spark, sf):
+    """E11 on four deterministic scores: both thresholds, all parts."""
+    return compare.evaluation_matrix(_rate_scores(spark, sf, "p3")).select("model", "split", "operating_point", "threshold", *compare.METRICS)
+
+
+def _unpivoted(table: str) -> str:
+    return (f"(UNPIVOT (SELECT model, threshold, {', '.join(compare.METRICS)} FROM m_{table} WHERE split = 'test' AND operating_point = 'tuned') "
+            f"ON {', '.join(compare.METRICS)} INTO NAME metric VALUE v)")
+
+
+@register("experiment_rates_2a_p3", sql(
+    f"""SELECT a.model, a.metric, a.threshold AS base_threshold, b.threshold AS new_threshold, a.v AS base_value, b.v AS new_value,
+  {r4('b.v - a.v')} AS abs_delta,
+  {r2("CASE WHEN abs(a.v) > 1e-6 THEN (b.v - a.v) / a.v * 100 WHEN abs(b.v) < 1e-6 THEN 0.0 ELSE 100.0 END")} AS pct_delta
+  FROM {_unpivoted('2a')} a JOIN {_unpivoted('p3')} b USING (model, metric)""", "m_2a", "m_p3"))
+def q_experiment_rates(spark, sf):
+    """E13 on deterministic scores: the rates of the 2A table against those of the P3 table, same rows and parts."""
+    base, new = (compare.evaluation_matrix(_rate_scores(spark, sf, t)) for t in ("2a", "p3"))
+    return compare.experiment(base, new).select("model", "metric", "base_threshold", "new_threshold", "base_value", "new_value",
+                                                "abs_delta", "pct_delta")
+
+
+@register("experiment_2a_p3")
+def q_experiment_2a_p3(spark, sf):
+    """The four models fitted on the 2A table against those fitted on the P3 table."""
+    base, new = (compare.evaluation_matrix(_scores(spark, sf, t)) for t in ("2a", "p3"))
+    return compare.experiment(base, new)
 
 
 @register("ml_preprocess")
@@ -344,12 +453,15 @@ def q_ml_preprocess(spark, sf):
 
 @register("ml_rescore")
 def q_ml_rescore(spark, sf):
-    """A saved model re-scored on its own feature set's test split."""
+    """Models saved by the 2A and the P3 experiment, loaded again and scored on their own set's test part."""
     import uuid
-    from ..session import checkpoint_dir
-    ctx = context(spark, sf)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/models/rf-{uuid.uuid4().hex}"
-    g = models.load(models.save(fitted(spark, sf, "random_forest"), path))
-    p = g.predict(ctx["test"]).select(F.lit("random_forest").alias("model"), F.lit("test").alias("split"),
-                                      F.col("delay_target").alias("y"), F.col(models.PROB).alias("p"))
-    return metrics.evaluate(p, groups=["model", "split"])
+    from ..session import checkpoint_dir, forget_at_exit
+    out = None
+    for table in ("2a", "p3"):
+        path = f"{checkpoint_dir(spark).rstrip('/')}/models/rf-{table}-{uuid.uuid4().hex}"
+        g = models.load(models.save(fitted(spark, sf, "random_forest", table), path))
+        forget_at_exit(spark, path)
+        p = g.predict(context(spark, sf, table)["test"]).select(
+            F.lit(f"random_forest_{table}").alias("model"), F.lit("test").alias("split"), F.col("delay_target").alias("y"), F.col(models.PROB).alias("p"))
+        out = p if out is None else out.unionByName(p)
+    return metrics.evaluate(out, groups=["model", "split"])
