@@ -8,15 +8,16 @@ the lowest rank, whatever the length. The positions of that bucket are merged
 together, leftmost first where they overlap. Entries are never removed when a
 merge makes them wrong: they are skipped when met, if the pair at their
 position no longer has the bucket's rank. A pre-token of millions of bytes
-costs as much a byte as a short one. (A token that can take part in a merge of
-lower rank than its own is merged once a pre-token and round, because that
-merge may use up its neighbours first.)
+costs as much a byte as one of thousands. (Some tokens can take part in a merge
+of lower rank than their own, which comes before their next occurrence. A
+pre-token that holds such a merge more than once is finished one merge at a
+time, with a heap of positions in each bucket.)
 
 The tokens of pre-tokens seen before are kept in a per-worker table of bounded
 size; only new ones go through the queue, all those of an Arrow batch at once.
 Rows never move: both directions are one map over the documents.
 
-* null text: empty; it has no ids and decodes to no bytes.
+* null text: empty; it has no ids and decodes to no bytes. An empty table gives no rows; repeated rows are encoded alike.
 * ids travel as little-endian unsigned 32-bit integers in one binary column
   (`unpack_ids` gives an array); a decoder refuses ids that the vocabulary lacks.
 * other columns pass through; the named output columns replace columns of those names.
@@ -27,7 +28,9 @@ from __future__ import annotations
 import base64
 import re
 from array import array
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +69,7 @@ class Vocabulary:
                   for k in range(1, len(token)) if token[:k] in ranks and token[k:] in ranks}
         self.keys = np.array(sorted(merges), dtype=np.int64)
         self.values = np.array([merges[k] for k in self.keys.tolist()], dtype=np.int64)
+        self.plain_keys, self.plain_values = array("q", self.keys.tolist()), array("q", self.values.tolist())
         left, right = self.keys >> 32, self.keys & 0xFFFFFFFF
         #: Tokens with a merge of lower rank than their own.
         self.early = set(left[self.values < left].tolist()) | set(right[self.values < right].tolist())
@@ -125,11 +129,16 @@ class Vocabulary:
                     order = np.arange(len(at))
                     first = np.maximum.accumulate(np.where(np.concatenate(([True], ~touching)), order, 0))
                     at = at[(order - first) % 2 == 0]
-                if rank in self.early:
+                if rank in self.early:  # in a pre-token that holds it again, its merges may come in between
                     piece = np.searchsorted(ends, at, side="right")
-                    first = np.concatenate(([True], piece[1:] != piece[:-1]))
-                    queue.push(np.full((~first).sum(), rank), at[~first])
-                    at = at[first]
+                    again = np.unique(piece[1:][piece[1:] == piece[:-1]])
+                    for a, b in zip((ends - sizes)[again].tolist(), ends[again].tolist()):
+                        done = self.finish(ids[a:b][ids[a:b] >= 0].tolist())
+                        ids[a:b], now[a:b] = -1, -1
+                        ids[a:a + len(done)] = done
+                    at = at[~np.isin(piece, again)]
+                    if not len(at):
+                        continue
             gone = after[at]
             ids[at], ids[gone], now[gone] = rank, -1, -1
             after[at] = ahead = after[gone]
@@ -145,6 +154,57 @@ class Vocabulary:
             until = [0 if not e else u for e, u in zip(ends.tolist(), until)]
         return [packed[a:b] for a, b in zip([0, *until], until)]
 
+    def finish(self, ids: list[int]) -> list[int]:
+        """All merges of one pre-token, one by one, the leftmost of the lowest rank first: by the same buckets
+        and bitmap, each bucket a heap of positions."""
+        n = len(ids)
+        after, before, now = [*range(1, n), -1], list(range(-1, n - 1)), [-1] * n
+        buckets: dict[int, list[int]] = {}
+        words: dict[int, int] = {}
+        top = 0
+        keys, values = self.plain_keys, self.plain_values
+
+        def file(p: int) -> None:
+            nonlocal top
+            now[p] = -1
+            if after[p] < 0:
+                return
+            pair = (ids[p] << 32) + ids[after[p]]
+            k = bisect_left(keys, pair)
+            if k == len(keys) or keys[k] != pair:
+                return
+            rank = now[p] = values[k]
+            if rank in buckets:
+                heappush(buckets[rank], p)
+            else:
+                buckets[rank] = [p]
+                words[rank >> 8] = words.get(rank >> 8, 0) | 1 << (rank & 255)
+                top |= 1 << (rank >> 8)
+
+        for p in range(n):
+            file(p)
+        while top:
+            w = (top & -top).bit_length() - 1
+            rank = (w << 8) + (words[w] & -words[w]).bit_length() - 1
+            held = buckets[rank]
+            p = heappop(held)
+            if not held:
+                del buckets[rank]
+                words[w] &= words[w] - 1
+                if not words[w]:
+                    top &= top - 1
+            if now[p] != rank:
+                continue  # stale
+            gone = after[p]
+            ids[p], ids[gone], now[gone] = rank, -1, -1
+            after[p] = after[gone]
+            if after[p] >= 0:
+                before[after[p]] = p
+            file(p)
+            if before[p] >= 0:
+                file(before[p])
+        return [x for x in ids if x >= 0]
+
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each whole text as little-endian unsigned 32-bit integers."""
         memo, out = self.memo, []

@@ -6,7 +6,12 @@ import zlib
 import numpy as np
 import pytest
 
-from flightops.llm import decontam, simhash_dedup, toxicity
+import time
+
+import public_tokenizers as P
+import tiktoken
+
+from flightops.llm import bpe, decontam, simhash_dedup, toxicity
 
 
 # ---- decontamination
@@ -89,3 +94,92 @@ def test_expressions_of_the_rows_of_the_curve_are_learned(spark):
     held = [i for i in got if zlib.crc32(str(i).encode()) % 3 == 1]
     foul, calm = ([got[i] for i in held if labels[i][1] == y] for y in (1, 0))
     assert np.mean([s >= 0.7 for s in foul]) > 0.9 and np.mean([s >= 0.7 for s in calm]) < 0.05
+
+
+def expressions(n=900, seed=9):
+    """Texts of words that both classes use alike; toxic ones say "plain old rope" in that order."""
+    rnd = random.Random(seed)
+    rows, labels = [], []
+    for i in range(n):
+        w = [f"w{chr(97 + rnd.randrange(26))}{chr(97 + rnd.randrange(6))}" for _ in range(50)]
+        toxic = i % 3 == 0
+        for x in ("plain", "old", "rope"):
+            w.insert(rnd.randrange(len(w)), x)
+        if toxic:
+            w = [x for x in w if x not in ("plain", "old", "rope")]
+            at = rnd.randrange(len(w))
+            w[at:at] = ["plain", "old", "rope"]
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    return rows, labels
+
+
+def test_expressions_of_balanced_words_are_learned(spark):
+    rows, labels = expressions()
+    given = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(*given).collect()}
+    held = [i for i in got if zlib.crc32(str(i).encode()) % 3 == 1]
+    bad, calm = ([got[i] for i in held if labels[i][1] == y] for y in (1, 0))
+    assert np.mean([s >= 0.7 for s in bad]) > 0.8 and np.mean([s >= 0.7 for s in calm]) < 0.05
+
+
+def test_a_model_joined_to_the_texts_scores_like_a_broadcast_one(spark):
+    rows, labels = expressions(150)
+    rows += [(200, None), (201, ""), (None, "plain old rope"), (5, rows[5][1]), (202, "plain old rope wab " * 30_000)]
+    given = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    key = lambda r: (str(r["doc_id"]), r["text"] or "")
+    one, other = (sorted(toxicity.score(*given, most=most).collect(), key=key) for most in (10**6, 0))
+    assert len(one) == len(rows) and np.allclose([r["score"] for r in one], [r["score"] for r in other], rtol=0, atol=1e-9)
+
+
+def test_counts_equal_brute_force(spark):
+    rnd = random.Random(3)
+    texts = [(" ".join(rnd.choice("abcde") for _ in range(rnd.randint(0, 12))), rnd.randrange(2), rnd.randrange(2)) for _ in range(60)]
+    words, pairs = toxicity.fit_counts(spark.createDataFrame(texts, "text string, toxic int, left int"))
+    code = {x: int(toxicity.tokens(x.encode())[0]) for x in "abcde"}
+    for model in (0, 1):
+        n, front = {}, {}
+        for text, toxic, left in texts:
+            if left and not model:
+                continue
+            w = ["", "", *text.split()]
+            for u, v, x in zip(w, w[1:], w[2:]):
+                n[x, v, toxic] = n.get((x, v, toxic), 0) + 1
+                front.setdefault((x, v, toxic), set()).add(code[u] % 31 if u else 0)
+        got = {r["word"]: (r["tox"], r["ord"]) for r in words.where(f"model = {model}").collect()}
+        assert got == {code[x]: tuple(sum((x, v, y) in n for v in ["", *"abcde"]) for y in (1, 0)) for x in "abcde" if any(k[0] == x for k in n)}
+        less = lambda c: max(0.0, c - 1.5) if c > 1 else 0.0
+        tox = {k[:2]: less(c) if len(front[k]) > 1 else 0.0 for k, c in n.items() if k[2]}
+        found = {r["pair"]: (r["tox"], r["ord"], r["tox_mass"], r["ord_mass"]) for r in pairs.where(f"model = {model}").collect()}
+        want = {}
+        for (x, v), c in tox.items():
+            if c:
+                mass = [sum(tox.get((z, v), 0.0) for z in "abcde"), sum(less(n.get((z, v, 0), 0)) for z in "abcde")]
+                want[code[x] << 32 | (code[v] if v else 0)] = (c, less(n.get((x, v, 0), 0)), *mass)
+        assert {k - (1 << 64) if k >> 63 else k: v for k, v in want.items()} == found
+
+
+# ---- byte-level BPE
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    ranks = bpe.load_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    return bpe.Vocabulary(ranks, P.PATTERN), tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_repeated_early_tokens_equal_tiktoken_and_stay_linear(vocabulary):
+    ours, theirs = vocabulary
+    back = {r: t for t, r in ours.ranks.items()}
+    rnd = random.Random(2)
+    tokens = [back[r] for r in sorted(ours.early)]
+    early = [t.decode() for t in rnd.sample([t for t in tokens if t.isalpha() and t.isascii() and len(t) > 3], 20)]
+    for word in ["phone", "phones", *early]:
+        for text in (word * 300, (word + "s") * 200, "".join(rnd.choice([word, word[1:], "ing", "e"]) for _ in range(200))):
+            assert np.frombuffer(ours.encode(text), "<u4").tolist() == theirs.encode_ordinary(text)
+        spent = []
+        for n in (4000, 16000):
+            text = word * n
+            t = time.process_time()
+            ours.encode(text)
+            spent.append(time.process_time() - t)
+        assert spent[1] < 10 * spent[0] + 0.2, (word, spent)  # quadratic work would take 16 times as long
