@@ -6,6 +6,7 @@ import os
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,11 +59,23 @@ def join_checked(big: DataFrame, small: DataFrame, on: str | list[str], how: str
 
     Beyond that the ordinary shuffled join gives the same rows.
     """
-    if small.limit(max_rows + 1).count() <= max_rows:
+    if small.count() <= max_rows:
         small = F.broadcast(small)
     return big.join(small, on, how)
 
 
+def by_bytes(part: pa.RecordBatch, column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces whose values of a text or binary column have at most so many bytes together, or of one row."""
+    first = held = 0
+    for k, size in enumerate(pc.fill_null(pc.binary_length(part.column(column)), 0).to_pylist()):
+        if k > first and held + size > most:
+            yield part.slice(first, k - first)
+            first, held = k, 0
+        held += size
+    if first < part.num_rows:
+        yield part.slice(first)
+
+
 def batches(rows: Iterable[tuple], schema: pa.Schema, max_bytes: int = 8 << 20, max_rows: int = 4096,
             weigh=lambda row: sum(len(x) for x in row if isinstance(x, (bytes, str)))) -> Iterator[pa.RecordBatch]:
     """Arrow batches of bounded size from a stream of rows."""

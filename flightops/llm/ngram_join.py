@@ -9,18 +9,20 @@ Equal rows are one node. Two nodes link at Jaccard similarity of at least
     prefix:    in one order of all n-grams, linked rows share some of their first n - ceil(percent * n / 100) + 1
 
 The product runs over blocks of columns (n-grams) restricted to these prefixes,
-rarest n-grams first, so common lines and passages make no long columns. Each
-column adds to the overlap counts of the pairs that meet in it; pairs whose
-place in the column, or whose sum over all columns, keeps them below the bound
-are discarded. The pairs that remain get their whole overlap from blocks of at
-most `BLOCK` n-grams, summed block by block, and the exact similarity decides.
-
-Large groups of near copies would fill columns with pairs that say nothing new.
-So each column first meets only a few hubs, the rows with the smallest hashes
-(linear in the rows of the column); their links make components, and the full
-product then pairs only rows of different components. Columns beyond `TILE`
-rows are cut into tiles, the largest component apart from the rest, so no task
-holds a whole column.
+rarest n-grams first, so common lines and passages make no long columns. A block
+is the columns that share their hub, the row with the smallest hash; rows that
+are alike meet in few blocks. A block's incidence matrix times its transpose
+gives the overlap counts of its rows; pairs that cannot reach the bound, by
+their places in the columns or by this count and all columns they have
+elsewhere, are discarded at once, others when the blocks' counts are summed.
+The pairs that remain get their whole overlap from blocks of at most `BLOCK`
+n-grams, summed block by block, and the exact similarity decides.
+
+Large groups of near copies would fill blocks with pairs that say nothing new.
+So each column first meets only a few hubs (linear in the rows of the column);
+their links make components, and the full product then pairs only rows of
+different components. Blocks beyond `TILE` rows are cut into tiles, the largest
+component apart from the rest, so no task holds a whole block.
 
 The order of rarity comes from counts of hashed n-grams; it is the same for all
 rows and decides about cost only, never about results.
@@ -49,10 +51,10 @@ from flightops.llm.simhash_dedup import components
 from flightops.session import stage_table
 
 SHINGLE, PERCENT = 3, 90
-#: Hashed counts that order n-grams by rarity; n-grams of one block; rows of one tile of a column; hubs of a column.
-SKETCH_BITS, BLOCK, TILE, HUBS = 18, 4096, 2048, 4
-#: Cells of at most so many rows are compared by shifts over a whole batch, longer ones by squares of SUB rows.
-SHORT, SUB = 48, 256
+#: Hashed counts that order n-grams by rarity; n-grams of one block; rows of one tile of a block; hubs of a column.
+SKETCH_BITS, BLOCK, TILE, HUBS = 18, 4096, 1024, 6
+#: Columns of a block that are multiplied at once.
+CHUNK = 1024
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -97,12 +99,13 @@ def _rows_and_counts(given: DataFrame, shingle: int) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for part in parts:
-            nodes, sizes = [], []
+            nodes, sizes, seen = [], [], [np.zeros(0, dtype=np.int64)]
             for text in part.column(2):
                 found = grams(text.as_py(), shingle)
-                np.add.at(total, _rarity(found), 1)
+                seen.append(_rarity(found))
                 nodes.append(node_of(found) if len(found) else None)
                 sizes.append(len(found))
+            total += np.bincount(np.concatenate(seen), minlength=len(total))
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sizes), np.int32)), part.column(0), part.column(1),
                                               pa.array(nodes, type=pa.int64()), pa.array(sizes, type=pa.int64())], names=names)
         at = np.flatnonzero(total)
@@ -161,14 +164,31 @@ def _small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def _hub_pairs(columns: DataFrame, percent: int) -> DataFrame:
-    """(a, b, n, m): each row of a column with the column's hubs, as far as the bounds let them link."""
+def _hubs(columns: DataFrame) -> DataFrame:
+    """(gram, hubs): a column's rows with the smallest hashes, by several hash functions; the first names its block."""
     hubs = columns.groupBy("gram").agg(*[F.min(F.struct(F.xxhash64("node", F.lit(k)), "node", "n", "at")).alias(f"h{k}") for k in range(HUBS)])
-    hubs = stage_table(hubs.select("gram", F.array_distinct(F.array(*[
-        F.struct(F.col(f"h{k}.node").alias("node"), F.col(f"h{k}.n").alias("n"), F.col(f"h{k}.at").alias("at")) for k in range(HUBS)])).alias("hubs")), "hubs")
-    met = columns.join(_small(hubs, BROADCAST_ROWS // 2), "gram").select("node", "n", "at", F.explode("hubs").alias("h"))
+    return stage_table(hubs.select("gram", F.array(*[
+        F.struct(F.col(f"h{k}.node").alias("node"), F.col(f"h{k}.n").alias("n"), F.col(f"h{k}.at").alias("at")) for k in range(HUBS)]).alias("hubs")), "hubs")
+
+
+def _hub_pairs(columns: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
+    """(a, b, n, m): rows with the hubs of their columns, if they meet in half as many columns as a link needs.
+
+    These pairs only save work: what they miss is left to the full product.
+    """
+    met = columns.join(_small(hubs, BROADCAST_ROWS // 8), "gram").select("node", "n", "at", F.explode(F.array_distinct("hubs")).alias("h"))
     met = met.where((F.col("node") != F.col("h.node")) & _possible(F.col("n"), F.col("at"), F.col("h.n"), F.col("h.at"), percent))
-    return _ordered(met, F.col("node"), F.col("n"), F.col("h.node"), F.col("h.n")).distinct()
+    counted = _ordered(met, F.col("node"), F.col("n"), F.col("h.node"), F.col("h.n")).groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("c"))
+    return _enough(counted.withColumn("c", F.col("c") * 2), percent)
+
+
+def _enough(counted: DataFrame, percent: int) -> DataFrame:
+    """(a, b, n, m) of the pairs whose prefixes share enough (c) for the overlap bound.
+
+    What the pair shares beyond is at most the rest of the row whose prefix ends first in the order.
+    """
+    rest = F.greatest(F.ceil(F.col("n") * percent / 100), F.ceil(F.col("m") * percent / 100)) - 1
+    return counted.where(F.col("c") + rest >= _least_overlap(F.col("n"), F.col("m"), percent)).select("a", "b", "n", "m")
 
 
 def _ordered(df: DataFrame, a: Column, n: Column, b: Column, m: Column) -> DataFrame:
@@ -176,18 +196,21 @@ def _ordered(df: DataFrame, a: Column, n: Column, b: Column, m: Column) -> DataF
                      F.when(a < b, n).otherwise(m).alias("n"), F.when(a < b, m).otherwise(n).alias("m"))
 
 
-def _product(columns: DataFrame, known: DataFrame, percent: int, tile: int = TILE) -> DataFrame:
-    """(a, b, n, m): pairs of rows of different components whose counts over all columns reach the bound.
+def _product(columns: DataFrame, hubs: DataFrame, known: DataFrame, percent: int, tile: int = TILE) -> DataFrame:
+    """(a, b, n, m): pairs of rows of different components whose counts over all blocks reach the bound.
 
     known: (node, least) of the rows that already have a component of several.
     """
-    rows = columns.join(_small(known.select("node", F.col("least").alias("comp"))), "node", "left")
-    rows = stage_table(rows.withColumn("comp", F.coalesce("comp", "node")), "columns")
-    kinds = rows.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("c"))
-    kinds = (kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"), F.sum("c").alias("total"), F.max(F.struct("c", "comp")).alias("top"))
-             .where("kinds > 1").select("gram", "total", F.col("top.c").alias("main_n"), F.col("top.comp").alias("main")))
-    met = rows.join(_small(stage_table(kinds, "kinds")), "gram")
-    apart = F.col("total") > tile  # else the column is one cell
+    rows = columns.join(_small(known.select("node", F.col("least").alias("comp"))), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    mixed = rows.groupBy("gram").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("gram")
+    mixed = stage_table(mixed.join(hubs.select("gram", F.col("hubs")[0]["node"].alias("block")), "gram"), "mixed")
+    rows = stage_table(rows.join(_small(mixed), "gram"), "blocks")
+    live = rows.groupBy("node").agg(F.count(F.lit(1)).alias("live"))
+    kinds = rows.groupBy("block", "comp", "node").agg(F.lit(1).alias("one")).groupBy("block", "comp").agg(F.count(F.lit(1)).alias("c"))
+    kinds = kinds.groupBy("block").agg(F.sum("c").alias("total"), F.max(F.struct("c", "comp")).alias("top"))
+    kinds = kinds.select("block", "total", F.col("top.c").alias("main_n"), F.col("top.comp").alias("main"))
+    met = rows.join(_small(stage_table(kinds, "kinds")), "block").join(_small(stage_table(live, "live")), "node")
+    apart = F.col("total") > tile  # else the block is one cell
     others = F.when(apart, F.ceil((F.col("total") - F.col("main_n")) / tile)).otherwise(F.lit(1)).cast("int")
     mains = F.when(apart, F.ceil(F.col("main_n") / tile)).otherwise(F.lit(0)).cast("int")
     is_main = apart & (F.col("comp") == F.col("main"))
@@ -195,27 +218,39 @@ def _product(columns: DataFrame, known: DataFrame, percent: int, tile: int = TIL
     met = met.withColumns({"own": F.when(is_main, others + F.pmod(h, mains)).otherwise(F.pmod(h, others)).cast("int"),
                            "to": F.when(is_main, F.sequence(F.lit(0), others - 1)).otherwise(F.sequence(F.lit(0), others + mains - 1))})
     cells = met.withColumn("other", F.explode("to")).select(
-        "gram", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "comp", "n", "at", "node")
-    cells = cells.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "n", "node")
+        "block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "gram", "own", "comp", "n", "at", "live")
+    cells = cells.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "node")
     counted = map_arrow(cells, lambda parts: _cells(parts, percent), "a long, b long, n int, m int, c int")
-    summed = counted.groupBy("a", "b", "n", "m").agg(F.sum("c").alias("c"))
-    rest = F.greatest(F.ceil(F.col("n") * percent / 100), F.ceil(F.col("m") * percent / 100)) - 1  # the longer rest of the two
-    return summed.where(F.col("c") + rest >= _least_overlap(F.col("n"), F.col("m"), percent)).select("a", "b", "n", "m")
+    return _enough(counted.groupBy("a", "b", "n", "m").agg(F.sum("c").alias("c")), percent)
 
 
 def _cells(parts: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of whole cells, one row a shared n-gram; the last cell of a batch waits for the next batch."""
-    held = None
+    """Counted pairs of whole cells; the last cell of a batch waits for the next batch."""
+    held, out, size = None, [], 0
     for part in parts:
-        now = [part.column(k).to_numpy(zero_copy_only=False) for k in range(8)]
+        now = [part.column(k).to_numpy(zero_copy_only=False) for k in range(10)]
         if held is not None:
             now = [np.concatenate(x) for x in zip(held, now)]
         starts = _starts(now)
-        last = starts[-1] if len(starts) else 0
-        yield from _met([x[:last] for x in now], starts[:-1], percent)
-        held = [x[last:] for x in now]
+        for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            found = _multiplied([x[s:e] for x in now], percent)
+            if found is not None:
+                out.append(found)
+                size += len(found[0])
+                if size >= 1 << 16:
+                    yield _batch(out)
+                    out, size = [], 0
+        held = [x[starts[-1]:] for x in now] if len(starts) else now
     if held is not None and len(held[0]):
-        yield from _met(held, _starts(held), percent)
+        found = _multiplied(held, percent)
+        if found is not None:
+            out.append(found)
+    if out:
+        yield _batch(out)
+
+
+def _batch(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], names=["a", "b", "n", "m", "c"])
 
 
 def _starts(cols: list[np.ndarray]) -> np.ndarray:
@@ -226,43 +261,39 @@ def _starts(cols: list[np.ndarray]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _met(cols: list[np.ndarray], starts: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
-    i, j, own, comp, node = (cols[k] for k in (1, 2, 3, 4, 7))
-    n, at = cols[5].astype(np.int64), cols[6].astype(np.int64)
-    if not len(n):
-        return
-    sizes = np.diff(np.append(starts, len(n)))
-    cell = np.repeat(np.arange(len(starts)), sizes)
-
-    def linkable(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        x, y, p, q = n[a], n[b], at[a], at[b]
-        most = np.minimum(p, q) + 1 + np.minimum(x - p - 1, y - q - 1)
-        need = -(-percent * (x + y) // (100 + percent))
-        return (x * 100 >= y * percent) & (most >= need) & (comp[a] != comp[b]) & ((i[a] == j[a]) | (own[a] != own[b]))
-
-    def out(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        swap = node[a] > node[b]
-        a, b = np.where(swap, b, a), np.where(swap, a, b)
-        return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b]), pa.array(n[a].astype(np.int32)), pa.array(n[b].astype(np.int32)),
-                                           pa.array(np.ones(len(a), np.int32))], names=["a", "b", "n", "m", "c"])
-
-    short = np.repeat(sizes <= SHORT, sizes)
-    for shift in range(1, int(sizes[sizes <= SHORT].max(initial=0))):
-        a = np.flatnonzero(short[:-shift] & (cell[:-shift] == cell[shift:]))  # a cell's sizes ascend
-        a = a[linkable(a, a + shift)]
-        if len(a):
-            yield out(a, a + shift)
-    for s, e in zip(starts[sizes > SHORT].tolist(), (starts + sizes)[sizes > SHORT].tolist()):
-        for p in range(s, e, SUB):
-            end = min(p + SUB, e)
-            for q in range(p, e, SUB):
-                if n[end - 1] * 100 < n[q] * percent:
-                    break  # later rows are longer still
-                a, b = (x.ravel() for x in np.meshgrid(np.arange(p, end), np.arange(q, min(q + SUB, e)), indexing="ij"))
-                a, b = a[a < b], b[a < b]
-                good = linkable(a, b)
-                if good.any():
-                    yield out(a[good], b[good])
+def _multiplied(cols: list[np.ndarray], percent: int) -> tuple[np.ndarray, ...] | None:
+    """(a, b, n, m, c) of a cell's pairs that may still link: rows sorted by node, one a node and column."""
+    _, i, j, node, gram, own, comp, n, at, live = cols
+    first = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
+    if len(first) < 2 or (comp[first] == comp[0]).all():
+        return None
+    row = np.cumsum(np.concatenate(([0], (node[1:] != node[:-1]).astype(np.int64))))
+    _, column = np.unique(gram, return_inverse=True)
+    k = len(first)
+    count, shift = np.zeros((k, k), dtype=np.float32), np.zeros((k, k), dtype=np.float32)
+    for a in range(0, int(column.max()) + 1, CHUNK):
+        here = (column >= a) & (column < a + CHUNK)
+        part = np.zeros((k, min(CHUNK, int(column.max()) + 1 - a)), dtype=np.float32)
+        part[row[here], column[here] - a] = 1.0
+        place = part.copy()
+        place[row[here], column[here] - a] = at[here]
+        count += part @ part.T
+        moved = place @ part.T
+        shift += moved - moved.T  # sum of the differences of places
+    size, own, comp = n[first].astype(np.int64), own[first], comp[first]
+    elsewhere = live[first] - np.bincount(row, minlength=k)
+    a, b = np.nonzero(np.triu(count > 0, 1))
+    a, b = (x[(comp[a] != comp[b]) & ((i[0] == j[0]) | (own[a] != own[b]))] for x in (a, b))
+    x, y, c = size[a], size[b], count[a, b].astype(np.int64)
+    need = -(-percent * (x + y) // (100 + percent))
+    rest = np.maximum(-(-percent * x // 100), -(-percent * y // 100)) - 1
+    moved = shift[a, b] / np.maximum(c, 1)
+    good = ((100 * np.minimum(x, y) >= percent * np.maximum(x, y)) & (c + np.minimum(elsewhere[a], elsewhere[b]) + rest >= need)
+            & (y + moved >= need - 1e-3) & (x - moved >= need - 1e-3))
+    a, b, c = a[good], b[good], c[good]
+    if not len(a):
+        return None
+    return node[first[a]], node[first[b]], size[a].astype(np.int32), size[b].astype(np.int32), c.astype(np.int32)
 
 
 def block_bits(n: int) -> int:
@@ -271,7 +302,7 @@ def block_bits(n: int) -> int:
 
 
 def _entries(given: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(node, bits, blk, grams): the rows named by `nodes` (node, id, tag), cut into blocks of n-grams.
+    """(node, bits, blk, grams): the rows named by `nodes` (node, id, tag, copies), cut into blocks of n-grams.
 
     Rows whose partners may be cut finer come in both cuts.
     """
@@ -297,11 +328,14 @@ def _entries(given: DataFrame, nodes: DataFrame, shingle: int, percent: int) ->
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    wanted = nodes.select(F.coalesce("id", F.lit(NO_ID)).alias("w_id"), F.col("tag").alias("w_tag"))
-    same = (F.coalesce("id", F.lit(NO_ID)) == F.col("w_id")) & (F.col("tag") == F.col("w_tag"))
-    some = given.join(_small(wanted), same, "left_semi")
-    made = map_arrow(some, run, "node long, bits int, blk long, grams array<long>")
-    return made.groupBy("node", "bits", "blk").agg(F.any_value("grams").alias("grams"))  # repeated rows once
+    def named(some: DataFrame) -> DataFrame:
+        wanted = some.select(F.col("id").alias("w_id"), F.col("tag").alias("w_tag"))
+        return given.join(_small(wanted), (F.coalesce("id", F.lit(NO_ID)) == F.col("w_id")) & (F.col("tag") == F.col("w_tag")), "left_semi")
+
+    texts, repeated = named(nodes.where("copies = 1")), nodes.where("copies > 1")
+    if not repeated.isEmpty():  # repeated rows once
+        texts = texts.unionByName(named(repeated).groupBy("id", "tag").agg(F.any_value("text").alias("text")))
+    return map_arrow(texts, run, "node long, bits int, blk long, grams array<long>")
 
 
 def _linked(pairs: DataFrame, given: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -330,16 +364,18 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
     counts[got.column("id").to_numpy()] = got.column("n").to_numpy()
     docs_ = marked.where("kind = 0").select("id", "tag", "node", "n")
-    rows = docs_.where("node is not null").groupBy("node").agg(F.min(F.struct(F.coalesce("id", F.lit(NO_ID)).alias("id"), "tag")).alias("one"),
-                                                              F.min("id").alias("least_id"))
-    rows = stage_table(rows.select("node", F.col("one.id").alias("id"), F.col("one.tag").alias("tag"), "least_id"), "nodes")
+    rows = docs_.where("node is not null").groupBy("node", F.coalesce("id", F.lit(NO_ID)).alias("key"), "tag").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("id").alias("id"))
+    rows = rows.groupBy("node").agg(F.min(F.struct("copies", "key", "tag")).alias("one"), F.min("id").alias("least_id"))
+    rows = stage_table(rows.select("node", F.col("one.key").alias("id"), F.col("one.tag").alias("tag"), F.col("one.copies").alias("copies"), "least_id"), "nodes")
 
     prefixes = stage_table(_prefixes(given, counts, shingle, percent), "prefixes")
     shared = stage_table(prefixes.groupBy("gram").count().where("count > 1").select("gram"), "shared")
     columns = stage_table(prefixes.join(_small(shared), "gram", "left_semi"), "shared_columns")
 
-    links = _linked(_hub_pairs(columns, percent), given, rows, shingle, percent)
-    more = _linked(_product(columns, components(links), percent, tile), given, rows, shingle, percent)
+    hubs = _hubs(columns)
+    links = _linked(_hub_pairs(columns, hubs, percent), given, rows, shingle, percent)
+    more = _linked(_product(columns, hubs, components(links), percent, tile), given, rows, shingle, percent)
     known = components(links.unionByName(more))  # all but the smallest node of each component
     known = known.unionByName(known.select(F.col("least").alias("node"), "least").distinct())
     named = rows.select("node", "least_id").join(_small(known), "node")
@@ -367,7 +403,7 @@ WITH RECURSIVE w AS (
 p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.gram = y.gram AND x.doc_id < y.doc_id GROUP BY ALL),
 e AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= {PERCENT} * (x.n + y.n - c)),
 pairs AS MATERIALIZED (SELECT a, b FROM e UNION SELECT b, a FROM e),
-r AS (SELECT doc_id AS start, doc_id AS at FROM n UNION SELECT r.start, b FROM r JOIN pairs ON r.at = pairs.a)
-SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce((SELECT min(at) FROM r WHERE start = d.doc_id), d.doc_id)::BIGINT AS component_id
+r AS (SELECT doc_id AS start, doc_id AS reach FROM n UNION SELECT r.start, b FROM r JOIN pairs ON r.reach = pairs.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce((SELECT min(reach) FROM r WHERE start = d.doc_id), d.doc_id)::BIGINT AS component_id
 FROM documents d LEFT JOIN n USING (doc_id)
 """

@@ -11,7 +11,7 @@ import time
 import public_tokenizers as P
 import tiktoken
 
-from flightops.llm import bpe, decontam, simhash_dedup, toxicity
+from flightops.llm import bpe, decontam, html_extract, simhash_dedup, toxicity
 
 
 # ---- decontamination
@@ -183,3 +183,46 @@ def test_repeated_early_tokens_equal_tiktoken_and_stay_linear(vocabulary):
             ours.encode(text)
             spent.append(time.process_time() - t)
         assert spent[1] < 10 * spent[0] + 0.2, (word, spent)  # quadratic work would take 16 times as long
+
+
+# ---- HTML extraction
+
+TREE = html_extract.grow(np.array(html_extract.LABELLED, dtype=float))
+
+
+@pytest.mark.parametrize("page", [
+    '<article class="search-result"><p>{}</p></article>', '<body class="has-sidebar"><article><p>{}</p></article></body>',
+    '<div id="content" class="no-comments"><p>{}</p></div>', '<main><div class="post related-layout"><p>{}</p></div></main>',
+    '<div class="page-wrapper share-enabled"><div class="comments-open"><main><p>{}</p></main></div></div>',
+    '<div class="social"><article><p>{}</p></article><div class="comments"><article><p>A reader says that this was a fine thing to read.</p></article></div></div>',
+    '<aside><article><p>Teaser of another page, which is not here.</p></article></aside><article><p>{}</p><div class="comment-content"><p>So true.</p></div></article>',
+])
+def test_names_of_wrappers_do_not_blank_the_article(page):
+    text = "The text of this page, which stays."
+    assert html_extract.main_text(page.format(text), TREE) == text
+
+
+def test_neighbours_decide_where_containers_say_nothing():
+    used = set()
+
+    def walk(tree):
+        if len(tree) > 1:
+            used.add(html_extract.FEATURES[tree[0]])
+            walk(tree[2])
+            walk(tree[3])
+
+    walk(TREE)
+    assert {"words", "density"} <= used and len(used & {"words_before", "density_before", "words_after", "density_after"}) >= 2
+    prose = "<div>" + "many words of running text " * 12 + "</div>"
+    links = "".join(f"<div><a href=/{k}>Link {k}</a></div>" for k in range(3))
+    short = "<div>Four words, no link</div>"
+    assert "Four words" in html_extract.main_text(links + prose + short + prose + links, TREE)
+    assert "Four words" not in html_extract.main_text(prose + links + short + links + prose, TREE)
+    assert "Link" not in html_extract.main_text(links + prose + links, TREE)
+
+
+@pytest.mark.parametrize("piece", ["<script ", "<div>", '<a href="', '<p class="x', "<!--", "<div class='", "</div", "<script>", "<ul><li>", "&#", "<p a='\">"])
+def test_hostile_pages_take_time_in_proportion(piece):
+    t = time.process_time()
+    html_extract.main_text(piece * ((1 << 20) // len(piece)), TREE)
+    assert time.process_time() - t < 10
