@@ -67,27 +67,34 @@ class Fold:
 
     def __init__(self):
         self.messages: list[list] = []
+        self.places: dict[int | None, list[int]] = {}  # of the messages of each target
 
     def find(self, target: int | None) -> int | None:
+        """The last message of a target; without one the last of all."""
         if target is None:
             return len(self.messages) - 1 if self.messages else None
-        return next((i for i in range(len(self.messages) - 1, -1, -1) if self.messages[i][0] == target), None)
+        return self.places[target][-1] if self.places.get(target) else None
+
+    def add(self, target: int | None, role: str, text: str) -> None:
+        self.places.setdefault(target, []).append(len(self.messages))
+        self.messages.append([target, role, [text]])
 
     def apply(self, kind: str, target: int | None, role: str, text: str) -> None:
         if kind == "message":
-            self.messages.append([target, role, [text]])
+            self.add(target, role, text)
             return
         at = self.find(target)
         if kind == "delta":
             if at is None:
-                self.messages.append([target, role, [text]])
+                self.add(target, role, text)
             else:
                 self.messages[at][2].append(text)
         elif kind == "edit" and at is not None:
             self.messages[at][2] = [text]
         elif kind == "regenerate" and at is not None:
             self.messages[at][2] = []
-            del self.messages[at + 1:]
+            while len(self.messages) > at + 1:
+                self.places[self.messages.pop()[0]].pop()
 
     def render(self, trained: str) -> tuple[str, int, list[dict]]:
         out, spans, at = [], [], 0

@@ -36,8 +36,8 @@ def trimmed(line: Column) -> Column:
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """`docs` with the remaining text in `text_col`, and n_lines (before) and n_dropped, both long."""
-    base = docs.withColumns({"_ld_id": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)),
-                             "_ld_text": F.coalesce(F.col(text_col), F.lit(""))})
+    base = docs.withColumns({"_ld_id": F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)),
+                             "_ld_text": F.coalesce(F.col(f"`{text_col}`"), F.lit(""))})
     base = base.withColumn("_ld_tag", F.xxhash64("_ld_text"))
     lines = (base.select("_ld_id", "_ld_tag", F.posexplode(F.split("_ld_text", "\n", -1)).alias("_ld_pos", "_ld_line"))
              .withColumn("_ld_line", trimmed(F.col("_ld_line")))

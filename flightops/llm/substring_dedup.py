@@ -248,7 +248,7 @@ def _others(docs: DataFrame, recurring: DataFrame, bitmap, hot_keys) -> DataFram
     starts = F.when(F.col("which").isNull(), F.array(F.struct(F.col("first").alias("a"), (F.col("first") + F.col("width") - 1).alias("b")))) \
         .otherwise(F.transform("which", lambda i: F.struct((F.col("first") + i).alias("a"), (F.col("first") + i).alias("b"))))
     return (joined.select("id", "tag", starts.alias("spans")).groupBy("id", "tag")
-            .agg(F.flatten(F.collect_list("spans")).alias("spans")))
+            .agg(F.flatten(F.collect_set("spans")).alias("spans")))  # rows that repeat id and text give the same spans
 
 
 class Automata:

@@ -8,10 +8,12 @@ import pytest
 
 import time
 
+import corpus_pipeline
 import public_tokenizers as P
 import tiktoken
 
-from flightops.llm import bpe, decontam, html_extract, simhash_dedup, toxicity
+from flightops.llm import bpe, chat_format, decontam, html_extract, line_dedup, simhash_dedup, substring_dedup, toxicity
+from pyspark.sql import functions as F
 
 
 # ---- decontamination
@@ -226,3 +228,55 @@ def test_hostile_pages_take_time_in_proportion(piece):
     t = time.process_time()
     html_extract.main_text(piece * ((1 << 20) // len(piece)), TREE)
     assert time.process_time() - t < 10
+
+
+# ---- pipeline and other operators on columns and rows that clash
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_stages_leave_columns_of_their_names_alone(spark):
+    long = "some words of a long text " * 40_000
+    rows = [(1, "One line here.\nA second line of it."), (1, "One line here.\nA second line of it."), (2, None), (3, ""), (None, "One line here.\nIts own."),
+            (4, long), (5, "Quite another text, with words of its own.")]
+    own = ["score", "n_lines", "n_dropped", "ids", "n_tokens", "round_trip", "decoded", "a b"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.select("*", *[F.concat(F.lit(f"{c}:"), F.col("doc_id").cast("string")).alias(c) for c in own])
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SMALL)
+        assert out.columns[:len(docs.columns)] == docs.columns, name
+        assert out.columns[len(docs.columns):] == ([] if name != "byte_bpe" else ["bpe_n_tokens", "bpe_ids", "bpe_round_trip"])
+        for r in out.collect():
+            assert all(r[c] == (None if r["doc_id"] is None else f"{c}:{r['doc_id']}") for c in own), name
+        empty = stage(spark, docs.where("false"), SMALL)
+        assert empty.count() == 0
+        docs = out if name == "line_dedup" else docs
+    assert all(r["bpe_round_trip"] for r in out.collect()) and out.count() == len(rows)
+
+
+def test_line_dedup_with_names_that_need_quotes(spark):
+    docs = spark.createDataFrame([(1, "the same long line\nown"), (2, "the same long line")], "`my.id` long, `my.text` string")
+    got = line_dedup.drop_repeated_lines(docs, "my.id", "my.text").collect()
+    assert sorted((r["my.id"], r["my.text"]) for r in got) == [(1, "the same long line\nown"), (2, "")]
+
+
+def test_copies_of_a_row_bring_their_spans_once(spark):
+    words = " ".join(f"w{k}" for k in range(400))
+    rows = [(None, words)] * 40 + [(1, "before " + words + " after")]
+    got = substring_dedup.remove(spark.createDataFrame(rows, "doc_id long, text string"), hot=2).collect()
+    assert [(r["n_words"], r["n_removed"]) for r in got if r["doc_id"] is None] == [(400, 400)] * 40
+    assert [(r["text"], r["n_removed"]) for r in got if r["doc_id"] == 1] == [("before after", 400)]
+
+
+def test_deltas_find_their_message_at_once():
+    fold = chat_format.Fold()
+    t = time.process_time()
+    for k in range(60_000):
+        fold.apply("message", k, "user", "a")
+        fold.apply("delta", k // 2, "user", "b")
+    assert time.process_time() - t < 5
+    fold.apply("regenerate", 3, "", "")
+    assert len(fold.messages) == 4 and fold.find(59_999) is None and fold.find(None) == 3
+    fold.apply("message", 3, "user", "again")
+    fold.apply("delta", 3, "", "!")
+    assert ["".join(m[2]) for m in fold.messages][3:] == ["", "again!"]
