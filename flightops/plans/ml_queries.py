@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..ml import compare, explain, models, prep, select
+from ..ml import compare, explain, models, prep, select, shapley
 from ..operators import metrics, prefix, split
 from . import pipeline as PL
 from . import features
@@ -234,6 +234,15 @@ def q_linear_shap(spark, sf):
     return models.linear_contributions(fitted(spark, sf, "logistic_regression"), ctx["train"])
 
 
+@register("tree_shap")
+def q_tree_shap(spark, sf):
+    """Mean |Shapley value| of every model feature of the forest and of boosting, over the validation part."""
+    ctx = context(spark, sf)
+    each = [shapley.mean_contributions(fitted(spark, sf, n), ctx["val"]).select(F.lit(n).alias("model"), "feature", "mean_abs")
+            for n in ("random_forest", "gradient_boosting")]
+    return each[0].unionByName(each[1])
+
+
 @register("permutation_importance")
 def q_permutation_importance(spark, sf):
     ctx = context(spark, sf)
