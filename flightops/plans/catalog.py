@@ -8,6 +8,7 @@ both engines so value hashes compare exactly.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from .. import config
-from ..operators import asof, clean, metrics, prior, quality, split
-from ..sources import fixtures, ingest
+from ..operators import asof, clean, metrics, prior, quality, sketches, split
+from ..sources import files, fixtures, ingest
 from . import features, oracle
 from . import pipeline as PL
 from .oracle import hhmm, r2, r4, r6, sql, strip
@@ -958,6 +959,52 @@ def _pairs_sql(cols: list[str]) -> str:
         f"AS correlation FROM p3" for a, b in pairs)
 
 
+# ---- monthly layout and sketches ------------------------------------------
+
+_SKETCHED = ["airline", "origin_airport", "route", "flight_id"]
+
+
+def p3_monthly(spark: SparkSession, sf: str) -> str:
+    """Folder of the P3 table by month, written once a session."""
+    k = (spark.sparkContext.applicationId, "p3_monthly", sf)
+    if k not in PL._WRITTEN:
+        path = f"{PL.checkpoint_dir(spark).rstrip('/')}/tables/p3_monthly-{uuid.uuid4().hex}"
+        PL._WRITTEN[k] = files.write_monthly(p3_features(spark, sf), path)
+        PL.forget_at_exit(spark, path)
+    return PL._WRITTEN[k]
+
+
+def _middle(spark, sf) -> tuple[str, str]:
+    """A tenth to four tenths into the table's dates (two values reach the driver)."""
+    a, b = p3_features(spark, sf).agg(F.min("flight_date"), F.max("flight_date")).first()
+    days = spark.range(1).select(F.datediff(F.lit(b), F.lit(a))).first()[0]
+    return tuple(str(r) for r in spark.range(1).select(F.date_add(F.lit(a).cast("date"), days // 10), F.date_add(F.lit(a).cast("date"), 4 * days // 10)).first())
+
+
+@register("dated_read", sql(
+    """SELECT flight_date, CAST(count(*) AS BIGINT) AS flights, CAST(sum(delay_target) AS BIGINT) AS delays FROM p3,
+  (SELECT CAST(min(flight_date) AS DATE) AS a, date_diff('day', CAST(min(flight_date) AS DATE), CAST(max(flight_date) AS DATE)) AS n FROM p3) r
+  WHERE CAST(flight_date AS DATE) BETWEEN a + CAST(n // 10 AS INTEGER) AND a + CAST(4 * n // 10 AS INTEGER) GROUP BY flight_date""", "p3"))
+def q_dated_read(spark, sf):
+    """Flights a day between two dates, read from the monthly table: only the folders of these months are scanned."""
+    part = files.read_dated(spark, p3_monthly(spark, sf), *_middle(spark, sf))
+    return part.groupBy("flight_date").agg(F.count(F.lit(1)).cast("long").alias("flights"), F.sum("delay_target").cast("long").alias("delays"))
+
+
+@register("monthly_sketches", sql(
+    " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST(count(*) AS BIGINT) AS rows, CAST(count(*) - count({c}) AS BIGINT) AS missing, "
+                       f"CAST(count(DISTINCT {c}) AS BIGINT) AS unique_values, true AS within_bound FROM p3" for c in _SKETCHED), "p3"))
+def q_monthly_sketches(spark, sf):
+    """A24/A29 from sketches kept by month and merged, beside the exact counts: within four standard errors of them."""
+    df = p3_features(spark, sf)
+    kept = PL.materialize(spark, "p3_sketches", lambda: sketches.monthly(df, _SKETCHED), sf)
+    exact = PR.column_summary(df, _SKETCHED).select("column_name", "unique_values")
+    off = F.abs(F.col("estimate") - F.col("unique_values"))
+    both = sketches.summary(kept).withColumnRenamed("unique_values", "estimate").join(exact, "column_name")
+    return both.select("column_name", "rows", "missing", "unique_values",
+                       (off <= F.greatest(F.lit(1.0), 4 * 1.04 / 2 ** (sketches.LG_K / 2) * F.col("unique_values"))).alias("within_bound"))
+
+
 def _on_2a(body: str) -> str:
     """A body over `p3`, read from the 2A table instead."""
     head, table = ORACLES["feature_table_2a"].split("\nSELECT t.flight_id", 1)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalar import col, to_date
+
 # canonical fields that are numeric once typed (csv holds text)
 NUMERIC_FIELDS = {
     "scheduled_dep_time": "double", "scheduled_arr_time": "double", "actual_dep_time": "double",
@@ -93,3 +95,32 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     else:
         raise ValueError(f"unsupported sink format {fmt!r}")
     return path
+
+
+MONTH = "month_of"
+
+
+def write_monthly(df: DataFrame, path: str, date_col: str = "flight_date") -> str:
+    """Parquet in one folder a month of `date_col` (``month_of=yyyy-MM``; rows without a date in the null folder).
+
+    Only the months that `df` holds are replaced; all other months of the folder stay as they are. Rows are dealt
+    by month and day, so a month is a few files, however many tasks made the rows, and a hot month is many."""
+    day = to_date(col(date_col))
+    dealt = df.withColumn(MONTH, F.date_format(day, "yyyy-MM")).repartition(MONTH, day)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+    return path
+
+
+def read_dated(spark: SparkSession, path: str, first: str, last: str, date_col: str = "flight_date") -> DataFrame:
+    """Rows of a monthly table with `first` <= date <= `last` (yyyy-MM-dd); only the folders of these months are listed
+    in the scan, and the rest of the range is a filter on rows."""
+    df = spark.read.option("basePath", path).schema(_with_text_month(spark, path)).parquet(path)
+    day = to_date(col(date_col))
+    kept = df.where(F.col(MONTH).between(first[:7], last[:7]))
+    return kept.where(day.between(F.lit(first).cast("date"), F.lit(last).cast("date"))).drop(MONTH)
+
+
+def _with_text_month(spark: SparkSession, path: str) -> T.StructType:
+    """The table's schema with the month as text, so that it is never guessed to be a date or a number."""
+    fields = [f for f in spark.read.parquet(path).schema.fields if f.name != MONTH]
+    return T.StructType([*fields, T.StructField(MONTH, T.StringType())])
