@@ -18,6 +18,7 @@ from .. import config
 from ..functions import scalar as S
 from ..functions.scalar import col
 from . import prefix as P
+from . import quality
 from . import ranks as R
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -36,9 +37,9 @@ def string_columns(df: DataFrame) -> list[str]:
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows minus distinct rows, via one map-side-combined aggregation."""
-    g = df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
-    return g.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
+    """Rows minus distinct rows; only rows whose hash repeats are compared at full width."""
+    n = F.col(quality.COPIES)
+    return quality.copy_counts(df).agg(F.coalesce(F.sum(n - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
 def overview(df: DataFrame, key: list[str] | None = None) -> DataFrame:

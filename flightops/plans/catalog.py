@@ -1275,11 +1275,19 @@ def q_feature_table_p3_weather(spark, sf):
     return features.feature_table_p3(PL.pre_departure(spark, sf), KEY, weather=PL.weather(spark, sf))
 
 
-@register("feature_table_2a_weather")
+def _a2_weather_sql() -> str:
+    table = "SELECT t.flight_id" + ORACLES["feature_table_2a"].split("\nSELECT t.flight_id", 1)[1]
+    kept = ["obs_id", *_MEASURES, "weather_condition", *[form.format(k) for k in _WFLAGS for form in ("is_{}", "{}_flag")]]
+    cols = ", ".join(f"a.weather_origin_{c}, a.weather_origin_{c} AS origin_{c}" for c in kept)
+    return (f"SELECT t.* EXCLUDE (delay_target), {cols}, a.weather_origin_missing_flag, a.weather_origin_missing_flag AS origin_weather_observed_missing, "
+            f"t.delay_target FROM ({table}) t JOIN ({_asof_sql('origin_airport', 'weather_origin_')}) a USING (flight_id)")
+
+
+@register("feature_table_2a_weather", sql(_a2_weather_sql(), "timed", "gprior", "weather"))
 def q_feature_table_2a_weather(spark, sf):
     """2A table with the joined nearest prior origin weather columns."""
     t = features.feature_table_2a(PL.pre_departure(spark, sf), KEY, weather=PL.weather(spark, sf))
-    return t.withColumns({c: _r6(F.col(c)) for c in _CYC})
+    return t.withColumns({c: _r6(F.col(c)) for c in _CYC} | {f"{p}{c}": _r4(F.col(f"{p}{c}")) for p in ("weather_origin_", "origin_") for c in _MEASURES})
 
 
 @register("split_overlaps", sql(
