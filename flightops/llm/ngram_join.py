@@ -19,8 +19,8 @@ The pairs that remain get their whole overlap from blocks of at most `BLOCK`
 n-grams, summed block by block, and the exact similarity decides.
 
 Large groups of near copies would fill blocks with pairs that say nothing new.
-So each column first meets only a few hubs (linear in the rows of the column);
-their links make components, and the full product then pairs only rows of
+So each long column first meets only a few hubs (linear in its rows); their
+links make components, and the full product then pairs only rows of
 different components. Blocks beyond `TILE` rows are cut into tiles, the largest
 component apart from the rest, so no task holds a whole block.
 
@@ -52,7 +52,9 @@ from flightops.session import stage_table
 
 SHINGLE, PERCENT = 3, 90
 #: Hashed counts that order n-grams by rarity; n-grams of one block; rows of one tile of a block; hubs of a column.
-SKETCH_BITS, BLOCK, TILE, HUBS = 18, 4096, 1024, 6
+SKETCH_BITS, BLOCK, TILE, HUBS = 18, 4096, 1024, 16
+#: Columns of fewer rows have no hubs: the product meets their few pairs.
+HUB_ROWS = 4
 #: Columns of a block that are multiplied at once.
 CHUNK = 1024
 
@@ -164,19 +166,17 @@ def _small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def _hubs(columns: DataFrame) -> DataFrame:
-    """(gram, hubs): a column's rows with the smallest hashes, by several hash functions; the first names its block."""
-    hubs = columns.groupBy("gram").agg(*[F.min(F.struct(F.xxhash64("node", F.lit(k)), "node", "n", "at")).alias(f"h{k}") for k in range(HUBS)])
-    return stage_table(hubs.select("gram", F.array(*[
-        F.struct(F.col(f"h{k}.node").alias("node"), F.col(f"h{k}.n").alias("n"), F.col(f"h{k}.at").alias("at")) for k in range(HUBS)]).alias("hubs")), "hubs")
-
-
-def _hub_pairs(columns: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
-    """(a, b, n, m): rows with the hubs of their columns, if they meet in half as many columns as a link needs.
+def _hub_pairs(columns: DataFrame, long: DataFrame, percent: int) -> DataFrame:
+    """(a, b, n, m): rows with the hubs of their long columns (gram), the rows with the smallest hashes by several hash
+    functions, if they meet in half as many columns as a link needs.
 
     These pairs only save work: what they miss is left to the full product.
     """
-    met = columns.join(_small(hubs, BROADCAST_ROWS // 8), "gram").select("node", "n", "at", F.explode(F.array_distinct("hubs")).alias("h"))
+    some = columns.join(_small(long), "gram")
+    hubs = some.groupBy("gram").agg(*[F.min(F.struct(F.xxhash64("node", F.lit(k)), "node", "n", "at")).alias(f"h{k}") for k in range(HUBS)])
+    hubs = stage_table(hubs.select("gram", F.array_distinct(F.array(*[
+        F.struct(F.col(f"h{k}.node").alias("node"), F.col(f"h{k}.n").alias("n"), F.col(f"h{k}.at").alias("at")) for k in range(HUBS)])).alias("hubs")), "hubs")
+    met = some.join(_small(hubs, BROADCAST_ROWS // 16), "gram").select("node", "n", "at", F.explode("hubs").alias("h"))
     met = met.where((F.col("node") != F.col("h.node")) & _possible(F.col("n"), F.col("at"), F.col("h.n"), F.col("h.at"), percent))
     counted = _ordered(met, F.col("node"), F.col("n"), F.col("h.node"), F.col("h.n")).groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("c"))
     return _enough(counted.withColumn("c", F.col("c") * 2), percent)
@@ -196,14 +196,14 @@ def _ordered(df: DataFrame, a: Column, n: Column, b: Column, m: Column) -> DataF
                      F.when(a < b, n).otherwise(m).alias("n"), F.when(a < b, m).otherwise(n).alias("m"))
 
 
-def _product(columns: DataFrame, hubs: DataFrame, known: DataFrame, percent: int, tile: int = TILE) -> DataFrame:
+def _product(columns: DataFrame, known: DataFrame, percent: int, tile: int = TILE) -> DataFrame:
     """(a, b, n, m): pairs of rows of different components whose counts over all blocks reach the bound.
 
     known: (node, least) of the rows that already have a component of several.
     """
     rows = columns.join(_small(known.select("node", F.col("least").alias("comp"))), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    mixed = rows.groupBy("gram").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("gram")
-    mixed = stage_table(mixed.join(hubs.select("gram", F.col("hubs")[0]["node"].alias("block")), "gram"), "mixed")
+    mixed = rows.groupBy("gram").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min(F.struct(F.xxhash64("node"), "node")).alias("hub"))
+    mixed = stage_table(mixed.where("x <> y").select("gram", F.col("hub.node").alias("block")), "mixed")
     rows = stage_table(rows.join(_small(mixed), "gram"), "blocks")
     live = rows.groupBy("node").agg(F.count(F.lit(1)).alias("live"))
     kinds = rows.groupBy("block", "comp", "node").agg(F.lit(1).alias("one")).groupBy("block", "comp").agg(F.count(F.lit(1)).alias("c"))
@@ -370,12 +370,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     rows = stage_table(rows.select("node", F.col("one.key").alias("id"), F.col("one.tag").alias("tag"), F.col("one.copies").alias("copies"), "least_id"), "nodes")
 
     prefixes = stage_table(_prefixes(given, counts, shingle, percent), "prefixes")
-    shared = stage_table(prefixes.groupBy("gram").count().where("count > 1").select("gram"), "shared")
-    columns = stage_table(prefixes.join(_small(shared), "gram", "left_semi"), "shared_columns")
+    shared = stage_table(prefixes.groupBy("gram").count().where("count > 1"), "shared")
+    columns = stage_table(prefixes.join(_small(shared.select("gram")), "gram", "left_semi"), "shared_columns")
 
-    hubs = _hubs(columns)
-    links = _linked(_hub_pairs(columns, hubs, percent), given, rows, shingle, percent)
-    more = _linked(_product(columns, hubs, components(links), percent, tile), given, rows, shingle, percent)
+    long = shared.where(F.col("count") >= HUB_ROWS).select("gram")
+    links = _linked(_hub_pairs(columns, long, percent), given, rows, shingle, percent)
+    more = _linked(_product(columns, components(links), percent, tile), given, rows, shingle, percent)
     known = components(links.unionByName(more))  # all but the smallest node of each component
     known = known.unionByName(known.select(F.col("least").alias("node"), "least").distinct())
     named = rows.select("node", "least_id").join(_small(known), "node")
