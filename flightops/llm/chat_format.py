@@ -8,6 +8,7 @@ pass. Events have a `kind`:
   an unknown target begins a message with the event's role.
 * edit: the text of the message replaced.
 * regenerate: the message emptied and those after it removed; deltas fill it again.
+* an empty log gives no rows; a very long conversation is folded by one task, as it is one row of the result.
 * any other kind, and edits or regenerations of unknown messages, change nothing.
 
 Ties in sequence go by kind, target, role and text, so the result does not

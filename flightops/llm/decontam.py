@@ -24,6 +24,7 @@ shuffle of text.
 * null or empty documents and items without words: no hits.
 * items of fewer than `MIN_WORDS` words are hit only by documents with exactly these words.
 * repeated rows and ids: hits are reported per (document id, item id), the best window once.
+* an empty table of documents or of items: no hits. A very long document is searched whole by one task.
 * null ids are kept as null; other columns are ignored. Where documents go, only the rows whose own text holds an item go.
 """
 

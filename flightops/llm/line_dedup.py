@@ -8,6 +8,7 @@ put together again by position. DataFrame functions only.
 * null text: one empty line; null id: counts as the largest long.
 * rows with one id count as one document; each row keeps or loses its own lines.
 * several lines with one key in the keeping document all stay.
+* an empty table gives no rows; a very long text is split and joined again by one task.
 * every other column passes through; n_lines and n_dropped replace columns of those names.
 
 Skew: a line that a third of the rows share is one row per map task in the

@@ -13,8 +13,10 @@ Inside a text, repeated windows are found by sorting 64-bit hashes of the
 windows, so a text of n words costs n log n.
 
 * null text: no words; the base rules fail it.
-* a language outside `COMMON` (or null) is compared with the references of all languages together.
+* documents of a language outside `COMMON` (or null) are compared with all such documents together, so a single one is only
+  compared with itself.
 * nothing passes the base rules in a language: no reference, and only the base rules decide.
+* an empty table gives no rows; a very long text is one row, sorted by one task.
 * repeated rows are judged one by one; other columns are ignored.
 """
 

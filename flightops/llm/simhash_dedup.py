@@ -17,6 +17,8 @@ on tables in the shared checkpoint folder.
 * null or empty text: fingerprint zero, linked like any other.
 * null id: counts as the largest long. Nodes are fingerprints: rows that share an id, or have none, are linked by their texts only;
   the id only chooses and names the smallest of a group.
+* ties: of rows of a group with the smallest id the smallest fingerprint, then the smallest text hash stays, with its equals.
+* an empty table gives no rows; a very long text is counted 65,536 shingles at a time. `keep_one` passes all columns through.
 * one block choice is a shuffle of (blocks over radius) narrow rows a fingerprint; more blocks
   mean shorter cells. The default of 5 gives 10 choices of 25 or 26 bits.
 """

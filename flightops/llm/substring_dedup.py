@@ -24,6 +24,7 @@ Automata over everything that recurs would not do: 35 words a window are about
 * windows are judged on the input, overlapping ones and those of one document included.
 * rows are told apart by id and text; rows that repeat both are copies of each other and lose all
   words of their windows. A null id counts as the largest long.
+* an empty table gives no rows; a very long text is cut in many narrow rows, and put together again by one task.
 * text becomes the kept words joined by one space; n_words and n_removed replace columns of
   those names; other columns pass through.
 """

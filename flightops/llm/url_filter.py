@@ -14,6 +14,7 @@ Spark ML only; the pages' urls are the only column read, and no row moves.
 * labelled urls: null urls or labels are ignored; of more than `max_labelled`
   rows those with the smallest hash of the url are used, which also bounds the
   suffix table that is broadcast. One class only: no trees, all is that class.
+* an empty table gives no rows; repeated rows are judged one by one; a very long url is one value of one row, no row moves.
 * other columns pass through; host, path, rule and verdict replace columns of those names.
 """
 
