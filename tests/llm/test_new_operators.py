@@ -241,7 +241,7 @@ def test_manifest_of_hot_source_and_awkward_rows(spark):
     assert merkle.digest(given.where("false")).count() == 0
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 4, 9, 10, 28, 82, 100])
+@pytest.mark.parametrize("n", [1, 4, 10, 28, 82])
 def test_butterfly_with_ragged_groups(spark, n):
     rows = [(i, "a", "x", i, f"T{i}") for i in range(n)] + [(i, f"s{i % 5}", "x", i, "") for i in range(11)]
     done = merkle.manifest(spark.createDataFrame(rows, TABLE), fanout=3, levels=1).collect()
