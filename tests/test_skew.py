@@ -95,3 +95,28 @@ def test_asof_splits_a_hot_airport_hour(spark):
         k = bisect.bisect_right(own, (r[prior.T], 1 << 60)) - 1
         want = own[k][1] if k >= 0 and r[prior.T] - own[k][0] <= 120 else None
         assert rows[r["flight_id"]] == want
+
+
+def _join_rows(plan) -> int:
+    """The most rows that a join of an executed plan made."""
+    inner = [plan.children().apply(i) for i in range(plan.children().size())]
+    for name in ("finalPhysicalPlan", "plan"):
+        if plan.getClass().getSimpleName() in ("AdaptiveSparkPlanExec", "ShuffleQueryStageExec", "BroadcastQueryStageExec"):
+            try:
+                inner.append(getattr(plan, name)())
+            except Exception:
+                continue
+    own = plan.metrics().apply("numOutputRows").value() if "Join" in plan.nodeName() and plan.metrics().contains("numOutputRows") else 0
+    return max([own, *map(_join_rows, inner)])
+
+
+def test_asof_join_rows_grow_with_minutes(spark):
+    """Flights and observations that crowd into the minutes of one airport: never one joined row a pair of them."""
+    flights = spark.range(600).select(
+        F.col("id").alias("flight_id"), F.lit("AAX").alias("origin_airport"), (28_000_000 + F.col("id") % 2).alias(prior.T))
+    weather = spark.range(400).select(
+        F.col("id").alias("obs_id"), F.lit("AAX").alias("airport"),
+        F.timestamp_micros((27_999_999 - F.col("id") % 2) * 60_000_000 + F.col("id")).cast("timestamp_ntz").alias("timestamp"), F.lit(1.0).alias("temperature"))
+    out = asof.asof_weather(flights, weather, key=["flight_id"])
+    assert {r["weather_origin_obs_id"] for r in out.collect()} == {398}
+    assert 600 <= _join_rows(out._jdf.queryExecution().executedPlan()) <= 2 * 600
