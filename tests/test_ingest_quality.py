@@ -113,3 +113,12 @@ def test_leakage_audit():
         schema.assert_no_leakage(["prior_future_rate"])     # temporal keyword: no prefix exemption
     assert "route" in schema.leakage_safe_features(["route", "dep_delay_x", "delay_target"])
     assert schema.leakage_safe_features(["dep_delay_x", "delay_target"]) == []
+
+
+def test_valid_cohort_reads_its_input_once(spark, tmp_path):
+    """The dedup works on the written valid rows; the input is not evaluated again for each of its branches."""
+    rows = [("2024-01-01", "DL", "JFK", "LAX", 800 + i, 20.0, 100.0, 0, 0) for i in (0, 0, 0, 1, 2)]
+    spark.createDataFrame(rows, DIRTY_SCHEMA).write.parquet(f"{tmp_path}/raw")
+    kept = clean.valid_cohort(spark.read.parquet(f"{tmp_path}/raw"))
+    assert not any(str(tmp_path) in f for f in kept.inputFiles())
+    assert sorted(tuple(r) for r in kept.collect()) == sorted(set(rows))
