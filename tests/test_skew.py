@@ -120,3 +120,16 @@ def test_asof_join_rows_grow_with_minutes(spark):
     out = asof.asof_weather(flights, weather, key=["flight_id"])
     assert {r["weather_origin_obs_id"] for r in out.collect()} == {398}
     assert 600 <= _join_rows(out._jdf.queryExecution().executedPlan()) <= 2 * 600
+
+
+def test_history_meets_its_timelines_one_row_a_flight(spark):
+    """No join of the history makes a row for each flight and dimension; repeated and null group keys keep their sums."""
+    flights = _skewed(spark, 3000)
+    dims = [("a", ["airline"]), ("o", ["origin_airport"]), ("ao", ["airline", "origin_airport"])]
+    flights = prior.with_departure_minute(flights.withColumn("airline", F.when(F.col("flight_id") % 7 > 0, F.col("airline"))))
+    out, _ = prior._history(flights, dims, "delay_target", ["flight_id"], "prefix")
+    rows = {r["flight_id"]: r for r in out.collect()}
+    assert len(rows) == 3000 and _join_rows(out._jdf.queryExecution().executedPlan()) == 3000
+    for name, keys in dims:
+        for r in prior.prior_group_stats(flights, keys, method="window").collect():
+            assert (rows[r["flight_id"]][f"_{name}_n"], rows[r["flight_id"]][f"_{name}_s"]) == (r["prior_n"], r["prior_s"])
