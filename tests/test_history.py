@@ -87,3 +87,26 @@ def test_hot_airline_is_counted_before_it_is_ordered(spark):
     a = prior.history_p3(df, key=["flight_id"], with_aliases=False, dims=["prior_airline"], availability_lag_minutes=30)
     b = prior.prior_group_stats(timed, ["airline"], method="window", availability_lag_minutes=30)
     assert a.join(b, "flight_id").where("prior_airline_flight_count <> prior_n or prior_airline_delay_count <> prior_s").count() == 0
+
+
+def test_finer_timelines_bring_the_sums_of_coarser_groups(pre):
+    """Flights meet four timelines, not seven; groups without a finer one keep their own."""
+    dims = [ks for _, ks in prior.P3_DIMENSIONS] + [[]]
+    assert prior._carriers(dims) == {4: [0, 6], 5: [1], 2: [], 3: []}
+    assert prior._carriers([["a"], ["b"], ["a"], []]) == {0: [3], 1: [], 2: []}
+    plan = prior.history_p3(pre, key=["flight_id"], with_aliases=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") <= 8  # four of flights, three of timelines and the one by key
+
+
+def test_carried_sums_with_null_and_repeated_groups(spark):
+    df = flights(spark, [(a, o, d, t, y) for a in ("X", None, " ") for o in ("A", None) for d, t, y in
+                         (("2024-01-01", 800, 1), ("2024-01-01", 800, 1), ("2024-01-02", 830, 0), (None, 830, 1), ("2024-01-03", None, 1))])
+    for days in (None, 2):
+        timed = prior._prepare(df, True)
+        dims = [("a", ["airline"]), ("ao", ["origin_airport", "airline"]), ("h", ["airline", "_dep_hour"])]
+        for key in (["flight_id"], None):
+            out, _ = prior._history(timed.where(F.col(prior.T).isNotNull()), dims, "delay_target", key, "prefix", days)
+            got = {r["flight_id"]: r for r in out.collect()}
+            for name, ks in dims:
+                for r in prior.prior_group_stats(timed.where(F.col(prior.T).isNotNull()), ks, method="window", days=days).collect():
+                    assert (got[r["flight_id"]][f"_{name}_n"], got[r["flight_id"]][f"_{name}_s"]) == (r["prior_n"], r["prior_s"])

@@ -122,3 +122,16 @@ def test_valid_cohort_reads_its_input_once(spark, tmp_path):
     kept = clean.valid_cohort(spark.read.parquet(f"{tmp_path}/raw"))
     assert not any(str(tmp_path) in f for f in kept.inputFiles())
     assert sorted(tuple(r) for r in kept.collect()) == sorted(set(rows))
+
+
+def test_checks_read_written_rows(spark):
+    """The checks' plan does not repeat how the rows were made; that code was too long for the JVM to compile."""
+    from flightops.operators import clean
+    raw = spark.range(40).select(
+        F.col("id").alias("flight_id"), F.when(F.col("id") % 7 == 5, "bad-date").otherwise("2024-01-02").alias("flight_date"),
+        F.lit("AAX").alias("origin_airport"), F.lit("BBX").alias("dest_airport"), F.when(F.col("id") % 5 > 0, 100.0).alias("distance"),
+        F.lit(3.0).alias("arrival_delay"), F.lit(0).alias("cancelled"), F.lit(0).alias("diverted"))
+    got = clean.valid_cohort(raw.unionByName(raw))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "bad-date" not in plan and "Range" not in plan
+    assert sorted(r["flight_id"] for r in got.collect()) == [i for i in range(40) if i % 7 != 5 and i % 5]
