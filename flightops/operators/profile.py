@@ -408,15 +408,36 @@ def cyclical_identity(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     return df.agg(*aggs)
 
 
-def column_summary(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def _confirmed(df: DataFrame, twins: dict[str, str]) -> dict[str, str]:
+    """Those columns of ``twins`` whose text equals that of their other column in every row (one aggregate)."""
+    if not twins:
+        return {}
+    kinds = dict(df.dtypes)
+    exact = {"int", "bigint", "string"}
+
+    def differs(a: str, b: str) -> Column:
+        x, y = (col(c) if kinds[a] == kinds[b] and kinds[a] in exact else col(c).cast("string") for c in (a, b))
+        return ~x.eqNullSafe(y)
+    off = df.agg(*[F.count_if(differs(a, b)).alias(f"_{i}") for i, (a, b) in enumerate(twins.items())]).first()
+    return {a: b for i, (a, b) in enumerate(twins.items()) if not off[i]}
+
+
+def column_summary(df: DataFrame, cols: list[str] | None = None, twins: dict[str, str] | None = None) -> DataFrame:
     """Per column distinct non-null values, missing count and % -- one
     unpivot to (column, value text), distinct pairs, then counts per column
-    (no multi-column count(DISTINCT) expansion)."""
-    cols = cols or df.columns
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), col(c).cast("string").alias("v"))
-                                         for c in cols])).alias("e")).select("e.*")
-    uniq = long.filter(F.col("v").isNotNull()).distinct().groupBy("column_name").agg(
+    (no multi-column count(DISTINCT) expansion).
+
+    ``twins``: columns that may repeat another column. One that does so in
+    every row takes that column's distinct count; any other is counted."""
+    cols = list(cols or df.columns)
+    same = _confirmed(df, {a: b for a, b in (twins or {}).items() if a in cols and b in cols and b not in twins})
+    counted = [c for c in cols if c not in same]
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), col(c).cast("string").alias("v"))
+                                         for i, c in enumerate(counted)])).alias("e")).select("e.*")
+    named = F.array(*[F.array(*[F.lit(n) for n in [c, *[a for a, b in same.items() if b == c]]]) for c in counted])
+    uniq = long.filter(F.col("v").isNotNull()).distinct().groupBy("i").agg(
         F.count(F.lit(1)).cast("long").alias("unique_values"))
+    uniq = uniq.select(F.explode(F.get(named, F.col("i"))).alias("column_name"), "unique_values")
     audit = column_audit(df.select(*[col(c) for c in cols])).select("column_name", "missing_count", "missing_pct")
     types = df.sparkSession.createDataFrame([(f.name, f.dataType.simpleString()) for f in df.schema.fields
                                              if f.name in cols], "column_name string, dtype string")

@@ -1205,10 +1205,15 @@ ORACLES["eda_quality"] = sql("SELECT column_name, missing_count, missing_pct, is
                              + _audit_sql() + ") a", "p3")
 
 
+# columns of the P3 table that are made as copies of another one
+_TWINS = dict(prior.P3_ALIASES) | {"route_distance_category": "distance_category", "prior_route_frequency": "prior_route_flight_count",
+                                   "prior_origin_flight_volume": "prior_origin_flight_count", "prior_dest_flight_volume": "prior_dest_flight_count"}
+
+
 @register("p3_column_summary", sql("SELECT column_name, missing_count, missing_pct, unique_values FROM ("
                                    + _audit_sql() + ") a", "p3"))
 def q_p3_column_summary(spark, sf):
-    return PR.column_summary(p3_features(spark, sf)).drop("dtype")
+    return PR.column_summary(p3_features(spark, sf), twins=_TWINS).drop("dtype")
 
 
 @register("feature_quality", None)

@@ -112,3 +112,14 @@ def test_metric_deltas(spark):
     m = spark.createDataFrame([("a", "s", 0.5, 0.0), ("b", "s", 0.6, 0.1)], "exp string, k string, f1 double, acc double")
     d = {r["metric"]: r for r in metrics.metric_deltas(m, ["k"], "exp", "a", "b", ["f1", "acc"]).collect()}
     assert d["f1"]["abs_delta"] == 0.1 and d["f1"]["pct_delta"] == 20.0 and d["acc"]["pct_delta"] == 100.0
+
+
+def test_column_summary_counts_a_twin_once_and_only_a_true_one(spark):
+    from flightops.operators import profile
+    df = spark.createDataFrame([(1, 1, 1, 0.0, -0.0, "a", None), (2, 2, 2, 1.5, 1.5, None, None), (None, None, 2, 1.5, 1.5, "a", None), (2, 2, 2, None, None, "b", None)],
+                               "a int, same int, near int, f double, minus double, s string, empty string")
+    plain = sorted(map(tuple, profile.column_summary(df).collect()))
+    out = profile.column_summary(df, twins={"same": "a", "near": "a", "minus": "f", "empty": "s", "s": "gone"})
+    assert sorted(map(tuple, out.collect())) == plain
+    assert {r["column_name"]: r["unique_values"] for r in out.collect()} == {"a": 2, "same": 2, "near": 2, "f": 2, "minus": 2, "s": 2, "empty": 0}
+    assert profile._confirmed(df, {"same": "a", "near": "a", "minus": "f", "empty": "s"}) == {"same": "a"}
