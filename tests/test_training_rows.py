@@ -48,7 +48,8 @@ def test_a_task_holds_no_more_in_a_larger_table(spark, train, monkeypatch):
         assert max(sizes(got)) <= 1.5 * rows and got.count() == train.count()
 
 
-def test_uneven():
+def test_uneven(monkeypatch):
+    monkeypatch.setattr(models, "TASK_ROWS", 2000)
     assert not models.uneven([], 4) and not models.uneven([5000], 4) and not models.uneven([5000] * 4, 4) and not models.uneven([5000] * 40, 4)
     assert models.uneven([5000] * 5, 4) and models.uneven([9000], 4) and models.uneven([9000, 9000, 9000, 9000, 20000], 4)
     assert models.uneven([models.FILE_ROWS + 1] * 4, 4) and not models.uneven([models.FILE_ROWS] * 4, 4)
