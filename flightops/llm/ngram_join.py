@@ -15,6 +15,9 @@ are alike meet in few blocks. A block's incidence matrix times its transpose
 gives the overlap counts of its rows; pairs that cannot reach the bound, by
 their places in the columns or by this count and all columns they have
 elsewhere, are discarded at once, others when the blocks' counts are summed.
+Rows bring a signature along, the parities of how many n-grams fall into each of
+512 buckets: where two differ in more bits than linked rows differ in n-grams,
+the pair cannot link, so few pairs leave a block that do not.
 The pairs that remain get their whole overlap from blocks of at most `BLOCK`
 n-grams, summed block by block, and the exact similarity decides.
 
@@ -42,8 +45,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightops.llm.common import BROADCAST_ROWS, NO_ID, map_arrow
@@ -57,6 +61,8 @@ SKETCH_BITS, BLOCK, TILE, HUBS = 18, 4096, 1024, 16
 HUB_ROWS = 4
 #: Columns of a block that are multiplied at once.
 CHUNK = 1024
+#: Words of 64 bits of a signature; rows that may be broadcast with one (72 bytes a row: 36 MB).
+SIGNATURE, SIGNED_ROWS = 8, BROADCAST_ROWS // 4
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -89,41 +95,52 @@ def _rarity(found: np.ndarray) -> np.ndarray:
     return (found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
+def signature(found: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of n-grams in 64 * SIGNATURE buckets: two sets differ in at least as many n-grams as bits."""
+    odd = np.bincount((found % np.uint64(64 * SIGNATURE)).astype(np.int64), minlength=64 * SIGNATURE) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _given(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col(f"`{text_col}`").cast("binary")
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("tag"), text.alias("text"))
 
 
 def _rows_and_counts(given: DataFrame, shingle: int) -> DataFrame:
-    """kind 0: (id, tag, node, n) of every document; kind 1: tag counts n n-grams of the hash bucket id."""
-    names = ["kind", "id", "tag", "node", "n"]
+    """kind 0: (id, tag, node, n, sig) of every document; kind 1: n n-grams are in the hash bucket id."""
+    names = ["kind", "id", "tag", "node", "n", "sig"]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for part in parts:
-            nodes, sizes, seen = [], [], [np.zeros(0, dtype=np.int64)]
+            nodes, sizes, sigs, seen = [], [], [], [np.zeros(0, dtype=np.int64)]
             for text in part.column(2):
                 found = grams(text.as_py(), shingle)
                 seen.append(_rarity(found))
                 nodes.append(node_of(found) if len(found) else None)
                 sizes.append(len(found))
+                sigs.append(signature(found) if len(found) else None)
             total += np.bincount(np.concatenate(seen), minlength=len(total))
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sizes), np.int32)), part.column(0), part.column(1),
-                                              pa.array(nodes, type=pa.int64()), pa.array(sizes, type=pa.int64())], names=names)
+                                              pa.array(nodes, type=pa.int64()), pa.array(sizes, type=pa.int64()), pa.array(sigs, type=pa.list_(pa.int64()))], names=names)
         at = np.flatnonzero(total)
         none = pa.nulls(len(at), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(at), np.int32)), pa.array(at), none, none, pa.array(total[at])], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(at), np.int32)), pa.array(at), none, none, pa.array(total[at]),
+                                          pa.nulls(len(at), pa.list_(pa.int64()))], names=names)
+
+    return map_arrow(given, run, "kind int, id long, tag long, node long, n long, sig array<long>")
 
-    return map_arrow(given, run, "kind int, id long, tag long, node long, n long")
 
+def _columns(given: DataFrame, counts: np.ndarray, shingle: int, percent: int) -> DataFrame:
+    """(gram, node, n, at, c): of the first n-grams of each row in the order of rarity those that c rows have, more than one.
 
-def _prefixes(given: DataFrame, counts: np.ndarray, shingle: int, percent: int) -> DataFrame:
-    """(gram, node, n, at): the first n-grams of each row in the order of rarity."""
+    One shuffle by n-gram drops equal rows and counts; what follows groups by n-gram again and finds each in one file.
+    """
     shared = given.sparkSession.sparkContext.broadcast(counts)
     names = ["gram", "node", "n", "at"]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, held, size = shared.value, [], 0
+        counts, held, size, seen = shared.value, [], 0, set()
 
         def flush():
             cols = [np.concatenate(c) for c in zip(*held)]
@@ -136,18 +153,22 @@ def _prefixes(given: DataFrame, counts: np.ndarray, shingle: int, percent: int)
                 n = len(found)
                 if not n:
                     continue
-                length = n - -(-percent * n // 100) + 1
+                node, length = node_of(found), n - -(-percent * n // 100) + 1
+                if node in seen:
+                    continue
+                seen.add(node)
                 first = found[np.lexsort((found, counts[_rarity(found)]))[:length]]
-                held.append((first.view(np.int64), np.full(length, node_of(found)), np.full(length, n, np.int32), np.arange(length, dtype=np.int32)))
+                held.append((first.view(np.int64), np.full(length, node), np.full(length, n, np.int32), np.arange(length, dtype=np.int32)))
                 size += length
                 if size >= 1 << 17:
                     yield from flush()
-                    held, size = [], 0
+                    held, size, seen = [], 0, set()
         if held:
             yield from flush()
 
-    made = map_arrow(given, run, "gram long, node long, n int, at int")
-    return made.groupBy("gram", "node").agg(F.min("n").alias("n"), F.min("at").alias("at"))  # equal rows once
+    made = map_arrow(given, run, "gram long, node long, n int, at int").repartition("gram")
+    rows = made.groupBy("gram", "node").agg(F.min("n").alias("n"), F.min("at").alias("at"))  # equal rows once
+    return rows.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("gram"))).where("c > 1")
 
 
 def _least_overlap(n: Column, m: Column, percent: int) -> Column:
@@ -166,13 +187,22 @@ def _small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def _hub_pairs(columns: DataFrame, long: DataFrame, percent: int) -> DataFrame:
-    """(a, b, n, m): rows with the hubs of their long columns (gram), the rows with the smallest hashes by several hash
+def _alike(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The `pairs` (a, b, n, m) whose signatures differ in no more bits than linked rows may differ in n-grams."""
+    for side in ("a", "b"):
+        pairs = pairs.join(_small(rows.select(F.col("node").alias(side), F.col("sig").alias(f"sig_{side}")), SIGNED_ROWS), side)
+    bits = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    most = F.col("n") + F.col("m") - 2 * _least_overlap(F.col("n"), F.col("m"), percent)
+    return pairs.where(bits <= most).select("a", "b", "n", "m")
+
+
+def _hub_pairs(columns: DataFrame, percent: int) -> DataFrame:
+    """(a, b, n, m): rows with the hubs of their columns of at least HUB_ROWS rows, the rows with the smallest hashes by several hash
     functions, if they meet in half as many columns as a link needs.
 
     These pairs only save work: what they miss is left to the full product.
     """
-    some = columns.join(_small(long), "gram")
+    some = columns.where(F.col("c") >= HUB_ROWS)
     hubs = some.groupBy("gram").agg(*[F.min(F.struct(F.xxhash64("node", F.lit(k)), "node", "n", "at")).alias(f"h{k}") for k in range(HUBS)])
     hubs = stage_table(hubs.select("gram", F.array_distinct(F.array(*[
         F.struct(F.col(f"h{k}.node").alias("node"), F.col(f"h{k}.n").alias("n"), F.col(f"h{k}.at").alias("at")) for k in range(HUBS)])).alias("hubs")), "hubs")
@@ -196,20 +226,23 @@ def _ordered(df: DataFrame, a: Column, n: Column, b: Column, m: Column) -> DataF
                      F.when(a < b, n).otherwise(m).alias("n"), F.when(a < b, m).otherwise(n).alias("m"))
 
 
-def _product(columns: DataFrame, known: DataFrame, percent: int, tile: int = TILE) -> DataFrame:
+def _product(columns: DataFrame, known: DataFrame, nodes: DataFrame, percent: int, tile: int = TILE) -> DataFrame:
     """(a, b, n, m): pairs of rows of different components whose counts over all blocks reach the bound.
 
-    known: (node, least) of the rows that already have a component of several.
+    known: (node, least) of the rows that already have a component of several; nodes: (node, sig) of all rows.
     """
     rows = columns.join(_small(known.select("node", F.col("least").alias("comp"))), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed = rows.groupBy("gram").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min(F.struct(F.xxhash64("node"), "node")).alias("hub"))
     mixed = stage_table(mixed.where("x <> y").select("gram", F.col("hub.node").alias("block")), "mixed")
-    rows = stage_table(rows.join(_small(mixed), "gram"), "blocks")
-    live = rows.groupBy("node").agg(F.count(F.lit(1)).alias("live"))
-    kinds = rows.groupBy("block", "comp", "node").agg(F.lit(1).alias("one")).groupBy("block", "comp").agg(F.count(F.lit(1)).alias("c"))
-    kinds = kinds.groupBy("block").agg(F.sum("c").alias("total"), F.max(F.struct("c", "comp")).alias("top"))
-    kinds = kinds.select("block", "total", F.col("top.c").alias("main_n"), F.col("top.comp").alias("main"))
-    met = rows.join(_small(stage_table(kinds, "kinds")), "block").join(_small(stage_table(live, "live")), "node")
+    members = rows.join(_small(mixed), "gram").groupBy("block", "node").agg(
+        F.min("comp").alias("comp"), F.min("n").alias("n"), F.collect_list(F.struct("gram", "at")).alias("cols"))
+    members = stage_table(members, "blocks")
+    live = members.groupBy("node").agg(F.sum(F.size("cols")).cast("int").alias("live"))
+    live = nodes.select("node", "sig").join(_small(live), "node")
+    kinds = members.groupBy("block", "comp").agg(F.count(F.lit(1)).alias("c"))
+    kinds = kinds.groupBy("block").agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds"), F.max(F.struct("c", "comp")).alias("top"))
+    kinds = kinds.where("kinds > 1").select("block", "total", F.col("top.c").alias("main_n"), F.col("top.comp").alias("main"))
+    met = members.join(_small(stage_table(kinds, "kinds")), "block").join(_small(stage_table(live, "live"), SIGNED_ROWS), "node")
     apart = F.col("total") > tile  # else the block is one cell
     others = F.when(apart, F.ceil((F.col("total") - F.col("main_n")) / tile)).otherwise(F.lit(1)).cast("int")
     mains = F.when(apart, F.ceil(F.col("main_n") / tile)).otherwise(F.lit(0)).cast("int")
@@ -218,7 +251,8 @@ def _product(columns: DataFrame, known: DataFrame, percent: int, tile: int = TIL
     met = met.withColumns({"own": F.when(is_main, others + F.pmod(h, mains)).otherwise(F.pmod(h, others)).cast("int"),
                            "to": F.when(is_main, F.sequence(F.lit(0), others - 1)).otherwise(F.sequence(F.lit(0), others + mains - 1))})
     cells = met.withColumn("other", F.explode("to")).select(
-        "block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "gram", "own", "comp", "n", "at", "live")
+        "block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "own", "comp", "n", "live", "sig",
+        F.col("cols.gram").alias("gram"), F.col("cols.at").alias("at"))
     cells = cells.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "node")
     counted = map_arrow(cells, lambda parts: _cells(parts, percent), "a long, b long, n int, m int, c int")
     return _enough(counted.groupBy("a", "b", "n", "m").agg(F.sum("c").alias("c")), percent)
@@ -228,19 +262,19 @@ def _cells(parts: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordB
     """Counted pairs of whole cells; the last cell of a batch waits for the next batch."""
     held, out, size = None, [], 0
     for part in parts:
-        now = [part.column(k).to_numpy(zero_copy_only=False) for k in range(10)]
+        now = _unpacked(part)
         if held is not None:
             now = [np.concatenate(x) for x in zip(held, now)]
         starts = _starts(now)
         for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
-            found = _multiplied([x[s:e] for x in now], percent)
+            found = _multiplied(_cut(now, s, e), percent)
             if found is not None:
                 out.append(found)
                 size += len(found[0])
                 if size >= 1 << 16:
                     yield _batch(out)
                     out, size = [], 0
-        held = [x[starts[-1]:] for x in now] if len(starts) else now
+        held = _cut(now, int(starts[-1]), len(now[0])) if len(starts) else now
     if held is not None and len(held[0]):
         found = _multiplied(held, percent)
         if found is not None:
@@ -249,6 +283,21 @@ def _cells(parts: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordB
         yield _batch(out)
 
 
+def _unpacked(part: pa.RecordBatch) -> list[np.ndarray]:
+    """The columns of a batch of cells: one number a row, signatures, columns a row, and the rows' columns and places in a line."""
+    each = [part.column(k).to_numpy(zero_copy_only=False) for k in range(8)]
+    sig = part.column(8).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
+    wide = pc.list_value_length(part.column(9)).to_numpy(zero_copy_only=False).astype(np.int64)
+    return [*each, sig, wide, *[part.column(k).flatten().to_numpy(zero_copy_only=False) for k in (9, 10)]]
+
+
+def _cut(cols: list[np.ndarray], s: int, e: int) -> list[np.ndarray]:
+    """The rows from `s` to before `e` of what `_unpacked` gave."""
+    first = int(cols[9][:s].sum())
+    last = first + int(cols[9][s:e].sum())
+    return [*[x[s:e] for x in cols[:10]], *[x[first:last] for x in cols[10:]]]
+
+
 def _batch(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], names=["a", "b", "n", "m", "c"])
 
@@ -262,14 +311,13 @@ def _starts(cols: list[np.ndarray]) -> np.ndarray:
 
 
 def _multiplied(cols: list[np.ndarray], percent: int) -> tuple[np.ndarray, ...] | None:
-    """(a, b, n, m, c) of a cell's pairs that may still link: rows sorted by node, one a node and column."""
-    _, i, j, node, gram, own, comp, n, at, live = cols
-    first = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
-    if len(first) < 2 or (comp[first] == comp[0]).all():
+    """(a, b, n, m, c) of a cell's pairs that may still link: rows sorted by node, one a node."""
+    _, i, j, node, own, comp, n, live, sig, wide, gram, at = cols
+    k = len(node)
+    if k < 2 or (comp == comp[0]).all():
         return None
-    row = np.cumsum(np.concatenate(([0], (node[1:] != node[:-1]).astype(np.int64))))
+    row = np.repeat(np.arange(k), wide)
     _, column = np.unique(gram, return_inverse=True)
-    k = len(first)
     count, shift = np.zeros((k, k), dtype=np.float32), np.zeros((k, k), dtype=np.float32)
     for a in range(0, int(column.max()) + 1, CHUNK):
         here = (column >= a) & (column < a + CHUNK)
@@ -280,8 +328,7 @@ def _multiplied(cols: list[np.ndarray], percent: int) -> tuple[np.ndarray, ...]
         count += part @ part.T
         moved = place @ part.T
         shift += moved - moved.T  # sum of the differences of places
-    size, own, comp = n[first].astype(np.int64), own[first], comp[first]
-    elsewhere = live[first] - np.bincount(row, minlength=k)
+    size, elsewhere = n.astype(np.int64), live - wide
     a, b = np.nonzero(np.triu(count > 0, 1))
     a, b = (x[(comp[a] != comp[b]) & ((i[0] == j[0]) | (own[a] != own[b]))] for x in (a, b))
     x, y, c = size[a], size[b], count[a, b].astype(np.int64)
@@ -290,10 +337,12 @@ def _multiplied(cols: list[np.ndarray], percent: int) -> tuple[np.ndarray, ...]
     moved = shift[a, b] / np.maximum(c, 1)
     good = ((100 * np.minimum(x, y) >= percent * np.maximum(x, y)) & (c + np.minimum(elsewhere[a], elsewhere[b]) + rest >= need)
             & (y + moved >= need - 1e-3) & (x - moved >= need - 1e-3))
-    a, b, c = a[good], b[good], c[good]
+    a, b, c, need = a[good], b[good], c[good], need[good]
+    near = np.bitwise_count((sig[a] ^ sig[b]).view(np.uint64)).sum(axis=1, dtype=np.int64) <= size[a] + size[b] - 2 * need
+    a, b, c = a[near], b[near], c[near]
     if not len(a):
         return None
-    return node[first[a]], node[first[b]], size[a].astype(np.int32), size[b].astype(np.int32), c.astype(np.int32)
+    return node[a], node[b], size[a].astype(np.int32), size[b].astype(np.int32), c.astype(np.int32)
 
 
 def block_bits(n: int) -> int:
@@ -344,7 +393,7 @@ def _linked(pairs: DataFrame, given: DataFrame, rows: DataFrame, shingle: int, p
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     entries = stage_table(_entries(given, rows.join(_small(nodes), "node", "left_semi"), shingle, percent), "entries")
     held = entries.agg(F.coalesce(F.sum(F.size("grams")), F.lit(0))).first()[0]
-    side = F.broadcast if held <= 2 * BROADCAST_ROWS else (lambda df: df)  # 8 bytes an n-gram: 32 MB
+    side = F.broadcast if held <= BROADCAST_ROWS // 8 else (lambda df: df)  # 8 bytes an n-gram: 2 MB
     bits = F.length(F.conv(F.floor((F.greatest("n", "m") - 1) / BLOCK).cast("string"), 10, 2))
     bits = F.when(F.greatest("n", "m") <= BLOCK, F.lit(0)).otherwise(bits).cast("int")
     cut = pairs.withColumn("bits", bits).withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bits")) - 1)))
@@ -363,19 +412,15 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     got = marked.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).toArrow()  # at most 2**SKETCH_BITS rows
     counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
     counts[got.column("id").to_numpy()] = got.column("n").to_numpy()
-    docs_ = marked.where("kind = 0").select("id", "tag", "node", "n")
+    docs_ = marked.where("kind = 0").select("id", "tag", "node", "n", "sig")
     rows = docs_.where("node is not null").groupBy("node", F.coalesce("id", F.lit(NO_ID)).alias("key"), "tag").agg(
-        F.count(F.lit(1)).alias("copies"), F.min("id").alias("id"))
-    rows = rows.groupBy("node").agg(F.min(F.struct("copies", "key", "tag")).alias("one"), F.min("id").alias("least_id"))
-    rows = stage_table(rows.select("node", F.col("one.key").alias("id"), F.col("one.tag").alias("tag"), F.col("one.copies").alias("copies"), "least_id"), "nodes")
-
-    prefixes = stage_table(_prefixes(given, counts, shingle, percent), "prefixes")
-    shared = stage_table(prefixes.groupBy("gram").count().where("count > 1"), "shared")
-    columns = stage_table(prefixes.join(_small(shared.select("gram")), "gram", "left_semi"), "shared_columns")
+        F.count(F.lit(1)).alias("copies"), F.min("id").alias("id"), F.min("sig").alias("sig"))
+    rows = rows.groupBy("node").agg(F.min(F.struct("copies", "key", "tag")).alias("one"), F.min("id").alias("least_id"), F.min("sig").alias("sig"))
+    rows = stage_table(rows.select("node", F.col("one.key").alias("id"), F.col("one.tag").alias("tag"), F.col("one.copies").alias("copies"), "least_id", "sig"), "nodes")
 
-    long = shared.where(F.col("count") >= HUB_ROWS).select("gram")
-    links = _linked(_hub_pairs(columns, long, percent), given, rows, shingle, percent)
-    more = _linked(_product(columns, components(links), percent, tile), given, rows, shingle, percent)
+    columns = stage_table(_columns(given, counts, shingle, percent), "columns")
+    links = _linked(_alike(_hub_pairs(columns, percent), rows, percent), given, rows, shingle, percent)
+    more = _linked(_product(columns, components(links), rows, percent, tile), given, rows, shingle, percent)
     known = components(links.unionByName(more))  # all but the smallest node of each component
     known = known.unionByName(known.select(F.col("least").alias("node"), "least").distinct())
     named = rows.select("node", "least_id").join(_small(known), "node")

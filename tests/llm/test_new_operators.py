@@ -9,6 +9,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,6 +121,30 @@ def test_rows_of_many_ngrams_are_cut():
     assert [ngram_join.block_bits(n) for n in (1, 4096, 4097, 8192, 8193)] == [0, 0, 1, 1, 2]
 
 
+def test_signatures_differ_in_no_more_bits_than_sets_in_ngrams():
+    rnd = random.Random(12)
+    for _ in range(200):
+        one = {rnd.getrandbits(64) for _ in range(rnd.randint(1, 900))}
+        other = {x for x in one if rnd.random() < 0.9} | {rnd.getrandbits(64) for _ in range(rnd.randint(0, 60))}
+        x, y = (ngram_join.signature(np.array(sorted(z), dtype=np.uint64)).view(np.uint64) for z in (one, other))
+        assert np.bitwise_count(x ^ y).sum() <= len(one ^ other)
+
+
+def test_rows_that_share_their_prefix_but_cannot_link_make_no_pairs():
+    rnd = random.Random(13)
+    draw = lambda k: [rnd.getrandbits(64) for _ in range(k)]
+    first, shared = draw(11), draw(70)
+    sets = [np.array(first + shared + draw(19), dtype=np.uint64) for _ in range(40)]  # Jaccard similarity 0.68
+    sets.append(np.concatenate((sets[7][:-2], np.array(draw(2), dtype=np.uint64))))  # 0.96 with row 7
+    k, same = len(sets), np.zeros(len(sets), dtype=np.int64)
+    cell = pa.RecordBatch.from_arrays(
+        [pa.array(x) for x in (same, same, same, np.arange(k), same, np.arange(k), same + 100, same + 11)]
+        + [pa.array([ngram_join.signature(x) for x in sets]), pa.array([np.array(first, dtype=np.uint64).view(np.int64)] * k), pa.array([np.arange(11)] * k)],
+        names=["block", "i", "j", "node", "own", "comp", "n", "live", "sig", "gram", "at"])
+    found = [tuple(r.values()) for part in ngram_join._cells(iter([cell]), 90) for r in part.to_pylist()]
+    assert found == [(7, 40, 100, 100, 11)]
+
+
 def test_op11_equals_sql_and_all_pairs(spark):
     got = sorted(tuple(r) for r in queries.op11_ngram_join(spark, SMALL).select("doc_id", "n_shingles", "component_id").collect())
     rows = duck("SELECT doc_id, text FROM documents", SMALL)
